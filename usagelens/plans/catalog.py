@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import round_doubles
-from usagelens.operators import cohorts, insights, kpis, segments, series
-from usagelens.operators.activity import user_day
+from usagelens.operators import cohorts, insights, kpis, report, segments, series
+from usagelens.operators.activity import daily_active_users, user_day
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.plans import sqllib
 from usagelens.sources import fixtures as fx
@@ -173,3 +173,80 @@ def dau_forecast_by_country(spark, sf_dir):
     return round_doubles(series.forecast_dau_by(t["sessions"], t["users"], ["country"], 14), DIGITS)
 
 
+
+
+# ---- report (dashboard defaults: first three countries, all plans, full window)
+def _sel(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    sel, win = report.selection(t)
+    return t, sel, win
+
+
+@query
+def report_filter_values(spark, sf_dir):
+    return report.filter_values(tables(spark, sf_dir)["user_metrics"])
+
+
+@query
+def report_time_bounds(spark, sf_dir):
+    return report.time_bounds(tables(spark, sf_dir)["sessions"], fx.AS_OF)
+
+
+@query
+def report_kpi(spark, sf_dir):
+    return report.kpi_card(_sel(spark, sf_dir)[1])
+
+
+@query
+def report_funnel(spark, sf_dir):
+    _, sel, win = _sel(spark, sf_dir)
+    return report.funnel(sel, win)
+
+
+@query
+def report_dau(spark, sf_dir):
+    return daily_active_users(_sel(spark, sf_dir)[2])
+
+
+@query
+def report_segments_top(spark, sf_dir):
+    return round_doubles(segments.segment_by_country(_sel(spark, sf_dir)[1]).limit(6), DIGITS)
+
+
+@query
+def report_cohorts(spark, sf_dir):
+    return round_doubles(cohorts.cohort_retention_long(_sel(spark, sf_dir)[2]), DIGITS)
+
+
+@query
+def report_insights(spark, sf_dir):
+    t, sel, _ = _sel(spark, sf_dir)
+    return insights.generate_insights(sel, t["events"])
+
+
+@query
+def report_mrr(spark, sf_dir):
+    t, sel, _ = _sel(spark, sf_dir)
+    return report.mrr_card(sel, t["payments"])
+
+
+@query
+def report_monthly_revenue(spark, sf_dir):
+    t, sel, _ = _sel(spark, sf_dir)
+    return round_doubles(kpis.monthly_revenue(report.selected_payments(sel, t["payments"])), DIGITS)
+
+
+@query
+def scenario_grid(spark, sf_dir):
+    t, sel, _ = _sel(spark, sf_dir)
+    return round_doubles(report.scenario_grid(report.mrr_card(sel, t["payments"])), DIGITS)
+
+
+@query
+def report_anomaly_tail(spark, sf_dir):
+    return round_doubles(report.anomaly_table(_sel(spark, sf_dir)[2]), 6)
+
+
+@query
+def report_forecast_tail(spark, sf_dir):
+    return round_doubles(report.forecast_table(_sel(spark, sf_dir)[2]), DIGITS)

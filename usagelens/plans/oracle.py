@@ -371,3 +371,95 @@ _fold_ctes("dau", [])
 _fold_ctes("country_dau", ["country"])
 oracle("dau_forecast", _forecast("dau", []))
 oracle("dau_forecast_by_country", _forecast("country_dau", ["country"]))
+
+
+# ---- report: first three countries, all plans, whole session window ----------
+CTES["sel"] = """
+    SELECT * FROM um WHERE country IN (
+        SELECT country FROM (SELECT DISTINCT country FROM um WHERE country IS NOT NULL
+                             ORDER BY country LIMIT 3))"""
+CTES["win"] = """
+    SELECT * FROM c_sessions
+    WHERE session_time IS NOT NULL AND user_id IN (SELECT user_id FROM sel)"""
+CTES["win_dau"] = """
+    SELECT CAST(session_time AS DATE) AS date, count(DISTINCT user_id) AS dau FROM win GROUP BY 1"""
+CTES["win_weeks"] = """
+    SELECT DISTINCT user_id, CAST(date_trunc('week', session_time) AS DATE) AS wk FROM win"""
+CTES["win_cohort_long"] = """
+    SELECT cohort_week, week_offset, active_users,
+           active_users / max(CASE WHEN week_offset = 0 THEN active_users END)
+               OVER (PARTITION BY cohort_week) AS retention
+    FROM (SELECT f.cohort_week, CAST((w.wk - f.cohort_week) // 7 AS INTEGER) AS week_offset,
+                 count(DISTINCT w.user_id) AS active_users
+          FROM win_weeks w JOIN (SELECT user_id, min(wk) AS cohort_week FROM win_weeks GROUP BY user_id) f
+            ON w.user_id = f.user_id
+          GROUP BY 1, 2)
+    WHERE week_offset >= 0 AND week_offset < 12"""
+CTES["sel_pay"] = "SELECT * FROM c_payments WHERE user_id IN (SELECT user_id FROM sel)"
+CTES["sel_monthly"] = """
+    SELECT CAST(date_trunc('month', payment_date) AS DATE) AS month, sum(revenue) AS revenue
+    FROM sel_pay WHERE payment_date IS NOT NULL GROUP BY 1"""
+CTES["sel_mrr"] = """
+    SELECT a.*, round(COALESCE(cur, 0.0), 2) AS current_mrr, round(COALESCE(prev, 0.0), 2) AS prev_mrr,
+           round(CASE WHEN COALESCE(prev, 0.0) <> 0 THEN (cur - prev) / prev ELSE 0.0 END, 4) AS mrr_growth
+    FROM (SELECT round(COALESCE(arpu, 0.0), 2) AS arpu, round(COALESCE(paid_arpu, 0.0), 2) AS paid_arpu,
+                 round(COALESCE(least(arpu / churn, arpu * 24), 0.0), 2) AS estimated_ltv,
+                 round(COALESCE(rr, 0.0), 3) AS renewal_rate_mean
+          FROM (SELECT greatest(COALESCE(avg(CAST(churn_flag AS DOUBLE)), 1e-6), 1e-6) AS churn,
+                       avg(payments_total) AS arpu,
+                       avg(CASE WHEN is_paid_user THEN payments_total END) AS paid_arpu,
+                       avg(renewal_rate) AS rr FROM sel)) a,
+         (SELECT (SELECT revenue FROM sel_monthly ORDER BY month DESC LIMIT 1) AS cur,
+                 COALESCE((SELECT revenue FROM sel_monthly ORDER BY month DESC LIMIT 1 OFFSET 1),
+                          (SELECT revenue FROM sel_monthly ORDER BY month DESC LIMIT 1)) AS prev) m"""
+
+oracle("report_filter_values", """
+SELECT DISTINCT 'country' AS dimension, country AS value FROM um WHERE country IS NOT NULL
+UNION ALL SELECT DISTINCT 'plan', plans FROM um WHERE plans IS NOT NULL""")
+oracle("report_time_bounds", f"""
+SELECT COALESCE(min(session_time), {AS_OF}) AS min_session_time,
+       COALESCE(max(session_time), min(session_time), {AS_OF}) AS max_session_time FROM c_sessions""")
+oracle("report_kpi", """
+SELECT count(*) AS total_users,
+       count(DISTINCT CASE WHEN is_paid_user THEN user_id END) AS paid_users,
+       round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END) / greatest(count(*), 1), 4)
+           AS conversion_rate,
+       round(avg(CAST(churn_flag AS INTEGER)), 4) AS global_churn_rate
+FROM sel""")
+oracle("report_funnel", """
+SELECT 1 AS step, 'Signups' AS stage, (SELECT count(*) FROM sel) AS users
+UNION ALL SELECT 2, 'Active (30d)', (SELECT count(DISTINCT user_id) FROM win)
+UNION ALL SELECT 3, 'Paid', (SELECT count(DISTINCT user_id) FROM sel WHERE is_paid_user)
+UNION ALL SELECT 4, 'Churned', (SELECT count(DISTINCT user_id) FROM sel WHERE churn_flag)""")
+oracle("report_dau", "SELECT date, dau FROM win_dau")
+oracle("report_segments_top", """
+SELECT country, count(user_id) AS total_users, round(avg(sessions_total), 4) AS avg_sessions,
+       round(avg(payments_total), 4) AS avg_revenue, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
+FROM sel WHERE country IS NOT NULL GROUP BY country ORDER BY total_users DESC, country LIMIT 6""")
+oracle("report_cohorts", """
+SELECT cohort_week, week_offset, active_users, round(retention, 4) AS retention FROM win_cohort_long""")
+oracle("report_insights", """
+SELECT 1 AS rule_id, printf('Users from %s show the highest churn within the cohort.', country) AS text
+FROM (SELECT country, count(DISTINCT user_id) AS n FROM sel WHERE churn_flag AND country IS NOT NULL
+      GROUP BY country ORDER BY n DESC, country LIMIT 1)
+UNION ALL
+SELECT 2, printf('Feature %s drives the most interactions and keeps users engaged.', feature)
+FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
+      GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
+UNION ALL
+SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r)
+FROM (SELECT plans, avg(renewal_rate) AS r FROM sel WHERE plans IS NOT NULL
+      GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
+oracle("report_mrr", "SELECT * FROM sel_mrr")
+oracle("report_monthly_revenue", "SELECT month, round(revenue, 4) AS revenue FROM sel_monthly")
+oracle("scenario_grid", """
+SELECT CAST(u AS INTEGER) AS conversion_uplift_pct, CAST(c AS INTEGER) AS churn_reduction_pct,
+       round(current_mrr, 4) AS current_mrr,
+       round(current_mrr * (1.0 + u / 100.0) * (1.0 + c / 200.0), 4) AS projected_mrr,
+       round(current_mrr * (1.0 + u / 100.0) * (1.0 + c / 200.0) - current_mrr, 4) AS mrr_delta
+FROM sel_mrr, range(0, 55, 5) a(u), range(0, 55, 5) b(c)""")
+oracle("report_anomaly_tail", """
+SELECT *, CASE WHEN is_anomaly THEN 'Anomaly' ELSE 'Normal' END AS label FROM (""" + _zscore("win_dau", "", 2.5)
+       + ") ORDER BY date DESC LIMIT 15")
+_fold_ctes("win_dau", [])
+oracle("report_forecast_tail", "SELECT * FROM (" + _forecast("win_dau", []) + ") ORDER BY date DESC LIMIT 10")
