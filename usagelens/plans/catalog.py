@@ -250,3 +250,99 @@ def report_anomaly_tail(spark, sf_dir):
 @query
 def report_forecast_tail(spark, sf_dir):
     return round_doubles(report.forecast_table(_sel(spark, sf_dir)[2]), DIGITS)
+
+
+# ---- churn model (rows-only: no SQL oracle for a fitted model) ----------------
+def _model(spark, sf_dir, backend="logreg"):
+    from usagelens.operators import ml
+    feats = ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])
+    return ml, feats, ml.train_churn_model(feats, backend)
+
+
+@query
+def churn_scored(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.score(model, feats)
+
+
+@query
+def churn_report(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.classification_report(ml.score(model, feats))
+
+
+@query
+def churn_auc(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.roc_auc(ml.score(model, feats))
+
+
+@query
+def churn_importance(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.feature_importance(model, feats)
+
+
+@query
+def churn_top_drivers(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.top_drivers(ml.model_importance(model, feats))
+
+
+@query
+def churn_leaderboard(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.leaderboard(ml.score(model, feats))
+
+
+@query
+def churn_shap(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.linear_shap(model, feats)
+
+
+@query
+def churn_explain_top(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir)
+    return ml.explain_top(ml.score(model, feats), ml.linear_shap(model, feats))
+
+
+# ---- evaluation arithmetic on a fixed score column (oracle-checked) ----------
+def _renewal_scored(spark, sf_dir):
+    from usagelens.operators import ml
+    return ml, ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])
+
+
+@query
+def classification_report_threshold(spark, sf_dir):
+    ml, feats = _renewal_scored(spark, sf_dir)
+    return round_doubles(ml.classification_report(feats, score_col="renewal_rate", threshold=0.5), 6)
+
+
+@query
+def auc_of_score(spark, sf_dir):
+    ml, feats = _renewal_scored(spark, sf_dir)
+    return round_doubles(ml.roc_auc(feats, score_col="renewal_rate"), 9)
+
+
+# ---- data quality, summary record ---------------------------------------------
+@query
+def dq_profile(spark, sf_dir):
+    from usagelens.operators.quality import dq_profile as profile
+    return round_doubles(profile(fx.raw_tables(spark, sf_dir)), 6)
+
+
+@query
+def summary_json(spark, sf_dir):
+    from usagelens.operators import ml
+    from usagelens.plans import pipeline
+    from usagelens.session import checkpoint_dir
+    checkpoint_dir(spark)
+    # nine one-row parts read these: cut their lineage once (reliable checkpoint)
+    t = {k: v.checkpoint() for k, v in tables(spark, sf_dir).items()}
+    feats = ml.prepare_ml_features(t["user_metrics"])
+    model = ml.train_churn_model(feats)
+    rec = pipeline.summary(t, model, ml.model_importance(model, feats),
+                           series.detect_dau_anomalies(t["sessions"]), series.forecast_dau(t["sessions"]),
+                           insights.generate_insights(t["user_metrics"], t["events"]))
+    return rec.select(F.to_json(F.struct(*rec.columns)).alias("summary"))

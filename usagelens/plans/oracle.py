@@ -463,3 +463,65 @@ SELECT *, CASE WHEN is_anomaly THEN 'Anomaly' ELSE 'Normal' END AS label FROM ("
        + ") ORDER BY date DESC LIMIT 15")
 _fold_ctes("win_dau", [])
 oracle("report_forecast_tail", "SELECT * FROM (" + _forecast("win_dau", []) + ") ORDER BY date DESC LIMIT 10")
+
+
+# ---- evaluation arithmetic on renewal_rate vs churn_flag ----------------------
+CTES["cm"] = """
+    SELECT sum(CASE WHEN y = 1 AND p = 1 THEN 1 ELSE 0 END) AS tp,
+           sum(CASE WHEN y = 0 AND p = 1 THEN 1 ELSE 0 END) AS fp,
+           sum(CASE WHEN y = 1 AND p = 0 THEN 1 ELSE 0 END) AS fn,
+           sum(CASE WHEN y = 0 AND p = 0 THEN 1 ELSE 0 END) AS tn
+    FROM (SELECT CAST(churn_flag AS INTEGER) AS y, CASE WHEN renewal_rate >= 0.5 THEN 1 ELSE 0 END AS p
+          FROM um)"""
+CTES["cm_rates"] = """
+    SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1,
+              CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0
+    FROM (SELECT CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1,
+                 CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+                 CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0,
+                 CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0,
+                 CAST(tp + fn AS BIGINT) AS s1, CAST(tn + fp AS BIGINT) AS s0,
+                 CAST(tp + fp + fn + tn AS BIGINT) AS n,
+                 (tp + tn) / (tp + fp + fn + tn) AS acc FROM cm)"""
+oracle("classification_report_threshold", """
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_score, 6) AS f1_score, support FROM (
+    SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM cm_rates
+    UNION ALL SELECT '1', p1, r1, f1, s1 FROM cm_rates
+    UNION ALL SELECT 'accuracy', NULL, NULL, acc, n FROM cm_rates
+    UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM cm_rates
+    UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n,
+                     (f0 * s0 + f1 * s1) / n, n FROM cm_rates)""")
+oracle("auc_of_score", """
+SELECT round(CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE)
+             / CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 9) AS auc
+FROM (SELECT s, pos, neg,
+             COALESCE(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS neg_below
+      FROM (SELECT renewal_rate AS s,
+                   sum(CASE WHEN churn_flag THEN 1 ELSE 0 END) AS pos,
+                   sum(CASE WHEN churn_flag THEN 0 ELSE 1 END) AS neg
+            FROM um GROUP BY renewal_rate))""")
+
+
+# ---- data quality profile of the raw tables -----------------------------------
+def _profile(table: str, src: str, cols: list[str], key: str | None, plan: bool = False) -> str:
+    parts = [f"SELECT '{table}' AS \"table\", 'rows' AS metric, CAST(NULL AS VARCHAR) AS \"column\", "
+             f"CAST(count(*) AS DOUBLE) AS value FROM {src}"]
+    if key:
+        parts.append(f"SELECT '{table}', 'dup_keys', NULL, CAST(count(*) - count(DISTINCT {key}) AS DOUBLE) FROM {src}")
+    parts += [f"SELECT '{table}', 'null', '{c}', round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM {src}"
+              for c in cols]
+    if plan:
+        parts.append(f"SELECT '{table}', 'noncanonical_plan', NULL, "
+                     f"CAST(COALESCE(sum(CASE WHEN plan <> lower(plan) THEN 1 ELSE 0 END), 0) AS DOUBLE) FROM {src}")
+    return "\nUNION ALL ".join(parts)
+
+
+oracle("dq_profile", "\nUNION ALL ".join([
+    _profile("users", "raw_users", ["user_id", "signup_date", "country"], "user_id"),
+    _profile("sessions", "raw_sessions", ["session_id", "user_id", "session_time", "duration"], "session_id"),
+    _profile("events", "raw_events", ["event_id", "user_id", "session_id", "event_type", "feature", "event_time"],
+             "event_id"),
+    _profile("payments", "raw_payments", ["user_id", "plan", "revenue", "payment_date"], None, True),
+]))
