@@ -174,8 +174,10 @@ def _row_index(df: DataFrame) -> DataFrame:
     per-partition count (one row per partition).
     """
     checkpoint_dir(df.sparkSession)
-    d = (df.withColumn("_mid", F.monotonically_increasing_id())
-         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_pid", F.spark_partition_id()).persist())
+    d = tagged.checkpoint(eager=True)  # persisted first, so the lineage runs once
+    tagged.unpersist()
     counts = d.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     off = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

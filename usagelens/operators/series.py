@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.operators.activity import daily_active_users, user_day
 
@@ -25,8 +26,23 @@ def segment_daily_active_users(sessions: DataFrame, users: DataFrame, by: Sequen
 
 def zscore_anomalies(daily: DataFrame, value: str = "dau", z_threshold: float = 2.5,
                      by: Sequence[str] = ()) -> DataFrame:
-    """Add z_score (population sd; sd 0 -> 1e-6) and is_anomaly = |z| >= threshold."""
-    stats = daily.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
+    """Add z_score (population sd; sd 0 -> 1e-6) and is_anomaly = |z| >= threshold.
+
+    For integer series (DAU) the moments are exact: integer sums in
+    decimal(38,0), variance (n*Sxx - Sx^2) / n^2 rounded once, so the
+    score on a tie such as |z| = 2.5 does not depend on summation order.
+    """
+    if isinstance(daily.schema[value].dataType, T.IntegralType):
+        d = "decimal(38,0)"
+        x = F.col(value).cast(d)
+        stats = daily.groupBy(*by).agg(F.count(value).cast(d).alias("_n"), F.sum(x).alias("_sx"),
+                                       F.sum(x * x).alias("_sxx"))
+        stats = stats.select(
+            *by, (F.col("_sx").cast("double") / F.col("_n").cast("double")).alias("_mean"),
+            F.sqrt((F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx")).cast("double")
+                   / (F.col("_n") * F.col("_n")).cast("double")).alias("_sd"))
+    else:
+        stats = daily.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
     # without segments the statistics are one row; with segments the join
     # is sized by Spark (broadcast only under its threshold)
     j = daily.crossJoin(F.broadcast(stats)) if not by else daily.join(stats, list(by))

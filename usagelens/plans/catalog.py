@@ -336,10 +336,11 @@ def dq_profile(spark, sf_dir):
 def summary_json(spark, sf_dir):
     from usagelens.operators import ml
     from usagelens.plans import pipeline
-    from usagelens.session import checkpoint_dir
-    checkpoint_dir(spark)
-    # nine one-row parts read these: cut their lineage once (reliable checkpoint)
-    t = {k: v.checkpoint() for k, v in tables(spark, sf_dir).items()}
+    # nine one-row parts read the metrics and sessions: keep them cached
+    # (lineage stays, so lost blocks are recomputed)
+    t = tables(spark, sf_dir)
+    for k in ("user_metrics", "sessions"):
+        t[k] = t[k].persist()
     feats = ml.prepare_ml_features(t["user_metrics"])
     model = ml.train_churn_model(feats)
     rec = pipeline.summary(t, model, ml.model_importance(model, feats),

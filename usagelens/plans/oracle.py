@@ -318,8 +318,12 @@ def _zscore(src: str, keys: str, z: float) -> str:
 SELECT {sel}d.date, d.dau,
        round((d.dau - s.m) / CASE WHEN s.sd IS NULL OR s.sd = 0 THEN 1e-6 ELSE s.sd END, 6) AS z_score,
        abs((d.dau - s.m) / CASE WHEN s.sd IS NULL OR s.sd = 0 THEN 1e-6 ELSE s.sd END) >= {z} AS is_anomaly
-FROM {src} d JOIN (SELECT {keys + ',' if keys else ''} avg(dau) AS m, stddev_pop(dau) AS sd
-                   FROM {src} {grp}) s ON {on}"""
+FROM {src} d JOIN (
+    SELECT {keys + ',' if keys else ''} CAST(sx AS DOUBLE) / CAST(n AS DOUBLE) AS m,
+           sqrt(CAST(n * sxx - sx * sx AS DOUBLE) / CAST(n * n AS DOUBLE)) AS sd
+    FROM (SELECT {keys + ',' if keys else ''} CAST(count(dau) AS HUGEINT) AS n,
+                 CAST(sum(dau) AS HUGEINT) AS sx, CAST(sum(CAST(dau AS HUGEINT) * dau) AS HUGEINT) AS sxx
+          FROM {src} {grp})) s ON {on}"""
 
 
 oracle("dau_anomalies", _zscore("dau", "", 1.5))
