@@ -78,15 +78,22 @@ class ChurnModel:
 
 
 def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: int | None = None,
-                      seed: int = 42) -> ChurnModel:
+                      seed: int = 42, tol: float = 1e-4,
+                      rows_per_partition: int = 1_000_000) -> ChurnModel:
     """ML3 / ML3b: fit on all rows.
 
     logreg: features standardised with the population sd, L2 with C = 1,
-    i.e. regParam = 1/n (spark.ml does not penalise the intercept).
+    i.e. regParam = 1/n (spark.ml does not penalise the intercept); the
+    stopping tolerance defaults to 1e-4 like the source's solver.
     gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
     on the raw features.
     """
     stats = scaler_stats(features)
+    # every optimiser step is a job over all partitions: size them by rows
+    # (about 50 MB of features each) instead of by the upstream layout
+    parts = max(1, math.ceil(stats["n"] / rows_per_partition))
+    if parts < features.rdd.getNumPartitions():
+        features = features.coalesce(parts)
     scale = SQLTransformer(statement=_scaling_statement(stats))
     if backend == "gbt":
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features_vec")
@@ -98,7 +105,8 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: in
         assembler = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features_vec")
         est = LogisticRegression(featuresCol="features_vec", labelCol=LABEL,
                                  regParam=1.0 / max(stats["n"], 1), elasticNetParam=0.0,
-                                 standardization=False, maxIter=max_iter or 500, fitIntercept=True)
+                                 standardization=False, maxIter=max_iter or 500, fitIntercept=True,
+                                 tol=tol)
     pipe = Pipeline(stages=[scale, assembler, est]).fit(features)
     return ChurnModel(pipe, backend, stats)
 

@@ -28,11 +28,36 @@ def query(fn):
     return fn
 
 
+_PLANS: dict = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    """Build a set of lazy plans once per session and reuse the objects.
+
+    Only the (immutable, unexecuted) DataFrame plans are kept: PySpark
+    analyses every intermediate frame while it is built, which costs more
+    than running these queries on small data. Every action still reads
+    the parquet files.
+    """
+    k = (id(spark), *key)
+    hit = _PLANS.get(k)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _PLANS[k] = hit
+    return dict(hit[1])
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo(spark, ("raw", sf_dir), lambda: fx.raw_tables(spark, sf_dir))
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Clean tables plus ``user_metrics`` at the fixture as-of time."""
-    t = fx.clean_tables(spark, sf_dir)
-    t["user_metrics"] = user_metrics(t["users"], t["sessions"], t["payments"], fx.AS_OF)
-    return t
+    def build():
+        t = fx.clean_tables(spark, sf_dir)
+        t["user_metrics"] = user_metrics(t["users"], t["sessions"], t["payments"], fx.AS_OF)
+        return t
+    return _memo(spark, ("clean", sf_dir), build)
 
 
 # ---- cleaning and the metrics fold -----------------------------------------
@@ -329,18 +354,14 @@ def auc_of_score(spark, sf_dir):
 @query
 def dq_profile(spark, sf_dir):
     from usagelens.operators.quality import dq_profile as profile
-    return round_doubles(profile(fx.raw_tables(spark, sf_dir)), 6)
+    return round_doubles(profile(raw_tables(spark, sf_dir)), 6)
 
 
 @query
 def summary_json(spark, sf_dir):
     from usagelens.operators import ml
     from usagelens.plans import pipeline
-    # nine one-row parts read the metrics and sessions: keep them cached
-    # (lineage stays, so lost blocks are recomputed)
     t = tables(spark, sf_dir)
-    for k in ("user_metrics", "sessions"):
-        t[k] = t[k].persist()
     feats = ml.prepare_ml_features(t["user_metrics"])
     model = ml.train_churn_model(feats)
     rec = pipeline.summary(t, model, ml.model_importance(model, feats),

@@ -94,7 +94,8 @@ CTES["c_payments"] = """
     FROM raw_payments"""
 
 CTES["sm"] = """
-    SELECT user_id, count(session_id) AS sessions_total, avg(duration) AS avg_d,
+    SELECT user_id, count(session_id) AS sessions_total,
+           CAST(sum(CAST(duration AS DECIMAL(38,6))) AS DOUBLE) / count(duration) AS avg_d,
            min(session_time) AS first_session, max(session_time) AS last_session
     FROM c_sessions GROUP BY user_id"""
 

@@ -38,31 +38,61 @@ PLAN_BY_PRIORITY = {
 # ------------------------------------------------------------------------
 
 
+# Declared schemas of the source tables this mapping reads. Passing them to
+# the reader skips schema inference (a footer-reading job per scan) and
+# fails fast if a file does not carry the expected types.
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_if(cond, value):
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_copies(df: DataFrame, copy_when) -> DataFrame:
+    """Rows where ``copy_when`` holds appear twice (UNION ALL of the copies),
+    produced by a generator in the same scan instead of a second branch."""
+    n = F.when(copy_when, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(n).alias("_copy"))
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     signup = (F.lit(SIGNUP_BASE).cast("timestamp_ntz")
               + F.make_dt_interval(days=((F.col("c_custkey") * 37) % 90).cast("int")))
-    base = (c.join(n, c.c_nationkey == n.n_nationkey)
-            .select(F.col("c_custkey").cast("long").alias("user_id"),
-                    signup.alias("signup_date"),
-                    _null_if(F.col("c_custkey") % 50 == 1, F.col("n_name")).alias("country")))
-    copies = (base.where(F.col("user_id") % 100 == 3)
-              .withColumn("country", F.lit(None).cast("string")))
-    return base.unionByName(copies)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+            .select(F.col("c_custkey").cast("long").alias("user_id"), signup.alias("signup_date"),
+                    F.col("n_name")))
+
+
+def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer; customers with key % 100 = 3 get a second row
+    with a null country."""
+    u = _with_copies(_customers(spark, sf_dir), F.col("user_id") % 100 == 3)
+    country = F.when((F.col("_copy") == 1) | (F.col("user_id") % 50 == 1), F.lit(None).cast("string")) \
+        .otherwise(F.col("n_name"))
+    return u.select("user_id", "signup_date", country.alias("country"))
 
 
 def raw_sessions(spark: SparkSession, sf_dir: str, users: DataFrame | None = None) -> DataFrame:
-    users = users if users is not None else raw_users(spark, sf_dir)
-    known = users.select("user_id", "signup_date").distinct()
+    """Events of known users at or after signup (the distinct (user, signup)
+    pairs of raw_users are exactly the customer rows, so no distinct is
+    needed); session_id = event_id."""
+    known = _customers(spark, sf_dir).select("user_id", "signup_date")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     j = e.join(known, (e.user_id == known.user_id) & (e.ts >= known.signup_date))
     base = j.select(
@@ -71,7 +101,7 @@ def raw_sessions(spark: SparkSession, sf_dir: str, users: DataFrame | None = Non
         _null_if(F.col("event_id") % 100 == 7, F.col("ts")).alias("session_time"),
         _null_if(F.col("event_id") % 20 == 3, F.col("value")).alias("duration"),
     )
-    return base.unionByName(base.where(F.col("session_id") % 200 == 11))
+    return _with_copies(base, F.col("session_id") % 200 == 11).drop("_copy")
 
 
 def _feature_of(k):
@@ -92,7 +122,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_if(F.col("event_id") % 100 == 5, _feature_of(k)).alias("feature"),
         F.col("ts").alias("event_time"),
     )
-    return base.unionByName(base.where(F.col("event_id") % 200 == 11))
+    return _with_copies(base, F.col("event_id") % 200 == 11).drop("_copy")
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
