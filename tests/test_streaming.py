@@ -1,0 +1,19 @@
+"""The streaming DAU equals the batch DAU on the same sessions."""
+from tests.conftest import SF_SMALL
+from usagelens.operators.activity import daily_active_users
+from usagelens.plans.catalog import tables
+from usagelens.sources.schemas import SESSIONS, conform
+from usagelens.streaming import activity as st
+
+
+def test_stream_matches_batch(spark, scratch):
+    sessions = conform(tables(spark, SF_SMALL)["sessions"], SESSIONS)
+    # two arrivals: the first and second half of the month
+    sessions.where("day(session_time) <= 15").write.parquet(f"{scratch}/in/part1")
+    sessions.where("day(session_time) > 15 OR session_time IS NULL").write.parquet(f"{scratch}/in/part2")
+    stream = st.read_session_stream(spark, f"{scratch}/in/*")
+    q = st.start_daily_active_users(stream, f"{scratch}/ck", table_path=f"{scratch}/dau", late_days=40)
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/dau").collect())
+    want = sorted(tuple(r) for r in daily_active_users(sessions).collect())
+    assert got == want and len(got) == 30
