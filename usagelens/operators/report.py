@@ -80,6 +80,17 @@ def kpi_card(metrics: DataFrame) -> DataFrame:
     return conv.crossJoin(churn)  # one row each
 
 
+def kpi_display(kpi: DataFrame) -> DataFrame:
+    """The KPI card as display text, (position, label, value): counts with
+    thousands separators, rates as percentages with two decimals."""
+    pct = lambda c: F.format_string("%.2f%%", F.col(c) * 100)
+    return kpi.select(
+        F.format_number("total_users", 0).alias("users"), F.format_number("paid_users", 0).alias("paying"),
+        pct("conversion_rate").alias("conv"), pct("global_churn_rate").alias("churn"),
+    ).select(F.expr("stack(4, 1, 'Global Users', users, 2, 'Paying Users', paying, "
+                    "3, 'Conversion', conv, 4, 'Churn', churn) AS (position, label, value)"))
+
+
 def funnel(metrics: DataFrame, sessions: DataFrame) -> DataFrame:
     """(step, stage, users). "Active" = any session in the window."""
     m = metrics.agg(

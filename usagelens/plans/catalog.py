@@ -207,6 +207,34 @@ def _sel(spark, sf_dir):
     return t, sel, win
 
 
+# explicit filter setting (parameters, not data): five countries, two plans,
+# the second and third week of January
+FILTER = dict(countries=["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5"],
+              plans=["growth", "enterprise"], start="2024-01-08 00:00:00", end="2024-01-21 23:59:59")
+
+
+def _sel_filtered(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    sel, win = report.selection(t, **FILTER)
+    return t, sel, win
+
+
+@query
+def report_funnel_filtered(spark, sf_dir):
+    _, sel, win = _sel_filtered(spark, sf_dir)
+    return report.funnel(sel, win)
+
+
+@query
+def report_dau_filtered(spark, sf_dir):
+    return daily_active_users(_sel_filtered(spark, sf_dir)[2])
+
+
+@query
+def report_cohorts_filtered(spark, sf_dir):
+    return round_doubles(cohorts.cohort_retention_long(_sel_filtered(spark, sf_dir)[2]), DIGITS)
+
+
 @query
 def report_filter_values(spark, sf_dir):
     return report.filter_values(tables(spark, sf_dir)["user_metrics"])
@@ -222,6 +250,11 @@ def report_kpi(spark, sf_dir):
     return report.kpi_card(_sel(spark, sf_dir)[1])
 
 
+@query
+def report_kpi_display(spark, sf_dir):
+    return report.kpi_display(report.kpi_card(_sel(spark, sf_dir)[1]))
+
+
 @query
 def report_funnel(spark, sf_dir):
     _, sel, win = _sel(spark, sf_dir)
@@ -290,6 +323,12 @@ def churn_scored(spark, sf_dir):
     return ml.score(model, feats)
 
 
+@query
+def churn_scored_gbt(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir, "gbt")
+    return ml.score(model, feats)
+
+
 @query
 def churn_report(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)

@@ -530,3 +530,43 @@ oracle("dq_profile", "\nUNION ALL ".join([
              "event_id"),
     _profile("payments", "raw_payments", ["user_id", "plan", "revenue", "payment_date"], None, True),
 ]))
+
+
+oracle("report_kpi_display", """
+SELECT * FROM (
+    SELECT 1 AS position, 'Global Users' AS label, format('{:,}', count(*)) AS value FROM sel
+    UNION ALL SELECT 2, 'Paying Users', format('{:,}', count(DISTINCT CASE WHEN is_paid_user THEN user_id END))
+    FROM sel
+    UNION ALL SELECT 3, 'Conversion',
+        printf('%.2f%%', round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END) / greatest(count(*), 1), 4)
+                         * 100) FROM sel
+    UNION ALL SELECT 4, 'Churn', printf('%.2f%%', round(avg(CAST(churn_flag AS INTEGER)), 4) * 100) FROM sel)""")
+
+
+# ---- report with an explicit filter setting ------------------------------------
+CTES["fsel"] = """
+    SELECT * FROM um WHERE country IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5')
+                       AND plans IN ('growth', 'enterprise')"""
+CTES["fwin"] = """
+    SELECT * FROM c_sessions
+    WHERE session_time >= TIMESTAMP '2024-01-08 00:00:00' AND session_time <= TIMESTAMP '2024-01-21 23:59:59'
+      AND user_id IN (SELECT user_id FROM fsel)"""
+CTES["fwin_weeks"] = """
+    SELECT DISTINCT user_id, CAST(date_trunc('week', session_time) AS DATE) AS wk FROM fwin"""
+oracle("report_funnel_filtered", """
+SELECT 1 AS step, 'Signups' AS stage, (SELECT count(*) FROM fsel) AS users
+UNION ALL SELECT 2, 'Active (30d)', (SELECT count(DISTINCT user_id) FROM fwin)
+UNION ALL SELECT 3, 'Paid', (SELECT count(DISTINCT user_id) FROM fsel WHERE is_paid_user)
+UNION ALL SELECT 4, 'Churned', (SELECT count(DISTINCT user_id) FROM fsel WHERE churn_flag)""")
+oracle("report_dau_filtered", """
+SELECT CAST(session_time AS DATE) AS date, count(DISTINCT user_id) AS dau FROM fwin GROUP BY 1""")
+oracle("report_cohorts_filtered", """
+SELECT cohort_week, week_offset, active_users,
+       round(active_users / max(CASE WHEN week_offset = 0 THEN active_users END)
+             OVER (PARTITION BY cohort_week), 4) AS retention
+FROM (SELECT f.cohort_week, CAST((w.wk - f.cohort_week) // 7 AS INTEGER) AS week_offset,
+             count(DISTINCT w.user_id) AS active_users
+      FROM fwin_weeks w JOIN (SELECT user_id, min(wk) AS cohort_week FROM fwin_weeks GROUP BY user_id) f
+        ON w.user_id = f.user_id
+      GROUP BY 1, 2)
+WHERE week_offset >= 0 AND week_offset < 12""")
