@@ -158,10 +158,13 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_proba
     hist = scored.groupBy(F.col(score_col).alias("s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("long").alias("neg"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = hist.agg(F.percentile_approx("s", qs, 10000).alias("b"))
-    hb = (hist.crossJoin(F.broadcast(bounds))  # one row
-          .withColumn("bucket", F.size(F.filter("b", lambda x: x < F.col("s")))).drop("b"))
+    if buckets > 1:
+        qs = [i / buckets for i in range(1, buckets)]
+        bounds = hist.agg(F.percentile_approx("s", qs, 10000).alias("b"))
+        hb = (hist.crossJoin(F.broadcast(bounds))  # one row
+              .withColumn("bucket", F.size(F.filter("b", lambda x: x < F.col("s")))).drop("b"))
+    else:
+        hb = hist.withColumn("bucket", F.lit(0))
     below = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     hb = hb.withColumn("nb_in", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     tot = hb.groupBy("bucket").agg(F.sum("neg").alias("bn"))
