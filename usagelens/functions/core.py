@@ -42,6 +42,19 @@ def nz(col: Column, default=0) -> Column:
     return F.coalesce(col, F.lit(default))
 
 
+def attach(df: DataFrame, record: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame (a global aggregate) to every row.
+
+    The record travels as ONE scalar subquery holding a struct: Spark runs
+    it once and inlines the value, so no join (and no cross product) is
+    planned. A record with no rows gives nulls; more than one row is an
+    error, so the size bound is enforced, not assumed.
+    """
+    rec = record.select(F.struct(*record.columns).alias("_rec")).scalar()
+    keep = [c for c in df.columns if c not in record.columns]
+    return df.withColumn("_rec", rec).select(*keep, *[F.col("_rec")[c].alias(c) for c in record.columns])
+
+
 def round_half_even(col: Column | str, digits: int) -> Column:
     """Round like pandas/numpy: scale, round half to even, unscale.
 

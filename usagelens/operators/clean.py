@@ -39,11 +39,8 @@ def clean_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSI
     with the median of what remains. Null session_time stays null."""
     s = sessions.withColumn("session_time", F.col("session_time").cast("timestamp_ntz"))
     s = keep_first(s, "session_id", order_by).where(F.col("user_id").isNotNull())
-    med = median_of(s, "duration", exact_median)
-    # one-row frame: broadcasting it is bounded by construction
-    return (s.crossJoin(F.broadcast(med))
-            .withColumn("duration", F.coalesce("duration", "_median"))
-            .drop("_median"))
+    med = median_of(s, "duration", exact_median).scalar()  # one value, one subquery
+    return s.withColumn("duration", F.coalesce(F.col("duration"), med))
 
 
 def clean_events(events: DataFrame, order_by: Sequence[str | Column] = EVENTS_ORDER) -> DataFrame:

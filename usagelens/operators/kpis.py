@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import round_half_even
+from usagelens.functions import attach, round_half_even
 
 from usagelens.functions import month_start
 
@@ -48,8 +48,7 @@ def churn_summary(metrics: DataFrame, k: int = 3) -> DataFrame:
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct((-F.col("churned_users")).alias("n"), "country"))),
             lambda s: s["country"]), ",").alias("top_churn_countries"))
-    # both sides are single rows
-    return rate.crossJoin(top)
+    return attach(rate, top)
 
 
 def ltv_summary(metrics: DataFrame) -> DataFrame:

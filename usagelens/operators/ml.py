@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.functions import safe_div
+from usagelens.functions import attach, safe_div
 from usagelens.session import checkpoint_dir
 from usagelens.sources.schemas import FEATURE_COLUMNS
 
@@ -161,7 +161,7 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_proba
     if buckets > 1:
         qs = [i / buckets for i in range(1, buckets)]
         bounds = hist.agg(F.percentile_approx("s", qs, 10000).alias("b"))
-        hb = (hist.crossJoin(F.broadcast(bounds))  # one row
+        hb = (hist.withColumn("b", bounds.scalar())  # one array of buckets-1 bounds
               .withColumn("bucket", F.size(F.filter("b", lambda x: x < F.col("s")))).drop("b"))
     else:
         hb = hist.withColumn("bucket", F.lit(0))
@@ -246,7 +246,7 @@ def permutation_importance(model: ChurnModel, features: DataFrame, repeats: int
     acc = (model.transform(v).groupBy("feature", "r")
            .agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("acc")))
     mean_acc = acc.groupBy("feature").agg(F.avg("acc").alias("acc"))
-    return (mean_acc.crossJoin(F.broadcast(accuracy(model, features)))  # one row
+    return (attach(mean_acc, accuracy(model, features))
             .select("feature", (F.col("accuracy") - F.col("acc")).alias("permutation_importance")))
 
 
@@ -295,7 +295,7 @@ def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
     b = float(est.intercept)
     z = model.pipeline.stages[0].transform(features)
     zm = z.agg(*[F.avg(f"z_{c}").alias(f"zm_{c}") for c in FEATURES])
-    j = z.crossJoin(F.broadcast(zm))  # one row
+    j = attach(z, zm)
     base = F.lit(b)
     for wi, c in zip(w, FEATURES):
         base = base + F.lit(wi) * F.col(f"zm_{c}")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import as_ts
+from usagelens.functions import as_ts, attach
 from usagelens.operators import cohorts, insights, kpis, segments, series
 from usagelens.operators.activity import daily_active_users
 
@@ -77,7 +77,7 @@ def kpi_card(metrics: DataFrame) -> DataFrame:
     """Total users, paying users, conversion, churn on the selection."""
     conv = kpis.conversion_rates(metrics).select("total_users", "paid_users", "conversion_rate")
     churn = kpis.churn_summary(metrics).select("global_churn_rate")
-    return conv.crossJoin(churn)  # one row each
+    return attach(conv, churn)
 
 
 def kpi_display(kpi: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def funnel(metrics: DataFrame, sessions: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.col("is_paid_user"), F.col("user_id"))).alias("paid"),
         F.count_distinct(F.when(F.col("churn_flag"), F.col("user_id"))).alias("churned"))
     s = sessions.agg(F.count_distinct("user_id").alias("active"))
-    return m.crossJoin(s).select(F.expr(
+    return attach(m, s).select(F.expr(
         "stack(4, 1, 'Signups', signups, 2, 'Active (30d)', active, 3, 'Paid', paid, 4, 'Churned', churned)"
         " AS (step, stage, users)"))
 
@@ -118,7 +118,7 @@ def forecast_table(sessions: DataFrame, periods: int = 14, tail: int = 10) -> Da
 def mrr_card(metrics: DataFrame, payments: DataFrame) -> DataFrame:
     """LTV figures of the selection and MRR of its payments."""
     pay = payments.join(metrics.select("user_id"), "user_id", "left_semi")
-    return kpis.ltv_summary(metrics).crossJoin(kpis.revenue_summary(pay))
+    return attach(kpis.ltv_summary(metrics), kpis.revenue_summary(pay))
 
 
 def selected_payments(metrics: DataFrame, payments: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from usagelens.functions import attach
 from usagelens.operators.activity import daily_active_users, user_day
 
 
@@ -43,9 +44,9 @@ def zscore_anomalies(daily: DataFrame, value: str = "dau", z_threshold: float =
                    / (F.col("_n") * F.col("_n")).cast("double")).alias("_sd"))
     else:
         stats = daily.groupBy(*by).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
-    # without segments the statistics are one row; with segments the join
-    # is sized by Spark (broadcast only under its threshold)
-    j = daily.crossJoin(F.broadcast(stats)) if not by else daily.join(stats, list(by))
+    # without segments the statistics are one row (a scalar subquery); with
+    # segments it is a join Spark sizes (broadcast only under its threshold)
+    j = attach(daily, stats) if not by else daily.join(stats, list(by))
     sd = F.when(F.col("_sd").isNull() | (F.col("_sd") == 0), F.lit(1e-6)).otherwise(F.col("_sd"))
     z = (F.col(value) - F.col("_mean")) / sd
     return (j.withColumn("z_score", z)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.functions import attach
 from usagelens.operators import clean as C
 from usagelens.operators import cohorts, insights, kpis, ml, segments, series
 from usagelens.operators.user_metrics import user_metrics
@@ -57,7 +58,7 @@ def summary(t: dict[str, DataFrame], model: ml.ChurnModel, importance: DataFrame
     ]
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(p)  # every part is exactly one row
+        out = attach(out, p)  # every part is exactly one row
     return out.withColumn("churn_backend", F.lit(model.backend))
 
 
