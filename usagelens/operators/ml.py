@@ -15,6 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +89,18 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: in
     gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
     on the raw features.
     """
+    # the statistics pass, the solver's set-up passes and the summaries all
+    # read the features: keep them cached while fitting (lineage stays, so
+    # lost blocks are recomputed)
+    cached = features.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(cached, backend, max_iter, seed, tol, rows_per_partition)
+    finally:
+        cached.unpersist()
+
+
+def _fit(features: DataFrame, backend: str, max_iter: int | None, seed: int, tol: float,
+         rows_per_partition: int) -> ChurnModel:
     stats = scaler_stats(features)
     # every optimiser step is a job over all partitions: size them by rows
     # (about 50 MB of features each) instead of by the upstream layout
