@@ -140,3 +140,12 @@ def test_segment_dau_and_forecast_by(spark):
     got = sorted((r["country"], r["date"], r["dau"]) for r in by.collect())
     assert got[0] == ("India", date(2024, 1, 1), 1) and len(got) == 4
     assert series.forecast_dau_by(t["sessions"], t["users"], ["country"]).count() == 0
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from usagelens.operators.activity import daily_active_users, monthly_active_users
+    t = m1.tables(spark)
+    exact = sorted(tuple(r) for r in daily_active_users(t["sessions"]).collect())
+    approx = sorted(tuple(r) for r in daily_active_users(t["sessions"], approx_rsd=0.01).collect())
+    assert exact == approx   # tiny sets are counted exactly by HLL++
+    assert monthly_active_users(t["sessions"], 0.01).count() == 2

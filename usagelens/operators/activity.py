@@ -21,13 +21,24 @@ def user_day(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             .distinct())
 
 
-def daily_active_users(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., date, dau): distinct active users per calendar day."""
+def daily_active_users(sessions: DataFrame, by: Sequence[str] = (),
+                       approx_rsd: float | None = None) -> DataFrame:
+    """(by..., date, dau): distinct active users per calendar day.
+
+    ``approx_rsd`` switches to a HyperLogLog++ count with that relative
+    standard deviation: fixed-size sketches instead of the (user, day) rollup.
+    """
+    if approx_rsd is not None:
+        return (sessions.where(F.col("session_time").isNotNull() & F.col("user_id").isNotNull())
+                .groupBy(*by, F.to_date("session_time").alias("date"))
+                .agg(F.approx_count_distinct("user_id", approx_rsd).alias("dau")))
     return (user_day(sessions, by).groupBy(*by, "date")
             .agg(F.count("*").alias("dau")))
 
 
-def monthly_active_users(sessions: DataFrame) -> DataFrame:
+def monthly_active_users(sessions: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """(activity_month, mau); sessions without a time form a null month."""
+    users = (F.count_distinct("user_id") if approx_rsd is None
+             else F.approx_count_distinct("user_id", approx_rsd))
     return (sessions.groupBy(month_start(F.col("session_time")).alias("activity_month"))
-            .agg(F.count_distinct("user_id").alias("mau")))
+            .agg(users.alias("mau")))

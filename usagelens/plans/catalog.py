@@ -187,6 +187,18 @@ def dau_anomalies_by_country(spark, sf_dir):
     return round_doubles(series.detect_dau_anomalies_by(t["sessions"], t["users"], ["country"], 1.5), 6)
 
 
+@query
+def dau_anomalies_by_plan(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return round_doubles(series.detect_dau_anomalies_by(t["sessions"], t["user_metrics"], ["plans"], 1.5), 6)
+
+
+@query
+def mau(spark, sf_dir):
+    from usagelens.operators.activity import monthly_active_users
+    return monthly_active_users(tables(spark, sf_dir)["sessions"])
+
+
 @query
 def dau_forecast(spark, sf_dir):
     return round_doubles(series.forecast_dau(tables(spark, sf_dir)["sessions"], 14), DIGITS)

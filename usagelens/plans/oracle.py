@@ -570,3 +570,13 @@ FROM (SELECT f.cohort_week, CAST((w.wk - f.cohort_week) // 7 AS INTEGER) AS week
         ON w.user_id = f.user_id
       GROUP BY 1, 2)
 WHERE week_offset >= 0 AND week_offset < 12""")
+
+
+CTES["plan_dau"] = """
+    SELECT u.plans, d.date, count(*) AS dau
+    FROM user_day d JOIN um u ON d.user_id = u.user_id
+    GROUP BY u.plans, d.date"""
+oracle("dau_anomalies_by_plan", _zscore("plan_dau", "plans", 1.5))
+oracle("mau", """
+SELECT CAST(date_trunc('month', session_time) AS DATE) AS activity_month, count(DISTINCT user_id) AS mau
+FROM c_sessions GROUP BY 1""")
