@@ -149,3 +149,15 @@ def test_approx_distinct_close_to_exact(spark):
     approx = sorted(tuple(r) for r in daily_active_users(t["sessions"], approx_rsd=0.01).collect())
     assert exact == approx   # tiny sets are counted exactly by HLL++
     assert monthly_active_users(t["sessions"], 0.01).count() == 2
+
+
+def test_report_bundle(spark):
+    t = m1.tables(spark)
+    r = report.report(t, countries=["India", "Unknown"], plans=[], start="2024-01-01 00:00:00",
+                      end="2024-01-31 00:00:00", now=m1.AS_OF, lookback_weeks=2)
+    assert set(r) >= {"kpi", "funnel", "cohorts", "dau", "segments", "insights", "mrr", "scenarios",
+                      "anomalies", "forecast", "filter_values", "time_bounds", "monthly_revenue"}
+    kpi = r["kpi"].first()
+    assert (kpi["total_users"], kpi["paid_users"], kpi["global_churn_rate"]) == (3, 1, 0.6667)
+    assert r["scenarios"].count() == 121 and r["forecast"].count() == 0
+    assert {x["stage"]: x["users"] for x in r["funnel"].collect()}["Active (30d)"] == 2
