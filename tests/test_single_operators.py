@@ -3,7 +3,6 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests import m1
 from usagelens.operators import kpis, ml, report, series
