@@ -79,20 +79,22 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name")))
 
 
-def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_users(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
     """One row per customer; customers with key % 100 = 3 get a second row
     with a null country."""
-    u = _with_copies(_customers(spark, sf_dir), F.col("user_id") % 100 == 3)
+    customers = customers if customers is not None else _customers(spark, sf_dir)
+    u = _with_copies(customers, F.col("user_id") % 100 == 3)
     country = F.when((F.col("_copy") == 1) | (F.col("user_id") % 50 == 1), F.lit(None).cast("string")) \
         .otherwise(F.col("n_name"))
     return u.select("user_id", "signup_date", country.alias("country"))
 
 
-def raw_sessions(spark: SparkSession, sf_dir: str, users: DataFrame | None = None) -> DataFrame:
+def raw_sessions(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
     """Events of known users at or after signup (the distinct (user, signup)
     pairs of raw_users are exactly the customer rows, so no distinct is
     needed); session_id = event_id."""
-    known = _customers(spark, sf_dir).select("user_id", "signup_date")
+    customers = customers if customers is not None else _customers(spark, sf_dir)
+    known = customers.select("user_id", "signup_date")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     j = e.join(known, (e.user_id == known.user_id) & (e.ts >= known.signup_date))
     base = j.select(
@@ -145,10 +147,10 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    users = raw_users(spark, sf_dir)
+    customers = _customers(spark, sf_dir)
     return {
-        "users": users,
-        "sessions": raw_sessions(spark, sf_dir, users),
+        "users": raw_users(spark, sf_dir, customers),
+        "sessions": raw_sessions(spark, sf_dir, customers),
         "events": raw_events(spark, sf_dir),
         "payments": raw_payments(spark, sf_dir),
     }
