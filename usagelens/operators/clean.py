@@ -33,14 +33,29 @@ def median_of(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     return df.agg(agg.alias("_median"))
 
 
+def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER) -> DataFrame:
+    """First phase of session cleaning: one row per session_id, then rows
+    without a user dropped."""
+    s = sessions.withColumn("session_time", F.col("session_time").cast("timestamp_ntz"))
+    return keep_first(s, "session_id", order_by).where(F.col("user_id").isNotNull())
+
+
+def fill_duration(sessions: DataFrame, exact_median: bool = True) -> DataFrame:
+    """Second phase: null duration -> median of the known durations."""
+    med = median_of(sessions, "duration", exact_median).scalar()  # one value, one subquery
+    return sessions.withColumn("duration", F.coalesce(F.col("duration"), med))
+
+
 def clean_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER,
                    exact_median: bool = True) -> DataFrame:
     """Dedupe session_id, then drop null user_id, then fill null duration
-    with the median of what remains. Null session_time stays null."""
-    s = sessions.withColumn("session_time", F.col("session_time").cast("timestamp_ntz"))
-    s = keep_first(s, "session_id", order_by).where(F.col("user_id").isNotNull())
-    med = median_of(s, "duration", exact_median).scalar()  # one value, one subquery
-    return s.withColumn("duration", F.coalesce(F.col("duration"), med))
+    with the median of what remains. Null session_time stays null.
+
+    The median is a scalar subquery over the deduplicated rows; at run time
+    it reuses the dedupe shuffle of the main plan (ReusedExchange), so the
+    dedupe runs once.
+    """
+    return fill_duration(dedupe_sessions(sessions, order_by), exact_median)
 
 
 def clean_events(events: DataFrame, order_by: Sequence[str | Column] = EVENTS_ORDER) -> DataFrame:

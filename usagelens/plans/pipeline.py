@@ -64,9 +64,18 @@ def summary(t: dict[str, DataFrame], model: ml.ChurnModel, importance: DataFrame
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
         backend: str = "logreg", lookback_weeks: int = 12) -> dict[str, str]:
-    """Run everything and write the artifacts under ``out``; returns their paths."""
-    paths = io.write_all(process(raw, as_of), f"{out}/processed")
+    """Run everything and write the artifacts under ``out``; returns their paths.
+
+    The four clean tables are written first and ``user_metrics`` is folded
+    from the written files, so no later step repeats the cleaning lineage.
+    """
+    clean = process(raw, as_of)
+    paths = io.write_all({k: clean[k] for k in ("users", "sessions", "events", "payments")},
+                         f"{out}/processed")
     t = {name: spark.read.parquet(p) for name, p in paths.items()}
+    metrics = user_metrics(t["users"], t["sessions"], t["payments"], as_of)
+    paths["user_metrics"] = io.write_table(metrics, f"{out}/processed", "user_metrics")
+    t["user_metrics"] = spark.read.parquet(paths["user_metrics"])
 
     art = f"{out}/artifacts"
     written = {}
