@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions import attach, safe_div
-from usagelens.session import checkpoint_dir
+from usagelens.session import cut_lineage
 from usagelens.sources.schemas import FEATURE_COLUMNS
 
 FEATURES = list(FEATURE_COLUMNS)
@@ -166,11 +166,15 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_proba
     bounds are approximate quantiles of the distinct scores, so buckets are
     balanced) and offset by the totals of the lower buckets (``buckets``
     rows). No step sees more than one bucket; the result is exact.
+
+    The histogram feeds three branches (bounds, running counts, bucket
+    totals), so it is checkpointed (eagerly, into the session's checkpoint
+    folder): the scored input is read once however it was produced.
     """
     y = F.col(label).cast("int")
-    hist = scored.groupBy(F.col(score_col).alias("s")).agg(
+    hist = cut_lineage(scored.groupBy(F.col(score_col).alias("s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(y == 0, 1).otherwise(0)).cast("long").alias("neg"))
+        F.sum(F.when(y == 0, 1).otherwise(0)).cast("long").alias("neg")))
     if buckets > 1:
         qs = [i / buckets for i in range(1, buckets)]
         bounds = hist.agg(F.percentile_approx("s", qs, 10000).alias("b"))
@@ -197,11 +201,8 @@ def _row_index(df: DataFrame) -> DataFrame:
     ids stay fixed if tasks are re-run. Partition offsets come from a
     per-partition count (one row per partition).
     """
-    checkpoint_dir(df.sparkSession)
-    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.spark_partition_id()).persist())
-    d = tagged.checkpoint(eager=True)  # persisted first, so the lineage runs once
-    tagged.unpersist()
+    d = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id())
+                    .withColumn("_pid", F.spark_partition_id()))
     counts = d.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     off = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

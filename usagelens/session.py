@@ -37,6 +37,24 @@ def get_spark(master: str | None = None, app: str = "usagelens",
     return spark
 
 
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` into the session's checkpoint folder.
+
+    The frame is persisted first, so the checkpoint write does not run its
+    lineage a second time; the cache is dropped once the files exist.
+    Never a local checkpoint: the files live on the shared folder and
+    survive the loss of an executor.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
