@@ -35,7 +35,7 @@ def test_m3_smoothing_fold(spark):
     y = [rng.randint(50, 150) for _ in range(30)]
     daily = spark.createDataFrame([(date(2024, 1, 1) + timedelta(days=i), v) for i, v in enumerate(y)],
                                   "date date, dau long")
-    out = series.ses_forecast(daily, periods=3, grid=20).where("forecast IS NOT NULL").collect()
+    out = series.ses_forecast(daily, periods=3, grid=20, refine=0).where("forecast IS NOT NULL").collect()
     assert len(out) == 3 and len({r["forecast"] for r in out}) == 1
     best = None
     for k in range(1, 21):
@@ -52,6 +52,24 @@ def test_m3_smoothing_fold(spark):
         if best is None or sse < best[0]:
             best = (sse, level)
     assert out[0]["forecast"] == pytest.approx(best[1], rel=1e-6)
+    # refinement searches a finer grid around the best alpha: SSE never worse
+    refined = series.ses_forecast(daily, periods=1, grid=20, refine=10).where("forecast IS NOT NULL").first()
+    level = refined["forecast"]
+    sse_at = {}
+    for k in range(0, 201):
+        a = k / 200
+        if a <= 0:
+            continue
+        lo, hi = -500.0, 500.0
+        for _ in range(200):
+            m1_, m2_ = lo + (hi - lo) / 3, hi - (hi - lo) / 3
+            if _ses_direct(y, a, m1_)[1] < _ses_direct(y, a, m2_)[1]:
+                hi = m2_
+            else:
+                lo = m1_
+        sse_at[a] = _ses_direct(y, a, (lo + hi) / 2)
+    a_ref, (lvl_ref, sse_ref) = min(sse_at.items(), key=lambda kv: kv[1][1])
+    assert sse_ref <= best[0] + 1e-6 and level == pytest.approx(lvl_ref, rel=1e-6)
     hist = series.ses_forecast(daily, periods=3, grid=20).where("forecast IS NULL").count()
     assert hist == 30
 

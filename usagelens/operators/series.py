@@ -94,17 +94,33 @@ def _ses_fold(points: Column, alpha: Column) -> Column:
     return F.aggregate(points, init, step)
 
 
+def _fit_alphas(cand: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Fold every (series, alpha) row of ``cand`` and keep the best alpha per
+    series (least SSE, then smallest alpha): (by..., last_date, pts, alpha, level)."""
+    fit = cand.select(*by, "pts", "alpha", F.element_at("pts", -1)["date"].alias("last_date"),
+                      _ses_fold(F.col("pts"), F.col("alpha")).alias("s"))
+    l0 = F.col("s.scy") / F.col("s.scc")
+    fit = fit.select(*by, "pts", "last_date", "alpha",
+                     (F.col("s.syy") - l0 * F.col("s.scy")).alias("sse"),
+                     (F.col("s.g") + F.col("s.c") * l0).alias("level"))
+    return (fit.groupBy(*by, "last_date")
+            .agg(F.min(F.struct("sse", "alpha", "level")).alias("b"), F.first("pts").alias("pts"))
+            .select(*by, "last_date", "pts", F.col("b.alpha").alias("alpha"), F.col("b.level").alias("level")))
+
+
 def ses_forecast(daily: DataFrame, periods: int = 14, by: Sequence[str] = (),
                  min_points: int = 7, grid: int = 100, value: str = "dau",
-                 time_col: str = "date") -> DataFrame:
+                 time_col: str = "date", refine: int = 10) -> DataFrame:
     """(by..., date, dau, forecast): history rows with null forecast, then
     ``periods`` future days with a flat forecast and null dau.
 
     Fit: simple exponential smoothing on the observed days (gaps are not
-    filled), alpha chosen on the grid k/grid (k = 1..grid) and the initial
-    level in closed form, both minimising the one-step SSE. Series with
-    fewer than ``min_points`` days give no rows. Each series is one array
-    of (day, value) pairs, bounded by the days it spans, not by users.
+    filled), alpha chosen on the grid k/grid (k = 1..grid), then refined on
+    steps of 1/(grid*refine) within one grid step of the best, clipped to
+    (0, 1]; the initial level is solved in closed form. Both minimise the
+    one-step SSE. Series with fewer than ``min_points`` days give no rows.
+    Each series is one array of (day, value) pairs, bounded by the days it
+    spans, not by users.
     """
     pts = (daily.groupBy(*by)
            .agg(F.array_sort(F.collect_list(F.struct(F.col(time_col).alias("date"),
@@ -112,15 +128,13 @@ def ses_forecast(daily: DataFrame, periods: int = 14, by: Sequence[str] = (),
            .where(F.size("pts") >= min_points))
     cand = (pts.select(*by, "pts", F.explode(F.sequence(F.lit(1), F.lit(grid))).alias("k"))
             .withColumn("alpha", F.col("k") / grid))
-    fit = cand.select(*by, "alpha", F.element_at("pts", -1)["date"].alias("last_date"),
-                      _ses_fold(F.col("pts"), F.col("alpha")).alias("s"))
-    l0 = F.col("s.scy") / F.col("s.scc")
-    fit = fit.select(*by, "last_date", "alpha",
-                     (F.col("s.syy") - l0 * F.col("s.scy")).alias("sse"),
-                     (F.col("s.g") + F.col("s.c") * l0).alias("level"))
-    best = (fit.groupBy(*by, "last_date")
-            .agg(F.min(F.struct("sse", "alpha", "level")).alias("b"))
-            .select(*by, "last_date", F.col("b.level").alias("level")))
+    best = _fit_alphas(cand, by)
+    if refine > 0:
+        near = (best.select(*by, "pts", "alpha",
+                            F.explode(F.sequence(F.lit(0), F.lit(2 * refine))).alias("j"))
+                .withColumn("alpha", F.col("alpha") + (F.col("j") - refine) / (grid * refine))
+                .where((F.col("alpha") > 0) & (F.col("alpha") <= 1)))
+        best = _fit_alphas(near, by)
     future = best.select(
         *by, F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", periods)))
         .alias("date"), F.lit(None).cast("long").alias("dau"), F.col("level").alias("forecast"))

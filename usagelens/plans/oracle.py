@@ -331,10 +331,8 @@ oracle("dau_anomalies", _zscore("dau", "", 1.5))
 oracle("dau_anomalies_by_country", _zscore("country_dau", "country", 1.5))
 
 
-def _forecast(src: str, keys: list[str], periods: int = 14, grid: int = 100, min_points: int = 7) -> str:
+def _forecast(src: str, keys: list[str], periods: int = 14, min_points: int = 7) -> str:
     k = "".join(f"{c}, " for c in keys)
-    kf = "".join(f"f.{c}, " for c in keys)
-    on = "".join(f" AND s.{c} = f.{c}" for c in keys)
     part = f"PARTITION BY {', '.join(keys)}" if keys else ""
     return f"""
 SELECT {k}date, dau, CAST(NULL AS DOUBLE) AS forecast
@@ -342,23 +340,20 @@ FROM (SELECT *, count(*) OVER ({part}) AS n FROM {src}) WHERE n >= {min_points}
 UNION ALL
 SELECT {k}CAST(last_date + CAST(h AS INTEGER) AS DATE) AS date, CAST(NULL AS BIGINT) AS dau,
        round(level, 4) AS forecast
-FROM (SELECT {k}last_date, arg_min(level, [sse, alpha]) AS level FROM fit_{src} GROUP BY {k}last_date),
+FROM (SELECT {k}last_date, arg_min(level, [sse, alpha]) AS level FROM fit2_{src} GROUP BY {k}last_date),
      range(1, {periods + 1}) r(h)"""
 
 
-def _fold_ctes(src: str, keys: list[str], grid: int = 100, min_points: int = 7) -> None:
+def _fold(name: str, src: str, keys: list[str], seed_sql: str) -> None:
+    """Recursive SES fold over the series ``ser_{src}`` for the alphas of ``seed_sql``
+    (columns: keys..., n, last_date, alpha), then the closed-form fit per alpha."""
     k = "".join(f"{c}, " for c in keys)
     kf = "".join(f"f.{c}, " for c in keys)
     on = "".join(f" AND s.{c} = f.{c}" for c in keys)
-    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
-    CTES[f"ser_{src}"] = f"""
-    SELECT {k}date, CAST(dau AS DOUBLE) AS y, row_number() OVER ({part} ORDER BY date) AS t,
-           count(*) OVER ({part}) AS n, max(date) OVER ({part}) AS last_date
-    FROM {src}"""
-    CTES[f"fold_{src}"] = f"""
-    SELECT {k}n, last_date, CAST(a AS DOUBLE) / {grid} AS alpha, CAST(0 AS BIGINT) AS t,
+    CTES[f"fold{name}_{src}"] = f"""
+    SELECT {k}n, last_date, alpha, CAST(0 AS BIGINT) AS t,
            0.0::DOUBLE AS g, 1.0::DOUBLE AS c, 0.0::DOUBLE AS scy, 0.0::DOUBLE AS scc, 0.0::DOUBLE AS syy
-    FROM (SELECT DISTINCT {k}n, last_date FROM ser_{src} WHERE n >= {min_points}), range(1, {grid + 1}) r(a)
+    FROM ({seed_sql})
     UNION ALL
     SELECT {kf}f.n, f.last_date, f.alpha, f.t + 1,
            f.alpha * s.y + (1.0 - f.alpha) * f.g,
@@ -366,10 +361,29 @@ def _fold_ctes(src: str, keys: list[str], grid: int = 100, min_points: int = 7)
            f.scy + f.c * (s.y - f.g),
            f.scc + f.c * f.c,
            f.syy + (s.y - f.g) * (s.y - f.g)
-    FROM fold_{src} f JOIN ser_{src} s ON s.t = f.t + 1{on}"""
-    CTES[f"fit_{src}"] = f"""
-    SELECT {k}last_date, alpha, syy - (scy / scc) * scy AS sse, g + c * (scy / scc) AS level
-    FROM fold_{src} WHERE t = n"""
+    FROM fold{name}_{src} f JOIN ser_{src} s ON s.t = f.t + 1{on}"""
+    CTES[f"fit{name}_{src}"] = f"""
+    SELECT {k}n, last_date, alpha, syy - (scy / scc) * scy AS sse, g + c * (scy / scc) AS level
+    FROM fold{name}_{src} WHERE t = n"""
+
+
+def _fold_ctes(src: str, keys: list[str], grid: int = 100, refine: int = 10, min_points: int = 7) -> None:
+    k = "".join(f"{c}, " for c in keys)
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    CTES[f"ser_{src}"] = f"""
+    SELECT {k}date, CAST(dau AS DOUBLE) AS y, row_number() OVER ({part} ORDER BY date) AS t,
+           count(*) OVER ({part}) AS n, max(date) OVER ({part}) AS last_date
+    FROM {src}"""
+    # stage 1: alpha = a / grid
+    _fold("", src, keys, f"""SELECT {k}n, last_date, CAST(a AS DOUBLE) / {grid} AS alpha
+          FROM (SELECT DISTINCT {k}n, last_date FROM ser_{src} WHERE n >= {min_points}),
+               range(1, {grid + 1}) r(a)""")
+    # stage 2: steps of 1 / (grid * refine) around the stage-1 best, inside (0, 1]
+    _fold("2", src, keys, f"""SELECT * FROM (
+          SELECT {k}n, last_date, a1 + (j - {refine}) / {grid * refine} AS alpha
+          FROM (SELECT {k}n, last_date, arg_min(alpha, [sse, alpha]) AS a1 FROM fit_{src}
+                GROUP BY {k}n, last_date), range(0, {2 * refine + 1}) r(j))
+          WHERE alpha > 0 AND alpha <= 1""")
 
 
 _fold_ctes("dau", [])
