@@ -75,3 +75,27 @@ def test_gbt_backend_runs(fitted):
     assert model.backend == "gbt"
     assert ml.model_importance(model, feats).count() == 6
     assert ml.score(model, feats).where("churn_probability BETWEEN 0 AND 1").count() == feats.count()
+
+
+def test_logreg_matches_objective(fitted):
+    """The fit equals an independent Newton solve of
+    min |w|^2/2 + sum log(1 + exp(-y (x.w + b))) on standardised x (C = 1,
+    intercept unpenalised as in spark.ml)."""
+    import numpy as np
+    feats, model = fitted
+    pdf = feats.toPandas()
+    X = pdf[ml.FEATURES].to_numpy(float)
+    sd = X.std(axis=0)
+    sd[sd == 0] = 1.0
+    Z = np.hstack([(X - X.mean(axis=0)) / sd, np.ones((len(X), 1))])
+    y = pdf["churn_flag"].to_numpy(float)
+    beta = np.zeros(Z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-Z @ beta))
+        pen = np.ones(len(beta))
+        pen[-1] = 0.0
+        grad = pen * beta + Z.T @ (p - y)
+        hess = np.diag(pen) + Z.T @ (Z * (p * (1 - p))[:, None])
+        beta -= np.linalg.solve(hess, grad)
+    w, b = model.weights
+    assert np.allclose(w, beta[:-1], atol=2e-3) and abs(b - beta[-1]) < 2e-3

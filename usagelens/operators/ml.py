@@ -64,6 +64,12 @@ class ChurnModel:
     def estimator(self):
         return self.pipeline.stages[-1]
 
+    @property
+    def weights(self) -> tuple[list[float], float]:
+        """logreg: (one weight per feature, intercept) in the standardised space."""
+        est = self.estimator
+        return [float(x) for x in est.coefficients.toArray()], float(est.intercept)
+
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(df)
 
@@ -84,8 +90,11 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: in
     """ML3 / ML3b: fit on all rows.
 
     logreg: features standardised with the population sd, L2 with C = 1,
-    i.e. regParam = 1/n (spark.ml does not penalise the intercept); the
-    stopping tolerance defaults to 1e-4 like the source's solver.
+    i.e. regParam = 1/n: the objective is |w|^2 / 2 + C * sum(log-loss).
+    spark.ml leaves the intercept unpenalised (the source's solver also
+    penalises it, and spark.ml gives a constant input zero weight, so that
+    cannot be emulated). The stopping tolerance defaults to 1e-4 like the
+    source's solver.
     gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
     on the raw features.
     """
@@ -266,8 +275,7 @@ def permutation_importance(model: ChurnModel, features: DataFrame, repeats: int
 
 def model_importance(model: ChurnModel, features: DataFrame) -> DataFrame:
     """ML8: coefficients (logreg, signed) or split importances (gbt) per feature."""
-    est = model.estimator
-    vals = est.coefficients.toArray() if model.backend == "logreg" else est.featureImportances.toArray()
+    vals = model.weights[0] if model.backend == "logreg" else model.estimator.featureImportances.toArray()
     spark = features.sparkSession
     return spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, vals)],
                                  "feature string, model_importance double")
@@ -304,9 +312,7 @@ def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
     """
     if model.backend != "logreg":
         raise NotImplementedError("closed-form explanations exist for the linear model only")
-    est = model.estimator
-    w = [float(x) for x in est.coefficients.toArray()]
-    b = float(est.intercept)
+    w, b = model.weights
     z = model.pipeline.stages[0].transform(features)
     zm = z.agg(*[F.avg(f"z_{c}").alias(f"zm_{c}") for c in FEATURES])
     j = attach(z, zm)
