@@ -94,18 +94,17 @@ def _ses_fold(points: Column, alpha: Column) -> Column:
     return F.aggregate(points, init, step)
 
 
-def _fit_alphas(cand: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Fold every (series, alpha) row of ``cand`` and keep the best alpha per
-    series (least SSE, then smallest alpha): (by..., last_date, pts, alpha, level)."""
-    fit = cand.select(*by, "pts", "alpha", F.element_at("pts", -1)["date"].alias("last_date"),
-                      _ses_fold(F.col("pts"), F.col("alpha")).alias("s"))
-    l0 = F.col("s.scy") / F.col("s.scc")
-    fit = fit.select(*by, "pts", "last_date", "alpha",
-                     (F.col("s.syy") - l0 * F.col("s.scy")).alias("sse"),
-                     (F.col("s.g") + F.col("s.c") * l0).alias("level"))
-    return (fit.groupBy(*by, "last_date")
-            .agg(F.min(F.struct("sse", "alpha", "level")).alias("b"), F.first("pts").alias("pts"))
-            .select(*by, "last_date", "pts", F.col("b.alpha").alias("alpha"), F.col("b.level").alias("level")))
+def _fit(points: Column, alpha: Column) -> Column:
+    """struct(sse, alpha, level): the SSE-optimal fit for one alpha."""
+    s = _ses_fold(points, alpha)
+    l0 = s["scy"] / s["scc"]
+    return F.struct((s["syy"] - l0 * s["scy"]).alias("sse"), alpha.alias("alpha"),
+                    (s["g"] + s["c"] * l0).alias("level"))
+
+
+def _best(points: Column, alphas: Column) -> Column:
+    """Least-SSE fit over an array of alphas (ties: smaller alpha), in the row."""
+    return F.array_min(F.transform(alphas, lambda a: _fit(points, a)))
 
 
 def ses_forecast(daily: DataFrame, periods: int = 14, by: Sequence[str] = (),
@@ -118,26 +117,31 @@ def ses_forecast(daily: DataFrame, periods: int = 14, by: Sequence[str] = (),
     filled), alpha chosen on the grid k/grid (k = 1..grid), then refined on
     steps of 1/(grid*refine) within one grid step of the best, clipped to
     (0, 1]; the initial level is solved in closed form. Both minimise the
-    one-step SSE. Series with fewer than ``min_points`` days give no rows.
-    Each series is one array of (day, value) pairs, bounded by the days it
-    spans, not by users.
+    one-step SSE. Each series is one array of (day, value) pairs, bounded
+    by the days it spans, not by users; every candidate alpha is evaluated
+    inside that row (nested higher-order functions), so fitting needs no
+    shuffle. Series with fewer than ``min_points`` days give no rows.
     """
     pts = (daily.groupBy(*by)
            .agg(F.array_sort(F.collect_list(F.struct(F.col(time_col).alias("date"),
                                                        F.col(value).alias("dau")))).alias("pts"))
            .where(F.size("pts") >= min_points))
-    cand = (pts.select(*by, "pts", F.explode(F.sequence(F.lit(1), F.lit(grid))).alias("k"))
-            .withColumn("alpha", F.col("k") / grid))
-    best = _fit_alphas(cand, by)
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(grid)), lambda k: k / grid)
+    best = _best(F.col("pts"), coarse)
     if refine > 0:
-        near = (best.select(*by, "pts", "alpha",
-                            F.explode(F.sequence(F.lit(0), F.lit(2 * refine))).alias("j"))
-                .withColumn("alpha", F.col("alpha") + (F.col("j") - refine) / (grid * refine))
-                .where((F.col("alpha") > 0) & (F.col("alpha") <= 1)))
-        best = _fit_alphas(near, by)
-    future = best.select(
-        *by, F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", periods)))
-        .alias("date"), F.lit(None).cast("long").alias("dau"), F.col("level").alias("forecast"))
+        # the coarse alpha enters as an argument (array_repeat), evaluated once
+        # per series, not inside the lambda where it would be recomputed
+        steps = 2 * refine + 1
+        near = F.filter(
+            F.zip_with(F.array_repeat(best["alpha"], steps), F.sequence(F.lit(0), F.lit(steps - 1)),
+                       lambda a, j: a + (j - refine) / (grid * refine)),
+            lambda a: (a > 0) & (a <= 1))
+        best = _best(F.col("pts"), near)
+    fit = pts.withColumn("best", best)
+    last = F.element_at("pts", -1)["date"]
+    future = fit.select(
+        *by, F.explode(F.sequence(F.date_add(last, 1), F.date_add(last, periods))).alias("date"),
+        F.lit(None).cast("long").alias("dau"), F.col("best.level").alias("forecast"))
     hist = pts.select(*by, F.inline("pts")).select(
         *by, "date", F.col("dau").cast("long").alias("dau"), F.lit(None).cast("double").alias("forecast"))
     return hist.unionByName(future)
