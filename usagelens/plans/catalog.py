@@ -204,6 +204,12 @@ def dau_forecast(spark, sf_dir):
     return round_doubles(series.forecast_dau(tables(spark, sf_dir)["sessions"], 14), DIGITS)
 
 
+@query
+def dau_forecast_by_plan(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return round_doubles(series.forecast_dau_by(t["sessions"], t["user_metrics"], ["plans"], 14), DIGITS)
+
+
 @query
 def dau_forecast_by_country(spark, sf_dir):
     t = tables(spark, sf_dir)

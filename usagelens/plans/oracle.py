@@ -594,3 +594,6 @@ oracle("dau_anomalies_by_plan", _zscore("plan_dau", "plans", 1.5))
 oracle("mau", """
 SELECT CAST(date_trunc('month', session_time) AS DATE) AS activity_month, count(DISTINCT user_id) AS mau
 FROM c_sessions GROUP BY 1""")
+
+_fold_ctes("plan_dau", ["plans"])
+oracle("dau_forecast_by_plan", _forecast("plan_dau", ["plans"]))
