@@ -178,3 +178,12 @@ def test_report_bundle(spark):
     assert (kpi["total_users"], kpi["paid_users"], kpi["global_churn_rate"]) == (3, 1, 0.6667)
     assert r["scenarios"].count() == 121 and r["forecast"].count() == 0
     assert {x["stage"]: x["users"] for x in r["funnel"].collect()}["Active (30d)"] == 2
+
+
+def test_insight_formatting_rounds_half_to_even(spark):
+    from usagelens.operators import insights
+    m = spark.createDataFrame([(1, "A", "growth", 0.125, False)],
+                              "user_id long, country string, plans string, renewal_rate double, churn_flag boolean")
+    e = spark.createDataFrame([], "event_id long, feature string")
+    text = insights.generate_insights(m, e).collect()[0]["text"]
+    assert text.endswith(f"({0.125:.2f}).") and "(0.12)" in text

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import as_ts, attach
+from usagelens.functions import as_ts, attach, round_half_even
 from usagelens.operators import cohorts, insights, kpis, segments, series
 from usagelens.operators.activity import daily_active_users
 
@@ -83,7 +83,8 @@ def kpi_card(metrics: DataFrame) -> DataFrame:
 def kpi_display(kpi: DataFrame) -> DataFrame:
     """The KPI card as display text, (position, label, value): counts with
     thousands separators, rates as percentages with two decimals."""
-    pct = lambda c: F.format_string("%.2f%%", F.col(c) * 100)
+    # round half to even first: Java's %.2f rounds half up on the decimal text
+    pct = lambda c: F.format_string("%.2f%%", round_half_even(F.col(c) * 100, 2))
     return kpi.select(
         F.format_number("total_users", 0).alias("users"), F.format_number("paid_users", 0).alias("paying"),
         pct("conversion_rate").alias("conv"), pct("global_churn_rate").alias("churn"),

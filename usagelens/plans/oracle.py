@@ -306,7 +306,7 @@ SELECT 2, printf('Feature %s drives the most interactions and keeps users engage
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
       GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
 UNION ALL
-SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r)
+SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
 FROM (SELECT plans, avg(renewal_rate) AS r FROM um WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
 
@@ -466,7 +466,7 @@ SELECT 2, printf('Feature %s drives the most interactions and keeps users engage
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
       GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
 UNION ALL
-SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r)
+SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
 FROM (SELECT plans, avg(renewal_rate) AS r FROM sel WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
 oracle("report_mrr", "SELECT * FROM sel_mrr")
@@ -552,9 +552,10 @@ SELECT * FROM (
     UNION ALL SELECT 2, 'Paying Users', format('{:,}', count(DISTINCT CASE WHEN is_paid_user THEN user_id END))
     FROM sel
     UNION ALL SELECT 3, 'Conversion',
-        printf('%.2f%%', round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END) / greatest(count(*), 1), 4)
-                         * 100) FROM sel
-    UNION ALL SELECT 4, 'Churn', printf('%.2f%%', round(avg(CAST(churn_flag AS INTEGER)), 4) * 100) FROM sel)""")
+        printf('%.2f%%', round(round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END)
+                                     / greatest(count(*), 1), 4) * 100, 2)) FROM sel
+    UNION ALL SELECT 4, 'Churn', printf('%.2f%%', round(round(avg(CAST(churn_flag AS INTEGER)), 4) * 100, 2))
+    FROM sel)""")
 
 
 # ---- report with an explicit filter setting ------------------------------------
