@@ -187,3 +187,19 @@ def test_insight_formatting_rounds_half_to_even(spark):
     e = spark.createDataFrame([], "event_id long, feature string")
     text = insights.generate_insights(m, e).collect()[0]["text"]
     assert text.endswith(f"({0.125:.2f}).") and "(0.12)" in text
+
+
+def test_revenue_summary_edges(spark):
+    from datetime import datetime as dt
+    from usagelens.sources import schemas as S
+    one = spark.createDataFrame([(1, "growth", 129.0, dt(2024, 3, 5)), (2, "starter", 49.0, dt(2024, 3, 9))],
+                                S.PAYMENTS)
+    assert kpis.revenue_summary(one).first().asDict() == dict(current_mrr=178.0, prev_mrr=178.0, mrr_growth=0.0)
+    zero_prev = spark.createDataFrame([(1, "free", 0.0, dt(2024, 2, 5)), (1, "growth", 129.0, dt(2024, 3, 5))],
+                                      S.PAYMENTS)
+    assert kpis.revenue_summary(zero_prev).first().asDict() == dict(current_mrr=129.0, prev_mrr=0.0,
+                                                                     mrr_growth=0.0)
+    gap = spark.createDataFrame([(1, "growth", 100.0, dt(2024, 1, 5)), (1, "growth", 150.0, dt(2024, 4, 5))],
+                                S.PAYMENTS)
+    # previous OBSERVED month (January), not the empty March
+    assert kpis.revenue_summary(gap).first().asDict() == dict(current_mrr=150.0, prev_mrr=100.0, mrr_growth=0.5)
