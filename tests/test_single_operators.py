@@ -203,3 +203,20 @@ def test_revenue_summary_edges(spark):
                                 S.PAYMENTS)
     # previous OBSERVED month (January), not the empty March
     assert kpis.revenue_summary(gap).first().asDict() == dict(current_mrr=150.0, prev_mrr=100.0, mrr_growth=0.5)
+
+
+def test_keep_first_matches_brute_force(spark):
+    from usagelens.functions import keep_first
+    rng = random.Random(11)
+    rows = [(rng.randint(1, 40), rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b", "c"]),
+             rng.choice([None, 0.5, 1.5])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k int, o int, p string, q double")
+    got = {tuple(r) for r in keep_first(df, "k", ["o"]).collect()}
+
+    def key(r):  # order column nulls last, then the remaining columns, nulls last
+        return tuple((v is None, v if v is not None else 0) for v in (r[1], r[2], r[3]))
+    want = {}
+    for r in rows:
+        if r[0] not in want or key(r) < key(want[r[0]]):
+            want[r[0]] = r
+    assert got == set(want.values())
