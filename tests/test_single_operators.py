@@ -220,3 +220,12 @@ def test_keep_first_matches_brute_force(spark):
         if r[0] not in want or key(r) < key(want[r[0]]):
             want[r[0]] = r
     assert got == set(want.values())
+
+
+def test_segment_dau_drops_rows_with_any_null_key(spark):
+    from datetime import datetime as dt
+    sessions = spark.createDataFrame([(1, 1, dt(2024, 1, 1), 1.0), (2, 2, dt(2024, 1, 1), 1.0)],
+                                     "session_id long, user_id long, session_time timestamp_ntz, duration double")
+    users = spark.createDataFrame([(1, "X", "growth"), (2, "X", None)], "user_id long, country string, plans string")
+    got = series.segment_daily_active_users(sessions, users, ["country", "plans"]).collect()
+    assert [(r["country"], r["plans"], r["dau"]) for r in got] == [("X", "growth", 1)]

@@ -20,8 +20,9 @@ def segment_daily_active_users(sessions: DataFrame, users: DataFrame, by: Sequen
     """
     ud = user_day(sessions)
     seg = users.select("user_id", *by)
+    for c in by:  # like a group-by that drops null keys
+        seg = seg.where(F.col(c).isNotNull())
     return (ud.join(seg, "user_id")
-            .where(F.coalesce(*[F.col(c).isNotNull() for c in by]) if by else F.lit(True))
             .groupBy(*by, "date").agg(F.count("*").alias("dau")))
 
 
