@@ -67,6 +67,9 @@ def test_model_roundtrip(fitted, scratch):
     a = ml.score(model, feats).orderBy("user_id").select("churn_probability").collect()
     b = ml.score(back, feats).orderBy("user_id").select("churn_probability").collect()
     assert a == b and back.backend == "logreg"
+    sa = ml.linear_shap(model, feats).orderBy("user_id", "feature").select("shap_value").collect()
+    sb = ml.linear_shap(back, feats).orderBy("user_id", "feature").select("shap_value").collect()
+    assert sa == sb
 
 
 def test_gbt_backend_runs(fitted):
