@@ -368,7 +368,7 @@ def churn_importance(spark, sf_dir):
 @query
 def churn_top_drivers(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)
-    return ml.top_drivers(ml.model_importance(model, feats))
+    return ml.top_drivers(ml.feature_importance(model, feats))
 
 
 @query
@@ -421,7 +421,7 @@ def summary_json(spark, sf_dir):
     t = tables(spark, sf_dir)
     feats = ml.prepare_ml_features(t["user_metrics"])
     model = ml.train_churn_model(feats)
-    rec = pipeline.summary(t, model, ml.model_importance(model, feats),
+    rec = pipeline.summary(t, model, ml.feature_importance(model, feats),
                            series.detect_dau_anomalies(t["sessions"]), series.forecast_dau(t["sessions"]),
                            insights.generate_insights(t["user_metrics"], t["events"]))
     return rec.select(F.to_json(F.struct(*rec.columns)).alias("summary"))
