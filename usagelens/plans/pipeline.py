@@ -100,3 +100,35 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
                 spark.read.parquet(written["dau_forecast"]), notes), f"{art}/analytics_summary")
     written["insights"] = io.write_insights_text(notes, f"{art}/insights")
     return {**paths, **written}
+
+
+def main(argv: list[str] | None = None) -> dict[str, str]:
+    """``python -m usagelens.plans.pipeline --out DIR (--sf-dir D | --raw-dir D)``."""
+    import argparse
+    import json
+
+    from usagelens.session import get_spark
+    from usagelens.sources import fixtures
+
+    ap = argparse.ArgumentParser(description="clean, fold, analyse, train and summarise")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf-dir", help="driver test tables, mapped by sources/fixtures.py")
+    src.add_argument("--raw-dir", help="users/sessions/events/payments as parquet (declared schemas)")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--as-of", default=fixtures.AS_OF, help="the 'now' of the run")
+    ap.add_argument("--backend", default="logreg", choices=["logreg", "gbt"])
+    args = ap.parse_args(argv)
+
+    spark = get_spark(app="usagelens-pipeline")
+    if args.sf_dir:
+        raw = fixtures.raw_tables(spark, args.sf_dir)
+    else:
+        raw = {name: io.read_table(spark, args.raw_dir, name)
+               for name in ("users", "sessions", "events", "payments")}
+    paths = run(spark, raw, args.out, args.as_of, args.backend)
+    print(json.dumps(paths, indent=2))
+    return paths
+
+
+if __name__ == "__main__":
+    main()
