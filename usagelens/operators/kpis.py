@@ -41,9 +41,14 @@ def top_churn_countries(metrics: DataFrame, k: int = 3) -> DataFrame:
     return churned_by_country(metrics).orderBy(F.desc("churned_users"), F.asc("country")).limit(k)
 
 
+def churn_rate(metrics: DataFrame) -> DataFrame:
+    """global_churn_rate: mean churn flag, 4 dp (null for no users)."""
+    return metrics.agg(round_half_even(F.avg(F.col("churn_flag").cast("int")), 4).alias("global_churn_rate"))
+
+
 def churn_summary(metrics: DataFrame, k: int = 3) -> DataFrame:
     """global_churn_rate (4 dp) and the top-k churn countries as a comma list."""
-    rate = metrics.agg(round_half_even(F.avg(F.col("churn_flag").cast("int")), 4).alias("global_churn_rate"))
+    rate = churn_rate(metrics)
     top = top_churn_countries(metrics, k).agg(
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct((-F.col("churned_users")).alias("n"), "country"))),

@@ -76,8 +76,7 @@ def time_bounds(sessions: DataFrame, now) -> DataFrame:
 def kpi_card(metrics: DataFrame) -> DataFrame:
     """Total users, paying users, conversion, churn on the selection."""
     conv = kpis.conversion_rates(metrics).select("total_users", "paid_users", "conversion_rate")
-    churn = kpis.churn_summary(metrics).select("global_churn_rate")
-    return attach(conv, churn)
+    return attach(conv, kpis.churn_rate(metrics))
 
 
 def kpi_display(kpi: DataFrame) -> DataFrame:
