@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -30,6 +31,27 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _WHITE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
+#: The one split pattern of word-level BPE files known here (a fixed value), and the same for texts of plain letters.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN_WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+").findall
+_WORDS = regex.compile(r"\p{L}+|'(?:s|t|re|ve|m|ll|d)|\p{N}|[^\s\p{L}\p{N}]+").findall
+_NOT_PLAIN = re.compile("[^\t-\r -~\xc0-\xd6\xd8-\xf6\xf8-\u017f]").search
+
+
+def _lowered(text: str) -> str:
+    """Composed and in lower case, letter by letter (no context rule for the final sigma)."""
+    return _WHITE.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ").lower()
+
+
+class Cache(dict):
+    """Encodings by piece; those beyond the bound live in ``extra`` until the next batch."""
+
+    extra: dict[str, tuple[str, str]] = {}
+
+    def __missing__(self, piece: str) -> tuple[str, str]:
+        return self.extra[piece]
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte (byte-level BPE)."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -48,20 +70,19 @@ class WordBpe:
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         if (model["type"] != "BPE" or not model["end_of_word_suffix"] or model["continuing_subword_prefix"]
                 or kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or not split["invert"]
-                or spec["decoder"] or spec["post_processor"] or any(t["normalized"] for t in spec["added_tokens"])):
+                or split["pattern"]["Regex"] != _PATTERN or spec["decoder"] or spec["post_processor"] or any(t["normalized"] for t in spec["added_tokens"])):
             raise ValueError(f"{path}: not a word-level BPE file of the supported kind")
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.rank = {tuple(m): i for i, m in enumerate(model["merges"])}
         inner = [t for t in self.ids if not t.endswith(self.end)]
         self.longest = max(map(len, inner)), max(len(t) - len(self.end) for t in self.ids if t.endswith(self.end))
-        self.words_of = regex.compile(split["pattern"]["Regex"]).findall
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
         self.token = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.symbol = byte_symbols()
         self.fits_cache: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, tuple[str, str]] = {}
+        self.cache = Cache()
 
     # ---- pairs of tokens
     def symbols(self, token: str) -> list[str]:
@@ -121,34 +142,37 @@ class WordBpe:
             yield word, tokens[::-1]
 
     # ---- texts
-    def pieces(self, text: str) -> Iterator[str]:
+    def pieces(self, text: str) -> list[str]:
         """Words and special strings of a text, in order."""
+        out: list[str] = []
         for part in self.cut_special(text):
             if part in self.special:
-                yield part
-            elif part:
-                plain = part if part.isascii() else unicodedata.normalize("NFC", part)
-                # lower case letter by letter: no context rule for the final sigma
-                yield from self.words_of(_WHITE.sub(" ", plain).replace("Σ", "σ").lower())
-
-    def encodings(self, pieces: list[str]) -> Iterator[tuple[str, str]]:
+                out.append(part)
+            elif not _NOT_PLAIN(part):  # composed letters of Latin scripts, no other white space or numbers
+                out += _PLAIN_WORDS(part.lower()) if unicodedata.is_normalized("NFC", part) else _WORDS(_lowered(part))
+            else:
+                out += _WORDS(_lowered(part))
+        return out
+
+    def encodings(self, pieces: list[str]) -> list[tuple[str, str]]:
         """(ids joined by spaces, tokens joined by spaces) of every piece."""
         known, new = self.cache, {}
-        missing = {p for p in set(pieces) if p not in known and p not in self.special}
-        symbol = self.symbol
-        back = {"".join([symbol[b] for b in p.encode()]): p for p in missing}
+        symbol, ids = self.symbol, self.ids
+        missing = set(pieces).difference(known)
+        back = {"".join([symbol[b] for b in p.encode()]): p for p in missing if p not in self.special}
         for word, tokens in self.walk(back):
-            new[back[word]] = " ".join([str(self.ids[t]) for t in tokens]), " ".join(tokens)
-        for s, i in self.special.items():
-            new[s] = str(i), s
+            new[back[word]] = " ".join([str(ids[t]) for t in tokens]), " ".join(tokens)
+        for s in missing.intersection(self.special):
+            new[s] = str(self.special[s]), s
         for p, found in new.items():
             if len(known) >= REMEMBERED:
                 break
             known[p] = found
-        return map(lambda p: known.get(p) or new[p], pieces)
+        known.extra = new
+        return list(map(known.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _ in self.encodings(list(self.pieces(text))) for i in ids.split(" ")]
+        return [int(i) for ids, _ in self.encodings(self.pieces(text)) for i in ids.split(" ")]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by one space: the file names no decoder."""
@@ -158,11 +182,12 @@ class WordBpe:
         """Token count, SHA-256 of the ids, SHA-256 of the decoded text, in bounded memory."""
         ids, decoded, n, gap = hashlib.sha256(), hashlib.sha256(), 0, ""
         for part in chunks(text, CHUNK):
-            found = list(self.encodings(list(self.pieces(part))))
+            found = self.encodings(self.pieces(part))
             if found:
-                line = " ".join([f[0] for f in found])
+                coded, tokens = zip(*found)
+                line = " ".join(coded)
                 ids.update((gap + line).encode())
-                decoded.update((gap + " ".join([f[1] for f in found])).encode())
+                decoded.update((gap + " ".join(tokens)).encode())
                 n += line.count(" ") + 1
                 gap = " "
         return n, ids.hexdigest(), decoded.hexdigest()
