@@ -158,7 +158,7 @@ class WordBpe:
         """(ids joined by spaces, tokens joined by spaces) of every piece."""
         known, new = self.cache, {}
         symbol, ids = self.symbol, self.ids
-        missing = set(pieces).difference(known)
+        missing = {p for p in set(pieces) if p not in known}
         back = {"".join([symbol[b] for b in p.encode()]): p for p in missing if p not in self.special}
         for word, tokens in self.walk(back):
             new[back[word]] = " ".join([str(ids[t]) for t in tokens]), " ".join(tokens)
