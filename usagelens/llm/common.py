@@ -3,19 +3,47 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.session import cut_lineage
+from usagelens.session import checkpoint_dir
 
 ROWS_OUT = 4096
 UNSTABLE = "rows changed places between two reads: write the frame to a table first"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Jobs started inside give back their shuffle files when they end, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage: ``df`` as a table in the shared checkpoint folder, computed once and read back.
+
+    The files outlive lost executors; the shuffles behind them are removed at once.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 
@@ -119,11 +147,11 @@ def components(edges: DataFrame) -> DataFrame:
     small-star steps: every node hooks its larger neighbours to its smallest
     one. Each step is two aggregations with map-side minimum and joins that
     AQE can split at a hot node; links never leave the executors, and each
-    step's edges are checkpointed. The number of steps grows with the
+    step's edges are written to the shared folder. The number of steps grows with the
     logarithm of the component size.
     """
     def settle(frame: DataFrame) -> tuple[DataFrame, tuple]:
-        kept = cut_lineage(frame)
+        kept = written(frame)
         sign = kept.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return kept, tuple(sign)
 

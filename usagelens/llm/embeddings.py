@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import components, numbered
-from usagelens.session import cut_lineage
+from usagelens.llm.common import components, numbered, written
 
 CELL = 2048
 TABLES, PROBES = 4, 2
@@ -195,7 +194,7 @@ def near_vectors(vectors: DataFrame, cut: float = 0.98) -> DataFrame:
     component. Vectors of different length are never compared. Repeated rows
     and ids are vectors of their own; a null vec_id counts as larger than any.
     Other columns are not read; an empty table gives no rows. Eager: the
-    links and each step of the components are checkpointed.
+    links and each step of the components are written.
     """
     base = numbered(vectors, "rid", F.col("vec_id").cast("long").alias("vec_id"), "label",
                     F.col("embedding").cast("array<double>").alias("vec"))
@@ -205,12 +204,12 @@ def near_vectors(vectors: DataFrame, cut: float = 0.98) -> DataFrame:
     valid = base.where("good")
     classes = valid.groupBy("label", "vec").agg(
         F.min("rid").alias("cid"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
-    known = cut_lineage(classes.select("cid", "n", "least", "label", "vec"))
+    known = written(classes.select("cid", "n", "least", "label", "vec"))
     total = known.agg(F.count("*"), F.max(F.size("vec"))).first()
     depth, reach = 1, 2 * (1 << max((total[1] or 2) - 1, 1).bit_length())
     while reach ** depth * CROWD < total[0]:
         depth += 1
-    found = cut_lineage(_links(_keys(known, depth), cut))
+    found = written(_links(_keys(known, depth), cut))
     roots = components(found.select("u", "v"))
     members = (known.select("cid", "n", "least", "label", "vec")
                .join(found.groupBy("u").agg(F.sum("links").alias("links")), F.col("cid") == F.col("u"), "left")

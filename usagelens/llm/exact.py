@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import numbered, text_or_empty
-from usagelens.session import cut_lineage
+from usagelens.llm.common import numbered, text_or_empty, written
 
 BLOCK = 4096
 _hash = F.xxhash64
@@ -53,11 +52,11 @@ def _ranked(rows: DataFrame, clashes: DataFrame) -> DataFrame:
 def _level(rows: DataFrame, keep: list[str]) -> DataFrame:
     """Rows (rid, keep..., parts) to (rid, keep..., names)."""
     cells = rows.select(F.explode("parts").alias("part")).select(_hash("part").alias("h"), "part")
-    clashes = cut_lineage(_clashes(cells))
+    clashes = written(_clashes(cells))
     plain = rows.select("rid", *keep, _hashed(F.col("parts")).alias("names"))
     if clashes.isEmpty():
         return plain
-    rows = cut_lineage(rows)  # read twice below, and its numbers must stay
+    rows = written(rows)  # read twice below, and its numbers must stay
     return rows.select("rid", *keep).join(_ranked(rows, clashes), "rid")
 
 
@@ -71,7 +70,7 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     base = numbered(docs, "rid", F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm"))
     blocks = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(
         F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block), F.lit(0)))
-    now = cut_lineage(_level(base.select("rid", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
+    now = written(_level(base.select("rid", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
                                          blocks.alias("parts")), ["doc_id", "text_sha256"]))
     now = now.withColumn("n", F.size("names"))
     longest = now.agg(F.max("n")).first()[0] or 1
@@ -83,7 +82,7 @@ def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     while longest > 1:  # documents of one name have reached their identity
         open_ = now.where(F.size("names") > 1).select("rid", "doc_id", "text_sha256", "n", halves.alias("parts"))
         longest = (longest + 1) // 2
-        now = cut_lineage(_level(open_, ["doc_id", "text_sha256", "n"]))
+        now = written(_level(open_, ["doc_id", "text_sha256", "n"]))
         done = done.unionByName(now.where(F.size("names") == 1))
     return done.select("rid", "doc_id", F.struct("n", F.get("names", F.lit(0)).alias("name")).alias("identity"),
                        "text_sha256")

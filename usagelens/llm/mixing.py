@@ -20,8 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import numbered, rows_of, text_or_empty
-from usagelens.session import cut_lineage
+from usagelens.llm.common import numbered, rows_of, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SPEC = "place int, source string, source_size long, target double, blocks long, whole int, rest double"
@@ -87,13 +86,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     without words have target 0 and are not drawn. The choice depends on
     doc_id, size and ``seed`` (ties: place in the table), so reruns agree.
 
-    Eager: document sizes are checkpointed, and one row per source comes to
+    Eager: document sizes are written, and one row per source comes to
     the driver. No window holds more than about the square root of a source's
     documents; the final choice of one document (or swap) per source is a
     minimum with partial aggregation.
     """
     spark = docs.sparkSession
-    sizes = cut_lineage(document_sizes(docs))
+    sizes = written(document_sizes(docs))
     stats = sizes.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy(
         F.col("source").asc_nulls_last()).collect()
     goal = targets([r["size"] for r in stats], weights, share, cap)
@@ -113,7 +112,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
               .withColumn("nth", F.row_number().over(by_pass) - 1)
               .withColumn("before", F.sum("words").over(by_pass.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")))
     full = F.col("pass") < F.col("whole")
-    drawn = cut_lineage(blocks.where(full | (F.col("before") < F.col("rest"))).select(
+    drawn = written(blocks.where(full | (F.col("before") < F.col("rest"))).select(
         "place", "block", "pass", "nth",
         F.when(~full & (F.col("before") + F.col("words") > F.col("rest")), F.col("rest") - F.col("before")).alias("gap")))
     per_pass = {(r["place"], r["pass"]): r["n"] for r in drawn.groupBy("place", "pass").agg(F.count("*").alias("n")).collect()}
@@ -136,7 +135,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     cut = rows.where(F.col("gap").isNotNull()).withColumn("upto", F.sum("size").over(by_hash)).withColumn(
         "over", F.col("upto") > F.col("gap")).where("upto - size <= gap")
     names = ["rid", "doc_id", "place", "pass", "whole", "size", "shard", "hash", "over"]
-    near = cut_lineage(rows.where(F.col("gap").isNull()).withColumn("over", F.lit(False)).select(*names).unionByName(
+    near = written(rows.where(F.col("gap").isNull()).withColumn("over", F.lit(False)).select(*names).unionByName(
         cut.select(*names)))
     # ---- nearer to the target: one document more, or the first that goes over it instead of one that is in
     partial = near.where(~F.col("over") & (F.col("pass") == F.col("whole")))
@@ -150,7 +149,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     swap = partial.join(short, F.col("place") == F.col("at")).where(F.col("next").isNotNull()).select(
         "place", "whole", "short", F.abs(F.col("next.size") - F.col("size") - F.col("short")).alias("off"),
         F.struct("next.rid", "next.doc_id", "next.hash").alias("who"), F.col("rid").alias("gone"))
-    best = cut_lineage(more.unionByName(swap).where("off < short").groupBy("place").agg(
+    best = written(more.unionByName(swap).where("off < short").groupBy("place").agg(
         F.min(F.struct("off", "who", "gone", "whole")).alias("m")))
     plan = near.where(~F.col("over")).join(
         best.select(F.col("m.gone").alias("rid"), F.col("m.whole").alias("pass")), ["rid", "pass"], "left_anti")

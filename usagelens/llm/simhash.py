@@ -26,8 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import chunks, components, numbered, per_row, text_or_empty
-from usagelens.session import cut_lineage
+from usagelens.llm.common import chunks, components, numbered, per_row, text_or_empty, written
 
 BITS = 64
 SEED = 42
@@ -268,9 +267,9 @@ def simhash_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFr
     null doc_id counts as larger than any; a group of null ids only has a null
     component_id. ``kept`` marks one row per component (repeated rows too).
     Other columns are not read; an empty table gives no rows. Eager: the
-    fingerprints and each step of the components are checkpointed.
+    fingerprints and each step of the components are written.
     """
-    prints = cut_lineage(fingerprints(docs, words))
+    prints = written(fingerprints(docs, words))
     classes = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
     n, both = cooccurrence(classes)
     roots = components(links(classes, allocate(n, both, distance), distance))
