@@ -32,11 +32,9 @@ def _hashed(parts: Column) -> Column:
     return F.transform(parts, lambda p: F.struct(_hash(p).alias("h"), F.lit(0).alias("r")))
 
 
-def _clashes(cells: DataFrame) -> DataFrame:
-    """Of (h, part): rank of every part whose hash another part shares, as (h, part, r)."""
-    distinct = cells.distinct()
-    shared = distinct.groupBy("h").count().where("count > 1").select("h")
-    return distinct.join(shared, "h", "left_semi").selectExpr(
+def _ranks_of(cells: DataFrame, shared: DataFrame) -> DataFrame:
+    """Of (h, part): rank of every part whose hash is in ``shared`` among the parts of that hash, as (h, part, r)."""
+    return cells.join(shared, "h", "left_semi").distinct().selectExpr(
         "h", "part", "cast(dense_rank() over (partition by h order by part) - 1 as int) as r")
 
 
@@ -52,12 +50,12 @@ def _ranked(rows: DataFrame, clashes: DataFrame) -> DataFrame:
 def _level(rows: DataFrame, keep: list[str]) -> DataFrame:
     """Rows (rid, keep..., parts) to (rid, keep..., names)."""
     cells = rows.select(F.explode("parts").alias("part")).select(_hash("part").alias("h"), "part")
-    clashes = written(_clashes(cells))
+    shared = written(cells.distinct().groupBy("h").count().where("count > 1").select("h"))  # hashes of two contents
     plain = rows.select("rid", *keep, _hashed(F.col("parts")).alias("names"))
-    if clashes.isEmpty():
+    if shared.isEmpty():
         return plain
     rows = written(rows)  # read twice below, and its numbers must stay
-    return rows.select("rid", *keep).join(_ranked(rows, clashes), "rid")
+    return rows.select("rid", *keep).join(_ranked(rows, _ranks_of(cells, shared)), "rid")
 
 
 def identities(docs: DataFrame, block: int = BLOCK) -> DataFrame:
