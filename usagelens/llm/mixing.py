@@ -140,9 +140,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     # ---- nearer to the target: one document more, or the first that goes over it instead of one that is in
     partial = near.where(~F.col("over") & (F.col("pass") == F.col("whole")))
     first_over = near.where("over").groupBy("place").agg(F.min(F.struct("size", "rid", "doc_id", "hash")).alias("next"))
-    got = partial.groupBy("place").agg(F.sum("size").alias("got"))
-    short = spec_df.where("target > 0").join(got, "place", "left").join(first_over, "place", "left").select(
-        F.col("place").alias("at"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("short"), "next")
+    got = partial.groupBy("place").agg(F.sum("size").alias("got")).join(first_over, "place", "full")
+    have = {r["place"]: r for r in got.collect()}  # one row per source, as stats
+    ends_at = [(i, float(rest - ((have[i]["got"] or 0) if i in have else 0)), have[i]["next"] if i in have else None)
+               for i, *_, t, _, _, rest in spec if t > 0]
+    short = spark.createDataFrame(ends_at, "at int, short double, next struct<size:long,rid:long,doc_id:long,hash:long>")
     who = F.struct("rid", "doc_id", "hash").alias("who")
     more = mixed.join(partial.select("rid"), "rid", "left_anti").join(short, F.col("place") == F.col("at")).select(
         "place", "whole", "short", F.abs(F.col("size") - F.col("short")).alias("off"), who, F.lit(None).cast("long").alias("gone"))
