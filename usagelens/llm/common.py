@@ -69,6 +69,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_kept_model: dict = {}
+
+
+def per_worker(make: Callable, *args):
+    """``make(*args)``, kept by this Python worker until it needs another model: only one is in memory at a time."""
+    key = (make, *args)
+    if key not in _kept_model:
+        _kept_model.clear()
+        _kept_model[key] = make(*args)
+    return _kept_model[key]
+
+
+def small(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
+    """A frame made from ``rows`` rows of the driver, to be broadcast if they are at most ``most``."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def per_row(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
     """Apply a row function to every row of ``df`` inside Arrow batches (narrow, streaming).
 

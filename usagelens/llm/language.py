@@ -15,16 +15,15 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import chunks, ship, text_or_empty
+from usagelens.llm.common import chunks, per_worker, ship, text_or_empty
 
 UNDETERMINED = "und"
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 CHUNK = 1 << 20
 EDGE = "\x00"
 #: Bits that one language's phrase count takes in a packed sum.
@@ -133,9 +132,8 @@ class Parser(dict):
         return costs[0][1], costs[1][0] / (costs[0][0] + costs[1][0])
 
 
-@lru_cache(maxsize=1)
 def parser(sample: Sample) -> Parser:
-    return Parser(sample)
+    return per_worker(Parser, sample)
 
 
 def is_held_out(doc_id: str = "doc_id"):

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import numbered, rows_of, text_or_empty, written
+from usagelens.llm.common import numbered, rows_of, small, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SPEC = "place int, source string, source_size long, target double, blocks long, whole int, rest double"
@@ -101,7 +101,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
         whole = int(t // r["size"]) if r["size"] else 0
         spec.append((i, r["source"], r["size"], float(t), math.isqrt(r["n"]) + 1, whole, float(t - whole * r["size"])))
     spec_df = spark.createDataFrame(spec, SPEC)
-    placed = sizes.join(spec_df, sizes["source"].eqNullSafe(spec_df["source"])).drop(spec_df["source"])
+    placed = sizes.join(small(spec_df, len(spec)), sizes["source"].eqNullSafe(spec_df["source"])).drop(spec_df["source"])
 
     own = F.coalesce("doc_id", "rid")
     mixed = placed.withColumn("hash", F.xxhash64(F.lit(seed), own, "size")).withColumn("block", F.pmod("hash", "blocks"))
@@ -144,7 +144,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     have = {r["place"]: r for r in got.collect()}  # one row per source, as stats
     ends_at = [(i, float(rest - ((have[i]["got"] or 0) if i in have else 0)), have[i]["next"] if i in have else None)
                for i, *_, t, _, _, rest in spec if t > 0]
-    short = spark.createDataFrame(ends_at, "at int, short double, next struct<size:long,rid:long,doc_id:long,hash:long>")
+    short = small(spark.createDataFrame(ends_at, "at int, short double, next struct<size:long,rid:long,doc_id:long,hash:long>"),
+                  len(ends_at))
     who = F.struct("rid", "doc_id", "hash").alias("who")
     more = mixed.join(partial.select("rid"), "rid", "left_anti").join(short, F.col("place") == F.col("at")).select(
         "place", "whole", "short", F.abs(F.col("size") - F.col("short")).alias("off"), who, F.lit(None).cast("long").alias("gone"))

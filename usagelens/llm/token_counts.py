@@ -11,12 +11,11 @@ its UTF-8 bytes (byte fallback). No identifier is produced.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
-from usagelens.llm.common import chunks, per_row, text_or_empty
+from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 
 SPACE = "▁"
 #: Stretches remembered per Python worker; later ones are counted anew each time.
@@ -88,9 +87,8 @@ class PieceCounter(dict):
         return sum(sum(map(self.__getitem__, self.stretch(p))) for p in parts)
 
 
-@lru_cache(maxsize=1)
 def counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
+    return per_worker(PieceCounter, path)
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:

@@ -16,15 +16,16 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
 
-from usagelens.llm.common import chunks, per_row, text_or_empty
+from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 
-REMEMBERED = 300_000
-PAIRS_REMEMBERED = 300_000
+#: Entries that a Python worker remembers: pieces, stretches of text between spaces, pairs of tokens.
+REMEMBERED = 200_000
+STRETCHES_REMEMBERED = 150_000
+PAIRS_REMEMBERED = 200_000
 CHUNK = 1 << 19
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: White space as the regular expressions of the tokenizer file see it.
@@ -83,6 +84,7 @@ class WordBpe:
         self.symbol = byte_symbols()
         self.fits_cache: dict[tuple[str, str], bool] = {}
         self.cache = Cache()
+        self.stretches: dict[str, tuple[str, str]] = {}
 
     # ---- pairs of tokens
     def symbols(self, token: str) -> list[str]:
@@ -178,24 +180,41 @@ class WordBpe:
         """Tokens joined by one space: the file names no decoder."""
         return " ".join(self.token[i] for i in ids if i in self.token)
 
+    def by_stretch(self, text: str) -> list[tuple[str, str]]:
+        """(ids, tokens), each joined by spaces, of the stretches between spaces and line feeds (empty ones too).
+
+        No piece, special string or composed letter spans a space, so each
+        stretch is encoded on its own, and once while it is remembered.
+        """
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.stretches.get, words))
+        if None not in found:
+            return found
+        missing = {w: self.pieces(w) for w, f in zip(words, found) if f is None}
+        coded = iter(self.encodings([p for pieces in missing.values() for p in pieces]))
+        new = {}
+        for w, pieces in missing.items():
+            parts = [next(coded) for _ in pieces]
+            new[w] = " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            if len(self.stretches) < STRETCHES_REMEMBERED:
+                self.stretches[w] = new[w]
+        return [f or new[w] for w, f in zip(words, found)]
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Token count, SHA-256 of the ids, SHA-256 of the decoded text, in bounded memory."""
         ids, decoded, n, gap = hashlib.sha256(), hashlib.sha256(), 0, ""
         for part in chunks(text, CHUNK):
-            found = self.encodings(self.pieces(part))
-            if found:
-                coded, tokens = zip(*found)
-                line = " ".join(coded)
+            coded, tokens = zip(*self.by_stretch(part))
+            if line := " ".join(filter(None, coded)):
                 ids.update((gap + line).encode())
-                decoded.update((gap + " ".join(tokens)).encode())
+                decoded.update((gap + " ".join(filter(None, tokens))).encode())
                 n += line.count(" ") + 1
                 gap = " "
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
-@lru_cache(maxsize=1)
 def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+    return per_worker(WordBpe, path)
 
 
 def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
