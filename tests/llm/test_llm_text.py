@@ -78,6 +78,21 @@ def test_round_trip_matches_the_library(frame, docs):
     assert {i: brute.sha(t) for i, t in back.items()} == {i: r.decoded_sha256 for i, r in own.items()}
 
 
+def test_tokens_fit_as_plain_merging_says():
+    own, rng = trie_bpe.word_bpe(tokenizer("word_bpe_49k.json")), random.Random(11)
+    inner = [t for t in own.ids if not t.endswith(own.end) and len(t) < 6]
+    ends = [t for t in own.ids if t.endswith(own.end) and t != own.end and len(t) < 9]
+    few = ["a", "aa", "aaa", "aaaa", "-", "--", "---", "----", "an", "ana", "na", "th", "the", "e", "he", "in"]
+    pairs = [(rng.choice(inner), rng.choice(inner + ends)) for _ in range(20_000)] + [(a, b) for a in few for b in few if a in own.ids and b in own.ids]
+    yes = 0
+    for a, b in pairs:
+        want = own.merged([*own.symbols(a), *own.symbols(b)]) == [a, b]
+        if own.merged(own.symbols(a)) == [a]:
+            assert own.fits(a, b) == want, (a, b)
+            yes += want
+    assert 1000 < yes < len(pairs)
+
+
 def test_long_texts_are_cut_only_between_words(monkeypatch):
     text = "".join(random.Random(3).choice(["the ", "  ", "a\n", "ünï ", "▁ x", "thtion."]) for _ in range(3000))
     sp, bpe = token_counts.counter(tokenizer("piece_bpe_32k.model")), trie_bpe.word_bpe(tokenizer("word_bpe_49k.json"))

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 
 #: Entries that a Python worker remembers: pieces, stretches of text between spaces, pairs of tokens.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 STRETCHES_REMEMBERED = 150_000
-PAIRS_REMEMBERED = 200_000
+PAIRS_REMEMBERED = 250_000
 CHUNK = 1 << 19
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: White space as the regular expressions of the tokenizer file see it.
@@ -82,6 +82,10 @@ class WordBpe:
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
         self.token = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.symbol = byte_symbols()
+        own = {a + b: i for (a, b), i in sorted(self.rank.items(), key=lambda m: -m[1])}  # first rank that forms a token
+        if any(own.get(x, -1) >= i for m, i in self.rank.items() for x in m):
+            raise ValueError(f"{path}: a merge comes before one that forms its parts")
+        self.spine_cache: dict[str, tuple[list, list] | None] = {}
         self.fits_cache: dict[tuple[str, str], bool] = {}
         self.cache = Cache()
         self.stretches: dict[str, tuple[str, str]] = {}
@@ -103,16 +107,54 @@ class WordBpe:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def spines(self, token: str) -> tuple[list, list] | None:
+        """First and last symbols of ``token`` as merging goes on, each with the rank that formed it; None if it never forms."""
+        if token not in self.spine_cache:
+            parts, rank, far = self.symbols(token), self.rank, len(self.rank)
+            left, right = [(parts[0], -1)], [(parts[-1], -1)]
+            while len(parts) > 1:
+                r, i = min((rank.get((a, b), far), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if r == far:
+                    break
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                if i == 0:
+                    left.append((parts[0], r))
+                if i == len(parts) - 1:
+                    right.append((parts[-1], r))
+            self.spine_cache[token] = (left, right) if len(parts) == 1 else None
+        return self.spine_cache[token]
+
     def fits(self, last: str, token: str) -> bool:
-        """Whether ``token`` follows ``last`` in an encoding ("" at the start of a word)."""
+        """Whether ``token`` follows ``last`` in an encoding ("" at the start of a word).
+
+        As merges run by rank, the symbols on both sides of the border grow
+        along the two tokens' spines; the tokens fit if no pair across the
+        border is ever due before the next growth on either side.
+        """
         known = self.fits_cache.get((last, token))
         if known is None:
-            known = self.merged([*self.symbols(last), *self.symbols(token)] if last else self.symbols(token)) == (
-                [last, token] if last else [token])
+            after = self.spines(token)
+            known = after is not None and (not last or self._apart(self.spines(last)[1], after[0]))
             if len(self.fits_cache) < PAIRS_REMEMBERED:
                 self.fits_cache[last, token] = known
         return known
 
+    def _apart(self, xs: list, ys: list) -> bool:
+        rank, far = self.rank, len(self.rank)
+        i = j = 0
+        while True:
+            across = rank.get((xs[i][0], ys[j][0]), far)
+            x = xs[i + 1][1] if i + 1 < len(xs) else far
+            y = ys[j + 1][1] if j + 1 < len(ys) else far
+            if across < x and across <= y and across < far:  # of equal ranks the leftmost pair goes first
+                return False
+            if x == y == far:
+                return True
+            if x <= y:
+                i += 1
+            else:
+                j += 1
+
     # ---- the trie walk
     def _last(self, word: str, depth: int, states: list[str], mark: str, longest: int) -> str:
         """Last token of the node ``word[:depth]``, whose ancestors' last tokens are ``states``."""
