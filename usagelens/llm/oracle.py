@@ -39,8 +39,12 @@ FROM v JOIN least USING (vec_id)
 
 ORACLE["op8_passage_dedup"] = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS p FROM d),
-own AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) AS first FROM win),
+places AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS p FROM d),
+win AS MATERIALIZED (SELECT doc_id, p, hash(substr(h, 2 * p + 1, 100)) AS k FROM places),
+shared AS (SELECT k FROM win GROUP BY k HAVING min(doc_id) < max(doc_id)),
+strings AS (SELECT w.doc_id, p, substr(h, 2 * p + 1, 100) AS s
+            FROM win w SEMI JOIN shared USING (k) JOIN d ON d.doc_id = w.doc_id),
+own AS (SELECT doc_id, p, first FROM strings JOIN (SELECT s, min(doc_id) AS first FROM strings GROUP BY s) USING (s)),
 hit AS (SELECT doc_id, p FROM own WHERE first < doc_id),
 runs AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
 numbered AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM runs),
