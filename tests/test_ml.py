@@ -53,7 +53,7 @@ def test_importance(fitted):
 
 def test_row_index_is_a_permutation(spark, fitted):
     feats, _ = fitted
-    idx = ml._row_index(feats.repartition(3))
+    idx = ml._row_index(feats.repartition(3), 42)
     n = feats.count()
     assert sorted(r["_idx"] for r in idx.select("_idx").collect()) == list(range(n))
     for _, a, b in ml._affine_maps(n, 5, 42):

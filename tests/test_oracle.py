@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from usagelens.plans.catalog import QUERIES
+from usagelens.plans.oracle import ORACLE
 
 TABLES = ["customer", "nation", "orders", "events"]
 
@@ -44,10 +46,10 @@ def test_every_oracle_has_a_query():
     assert len(E.oracle_sql()) >= 40
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    sp = E.queries()[name](spark, SF_SMALL).toPandas()
-    dk = con.execute(E.oracle_sql()[name]).df()
+    sp = QUERIES[name](spark, SF_SMALL).toPandas()
+    dk = con.execute(ORACLE[name]).df()
     cs, rs = _rows(sp)
     cd, rd = _rows(dk)
     assert cs == cd

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions import keep_first
@@ -22,15 +22,32 @@ def clean_users(users: DataFrame, order_by: Sequence[str | Column] = USERS_ORDER
     return u.withColumn("country", F.coalesce("country", F.lit("Unknown")))
 
 
-def median_of(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def median_of(df: DataFrame, col: str, exact: bool = True, buckets: int = 256) -> DataFrame:
     """One-row frame holding the median of ``col`` (nulls ignored).
 
-    The exact form keeps a value->count map whose size is the number of
-    distinct values (not rows) and merges it map-side; ``exact=False``
-    uses ``percentile_approx`` with a fixed-size sketch.
+    NaN counts as null. The exact form counts each distinct value (combined
+    map-side), cuts the values into buckets at approximate quantiles, adds the
+    bucket totals up (``buckets`` rows) and looks for the one or two middle
+    values only in the buckets that hold them, so no task sees more than a
+    bucket's distinct values. ``exact=False`` uses ``percentile_approx``.
     """
-    agg = F.median(col) if exact else F.percentile_approx(col, 0.5, 10000).cast("double")
-    return df.agg(agg.alias("_median"))
+    known = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    if not exact:
+        return known.agg(F.percentile_approx("v", 0.5, 10000).alias("_median"))
+    hist = known.groupBy("v").agg(F.count("*").alias("c"))
+    bounds = hist.agg(F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10000).alias("b")).scalar()
+    hist = hist.withColumn("b", bounds).select(
+        "v", "c", F.size(F.filter("b", lambda x: x < F.col("v"))).alias("bucket"))
+    by_bucket = Window.orderBy("bucket")
+    totals = hist.groupBy("bucket").agg(F.sum("c").alias("in")).select(
+        "bucket", (F.sum("in").over(by_bucket) - F.col("in")).alias("before"), F.sum("in").over(by_bucket).alias("upto"),
+        F.sum("in").over(Window.partitionBy(F.lit(0))).alias("n"))
+    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    middle = totals.where(low.between(F.col("before") + 1, F.col("upto")) | high.between(F.col("before") + 1, F.col("upto")))
+    near = hist.join(middle.select("bucket", "before", low.alias("low"), high.alias("high")), "bucket").withColumn(
+        "last", F.col("before") + F.sum("c").over(Window.partitionBy("bucket").orderBy("v")))
+    at = [F.max(F.when(F.col(k).between(F.col("last") - F.col("c") + 1, F.col("last")), F.col("v"))) for k in ("low", "high")]
+    return near.agg(((at[0] + at[1]) / 2).alias("_median"))
 
 
 def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER) -> DataFrame:
@@ -43,7 +60,7 @@ def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESS
 def fill_duration(sessions: DataFrame, exact_median: bool = True) -> DataFrame:
     """Second phase: null duration -> median of the known durations."""
     med = median_of(sessions, "duration", exact_median).scalar()  # one value, one subquery
-    return sessions.withColumn("duration", F.coalesce(F.col("duration"), med))
+    return sessions.withColumn("duration", F.coalesce(F.when(~F.isnan("duration"), F.col("duration")), med))
 
 
 def clean_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER,

@@ -20,12 +20,14 @@ def _top1(df: DataFrame, value: str, key: str) -> DataFrame:
 
 def generate_insights(metrics: DataFrame, events: DataFrame) -> DataFrame:
     """Up to three sentences: top churn country, most used feature, best plan
-    by mean renewal rate. A rule whose input is empty yields no row."""
+    by mean renewal rate. A rule whose input is empty yields no row, and
+    without any metrics row there is no sentence at all."""
     churn = _top1(churned_by_country(metrics), "churned_users", "country").select(
         F.lit(1).alias("rule_id"), F.format_string(CHURN_TEXT, "country").alias("text"))
     usage = events.where(F.col("feature").isNotNull()).groupBy("feature") \
         .agg(F.count("event_id").alias("n"))
-    feat = _top1(usage, "n", "feature").select(
+    any_user = metrics.select(F.lit(1)).limit(1).agg((F.count("*") > 0).alias("any")).scalar()
+    feat = _top1(usage, "n", "feature").where(any_user).select(
         F.lit(2).alias("rule_id"), F.format_string(FEATURE_TEXT, "feature").alias("text"))
     plans = metrics.where(F.col("plans").isNotNull()).groupBy("plans") \
         .agg(F.avg("renewal_rate").alias("r"))

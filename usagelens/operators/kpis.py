@@ -75,10 +75,10 @@ def ltv_summary(metrics: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(payments: DataFrame) -> DataFrame:
-    """(month, revenue) summed per calendar month; null dates are dropped."""
+    """(month, revenue) summed per calendar month, in order; null dates are dropped, a month of nulls sums to 0."""
     return (payments.where(F.col("payment_date").isNotNull())
             .groupBy(month_start(F.col("payment_date")).alias("month"))
-            .agg(F.sum("revenue").alias("revenue")))
+            .agg(F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("revenue")).orderBy("month"))
 
 
 def revenue_summary(payments: DataFrame) -> DataFrame:

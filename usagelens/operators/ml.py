@@ -85,8 +85,7 @@ class ChurnModel:
 
 
 def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: int | None = None,
-                      seed: int = 42, tol: float = 1e-4,
-                      rows_per_partition: int = 1_000_000) -> ChurnModel:
+                      seed: int = 42, tol: float = 1e-4, partitions: int = 8) -> ChurnModel:
     """ML3 / ML3b: fit on all rows.
 
     logreg: features standardised with the population sd, L2 with C = 1,
@@ -97,25 +96,24 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: in
     source's solver.
     gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
     on the raw features.
+
+    Rows are dealt to ``partitions`` partitions by user and sorted there, so
+    a fit (GBT samples rows per partition) depends on data and arguments only,
+    not on how the input was laid out. Eager: runs the optimiser's jobs.
     """
     # the statistics pass, the solver's set-up passes and the summaries all
     # read the features: keep them cached while fitting (lineage stays, so
     # lost blocks are recomputed)
-    cached = features.persist(StorageLevel.MEMORY_AND_DISK)
+    laid = features.repartition(partitions, "user_id").sortWithinPartitions("user_id", *FEATURES, LABEL)
+    cached = laid.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(cached, backend, max_iter, seed, tol, rows_per_partition)
+        return _fit(cached, backend, max_iter, seed, tol)
     finally:
         cached.unpersist()
 
 
-def _fit(features: DataFrame, backend: str, max_iter: int | None, seed: int, tol: float,
-         rows_per_partition: int) -> ChurnModel:
+def _fit(features: DataFrame, backend: str, max_iter: int | None, seed: int, tol: float) -> ChurnModel:
     stats = scaler_stats(features)
-    # every optimiser step is a job over all partitions: size them by rows
-    # (about 50 MB of features each) instead of by the upstream layout
-    parts = max(1, math.ceil(stats["n"] / rows_per_partition))
-    if parts < features.rdd.getNumPartitions():
-        features = features.coalesce(parts)
     scale = SQLTransformer(statement=_scaling_statement(stats))
     if backend == "gbt":
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features_vec")
@@ -197,25 +195,27 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_proba
     off = tot.withColumn("nb_before", F.coalesce(F.sum("bn").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     dec = "decimal(38,0)"
-    j = hb.join(F.broadcast(off.select("bucket", "nb_before")), "bucket")  # at most `buckets` rows
+    j = hb.join(off.select("bucket", "nb_before"), "bucket")  # at most `buckets` rows on the right
     num = F.sum(F.col("pos").cast(dec) * (2 * (F.col("nb_before") + F.col("nb_in")) + F.col("neg")).cast(dec))
     den = 2 * F.sum("pos").cast(dec) * F.sum("neg").cast(dec)
     return j.agg((num.cast("double") / F.when(den > 0, den.cast("double"))).alias("auc"))
 
 
-def _row_index(df: DataFrame) -> DataFrame:
-    """Contiguous 0..n-1 row ids without a global sort or an RDD.
+def _row_index(df: DataFrame, seed: int) -> DataFrame:
+    """Contiguous 0..n-1 row ids in the order of a seeded hash of user_id.
 
-    Rows keep (partition, position) ids; the frame is checkpointed first so
-    ids stay fixed if tasks are re-run. Partition offsets come from a
-    per-partition count (one row per partition).
+    The order is total up to equal rows, so ids do not depend on how the
+    input was laid out. A range sort gives (partition, position) ids; the
+    frame is checkpointed so they stay fixed if tasks are re-run. Partition
+    offsets come from a per-partition count (one row per partition).
     """
-    d = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id())
+    order = [F.xxhash64(F.lit(seed), "user_id"), *[F.col(c) for c in df.columns]]
+    d = cut_lineage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
                     .withColumn("_pid", F.spark_partition_id()))
     counts = d.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     off = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (d.join(F.broadcast(off.select("_pid", "_off")), "_pid")
+    return (d.join(off.select("_pid", "_off"), "_pid")
             .withColumn("_idx", F.col("_off") + F.col("_mid")
                         - F.shiftleft(F.col("_pid").cast("long"), 33))
             .drop("_mid", "_pid", "_off"))
@@ -249,16 +249,19 @@ def permutation_importance(model: ChurnModel, features: DataFrame, repeats: int
 
     Repeat r gives row i the feature value of row (a_r * i + b_r) mod n: one
     shuffle join of (n x repeats) requests against n donors; each joined row
-    then scores all six one-feature-permuted variants in a single pass.
+    then scores all six one-feature-permuted variants in a single pass. n is
+    the number of rows of ``features`` itself, whatever the model was fitted
+    on. Eager: the row ids are checkpointed and counted.
     """
-    base = features.select(*FEATURES, LABEL)
-    idx = _row_index(base)
-    n = model.stats.get("n") or idx.count()
+    idx = _row_index(features.select("user_id", *FEATURES, LABEL), seed)
+    n = idx.count()
+    wide = "decimal(19,0)"  # a * i passes 64 bits on large frames
     maps = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(a).cast("long").alias("a"),
                               F.lit(b).cast("long").alias("b")) for r, a, b in _affine_maps(n, repeats, seed)])
     req = (idx.select("*", F.explode(maps).alias("m"))
            .select(*FEATURES, LABEL, F.col("m.r").alias("r"),
-                   F.pmod(F.col("m.a") * F.col("_idx") + F.col("m.b"), F.lit(n)).alias("_donor")))
+                   ((F.col("m.a").cast(wide) * F.col("_idx").cast(wide) + F.col("m.b")) % F.lit(max(n, 1)).cast(wide))
+                   .cast("long").alias("_donor")))
     donors = idx.select(F.col("_idx").alias("_donor"), *[F.col(c).alias(f"d_{c}") for c in FEATURES])
     j = req.join(donors, "_donor")
     variants = F.array(*[

@@ -14,14 +14,13 @@ EPOCH = "1970-01-01 00:00:00"
 def session_metrics(sessions: DataFrame) -> DataFrame:
     """Per user: count, mean duration, first/last session time, span in days.
 
-    The duration sum is exact (decimal), so the mean and its rounding do not
-    depend on the order rows are added in, i.e. on partitioning.
+    A NaN duration counts as null. The mean is a sum of doubles: its last
+    bits depend on the order of addition.
     """
-    exact_sum = F.sum(F.col("duration").cast("decimal(38,6)")).cast("double")
     return (sessions.where(F.col("user_id").isNotNull())
             .groupBy("user_id")
             .agg(F.count("session_id").alias("sessions_total"),
-                 (exact_sum / F.count("duration")).alias("avg_session_duration"),
+                 F.avg(F.when(~F.isnan("duration"), F.col("duration"))).alias("avg_session_duration"),
                  F.min("session_time").alias("first_session"),
                  F.max("session_time").alias("last_session"))
             .withColumn("session_span_days",

@@ -95,7 +95,7 @@ CTES["c_payments"] = """
 
 CTES["sm"] = """
     SELECT user_id, count(session_id) AS sessions_total,
-           CAST(sum(CAST(duration AS DECIMAL(38,6))) AS DOUBLE) / count(duration) AS avg_d,
+           avg(duration) AS avg_d,
            min(session_time) AS first_session, max(session_time) AS last_session
     FROM c_sessions GROUP BY user_id"""
 
@@ -204,30 +204,29 @@ SELECT user_id, signup_date, country, sessions_total, round(avg_session_duration
        round(renewal_rate, 4) AS renewal_rate
 FROM um""")
 
-# ---- SQL library (Postgres text, DuckDB dialect) ------------------------------
+# ---- SQL library ------------------------------
 oracle("sql_dau", """
 SELECT CAST(date_trunc('day', session_time) AS DATE) AS activity_date, COUNT(DISTINCT user_id) AS dau
 FROM c_sessions WHERE session_time IS NOT NULL GROUP BY activity_date ORDER BY activity_date""")
 oracle("sql_mau", """
 SELECT CAST(date_trunc('month', session_time) AS DATE) AS activity_month, COUNT(DISTINCT user_id) AS mau
 FROM c_sessions GROUP BY activity_month ORDER BY activity_month NULLS LAST""")
-oracle("sql_retention_4w", """,
-cohort AS (
-    SELECT user_id, CAST(date_trunc('week', signup_date) AS DATE) AS cohort_week,
-           CAST(MIN(date_trunc('week', session_time)) AS DATE) AS first_active_week
-    FROM c_users LEFT JOIN c_sessions USING (user_id)
-    WHERE session_time IS NOT NULL
-    GROUP BY user_id, cohort_week)
-SELECT cohort_week, COUNT(DISTINCT user_id) AS new_users,
-       COUNT(DISTINCT CASE WHEN first_active_week <= cohort_week + INTERVAL '4 weeks' THEN user_id END)
-           AS retained_4w
-FROM cohort GROUP BY cohort_week ORDER BY cohort_week""")
+oracle("sql_retention_4w", """
+SELECT week AS cohort_week, count(*) AS new_users,
+       count(*) FILTER (WHERE seen < week + INTERVAL 35 DAY) AS retained_4w
+FROM (SELECT CAST(date_trunc('week', u.signup_date) AS DATE) AS week,
+             (SELECT min(s.session_time) FROM c_sessions s WHERE s.user_id = u.user_id) AS seen
+      FROM c_users u)
+WHERE seen IS NOT NULL GROUP BY week ORDER BY week""")
 oracle("sql_funnel", f"""
-SELECT (SELECT COUNT(*) FROM c_users) AS signups,
-       (SELECT COUNT(DISTINCT user_id) FROM c_sessions
-         WHERE session_time >= {AS_OF} - INTERVAL '30 days') AS active_last_30d,
-       (SELECT COUNT(DISTINCT user_id) FROM c_payments WHERE plan <> 'free' AND revenue > 0) AS paid,
-       (SELECT COUNT(*) FROM um WHERE churn_flag) AS churned""")
+SELECT count(*) AS signups,
+       count(*) FILTER (WHERE user_id IN (SELECT user_id FROM c_sessions WHERE session_time >= {AS_OF} - INTERVAL 30 DAY))
+         + (SELECT count(DISTINCT user_id) FROM c_sessions WHERE session_time >= {AS_OF} - INTERVAL 30 DAY
+              AND user_id NOT IN (SELECT user_id FROM c_users)) AS active_last_30d,
+       (SELECT count(*) FROM (SELECT user_id FROM c_payments GROUP BY user_id
+          HAVING user_id IS NOT NULL AND bool_or(plan <> 'free' AND revenue > 0))) AS paid,
+       (SELECT sum(CAST(churn_flag AS BIGINT))::BIGINT FROM um) AS churned
+FROM c_users""")
 
 # ---- activity, cohorts -------------------------------------------------------
 oracle("user_day_rollup", "SELECT user_id, date FROM user_day")
@@ -280,7 +279,7 @@ FROM (SELECT greatest(COALESCE(avg(CAST(churn_flag AS DOUBLE)), 1e-6), 1e-6) AS
              avg(CASE WHEN is_paid_user THEN payments_total END) AS paid_arpu,
              avg(renewal_rate) AS rr FROM um)""")
 CTES["monthly"] = """
-    SELECT CAST(date_trunc('month', payment_date) AS DATE) AS month, sum(revenue) AS revenue
+    SELECT CAST(date_trunc('month', payment_date) AS DATE) AS month, COALESCE(sum(revenue), 0.0) AS revenue
     FROM c_payments WHERE payment_date IS NOT NULL GROUP BY 1"""
 oracle("monthly_revenue", "SELECT month, round(revenue, 4) AS revenue FROM monthly")
 oracle("revenue_summary", """
@@ -304,7 +303,7 @@ FROM (SELECT country, count(DISTINCT user_id) AS n FROM um WHERE churn_flag AND
 UNION ALL
 SELECT 2, printf('Feature %s drives the most interactions and keeps users engaged.', feature)
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
-      GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
+      GROUP BY feature ORDER BY n DESC, feature LIMIT 1) WHERE EXISTS (SELECT 1 FROM um)
 UNION ALL
 SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
 FROM (SELECT plans, avg(renewal_rate) AS r FROM um WHERE plans IS NOT NULL
@@ -464,11 +463,14 @@ FROM (SELECT country, count(DISTINCT user_id) AS n FROM sel WHERE churn_flag AND
 UNION ALL
 SELECT 2, printf('Feature %s drives the most interactions and keeps users engaged.', feature)
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
-      GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
+      GROUP BY feature ORDER BY n DESC, feature LIMIT 1) WHERE EXISTS (SELECT 1 FROM sel)
 UNION ALL
 SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
 FROM (SELECT plans, avg(renewal_rate) AS r FROM sel WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
+oracle("report_insights_empty", """
+SELECT 1 AS rule_id, printf('Users from %s show the highest churn within the cohort.', country) AS text
+FROM um WHERE country = 'Nowhere' AND churn_flag""")
 oracle("report_mrr", "SELECT * FROM sel_mrr")
 oracle("report_monthly_revenue", "SELECT month, round(revenue, 4) AS revenue FROM sel_monthly")
 oracle("scenario_grid", """

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -13,26 +14,41 @@ def get_spark(master: str | None = None, app: str = "usagelens",
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the library assumes.
 
-    On a cluster the launcher's settings win; these defaults matter for
-    local runs (tests, bench).
+    What a launcher (spark-submit, PYSPARK_SUBMIT_ARGS or a session that is
+    already running) has set stays as it is; the defaults below fill only what
+    is unset. Explicit arguments win over both.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", "16g")
-    )
-    for k, v in (extra or {}).items():
+    sql = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    alone = {  # nobody has launched anything: one machine
+        "spark.master": f"local[{cpus}]",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "16g",
+        "spark.sql.shuffle.partitions": cpus,
+    }
+    launched = SparkSession.getActiveSession() is not None or any(
+        os.environ.get(k) for k in ("PYSPARK_GATEWAY_PORT", "PYSPARK_SUBMIT_ARGS"))
+    chosen = ({} if launched else sql | alone) | (extra or {})
+    if master:
+        chosen["spark.master"] = master
+    if shuffle_partitions:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder if launched else SparkSession.builder.appName(app)
+    for k, v in chosen.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if launched:
+        given = spark.sparkContext.getConf()
+        for k, v in sql.items():
+            if not given.contains(k) and k not in chosen:
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -59,9 +75,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when the session names none (tests, ad-hoc local runs) do we set one:
-    ``fallback`` if given, else a folder under the warehouse dir, which on
-    a cluster is shared storage.
+    when the session names none do we set one: ``fallback`` if given, else, in
+    local mode (tests, ad-hoc runs), a folder under the warehouse dir. On a
+    cluster without a shared folder this raises an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +85,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
+        if not fallback and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         conf = fallback or wh.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(conf)

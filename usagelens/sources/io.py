@@ -27,7 +27,8 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     """
     schema = schema or SCHEMAS.get(name)
     if fmt == "csv":
-        r = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        # a cell that does not fit its column stops the read instead of turning into a null
+        r = spark.read.option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         return r.schema(schema).csv(_path(root, name, fmt)) if schema else r.csv(_path(root, name, fmt))
     df = spark.read.parquet(_path(root, name, fmt))
     return conform(df, schema) if schema else df
