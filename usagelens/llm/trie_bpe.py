@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 
 from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 
-#: Entries that a Python worker remembers: pieces, stretches of text between spaces, pairs of tokens.
-REMEMBERED = 250_000
-STRETCHES_REMEMBERED = 150_000
+#: Entries that a Python worker remembers: pieces of text, pairs of tokens.
+REMEMBERED = 350_000
 PAIRS_REMEMBERED = 250_000
 CHUNK = 1 << 19
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -88,7 +87,6 @@ class WordBpe:
         self.spine_cache: dict[str, tuple[list, list] | None] = {}
         self.fits_cache: dict[tuple[str, str], bool] = {}
         self.cache = Cache()
-        self.stretches: dict[str, tuple[str, str]] = {}
 
     # ---- pairs of tokens
     def symbols(self, token: str) -> list[str]:
@@ -156,18 +154,11 @@ class WordBpe:
                 j += 1
 
     # ---- the trie walk
-    def _last(self, word: str, depth: int, states: list[str], mark: str, longest: int) -> str:
-        """Last token of the node ``word[:depth]``, whose ancestors' last tokens are ``states``."""
-        ids = self.ids
-        for n in range(min(depth, longest), 0, -1):
-            token = word[depth - n:depth] + mark
-            if token in ids and (self.fits(states[depth - n], token)):
-                return token
-        raise ValueError(f"no token ends {word[:depth]!r}")
-
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """(word, tokens) for words of byte symbols, in the depth-first order of their trie."""
         states, above = [""], ""  # states[d]: last token of the node at depth d on the path
+        ids, known, fits, mark = self.ids, self.fits_cache, self.fits, self.end
+        inner, final = self.longest
         for word in sorted(words):
             shared = 0
             for a, b in zip(above, word):
@@ -176,9 +167,20 @@ class WordBpe:
                 shared += 1
             del states[min(shared, len(word) - 1) + 1:]
             for depth in range(len(states), len(word)):
-                states.append(self._last(word, depth, states, "", self.longest[0]))
-            token = self._last(word, len(word), states, self.end, self.longest[1])
-            tokens, at = [token], len(word) - len(token) + len(self.end)
+                for at in range(max(depth - inner, 0), depth):  # the longest ending first
+                    token = word[at:depth]
+                    if token in ids and ((fit := known.get((states[at], token))) or fit is None and fits(states[at], token)):
+                        states.append(token)
+                        break
+                else:
+                    raise ValueError(f"no token ends {word[:depth]!r}")
+            for at in range(max(len(word) - final, 0), len(word)):
+                token = word[at:] + mark
+                if token in ids and fits(states[at], token):
+                    break
+            else:
+                raise ValueError(f"no token ends {word!r}")
+            tokens = [token]
             while at:
                 tokens.append(states[at])
                 at -= len(states[at])
@@ -222,34 +224,15 @@ class WordBpe:
         """Tokens joined by one space: the file names no decoder."""
         return " ".join(self.token[i] for i in ids if i in self.token)
 
-    def by_stretch(self, text: str) -> list[tuple[str, str]]:
-        """(ids, tokens), each joined by spaces, of the stretches between spaces and line feeds (empty ones too).
-
-        No piece, special string or composed letter spans a space, so each
-        stretch is encoded on its own, and once while it is remembered.
-        """
-        words = text.replace("\n", " ").split(" ")
-        found = list(map(self.stretches.get, words))
-        if None not in found:
-            return found
-        missing = {w: self.pieces(w) for w, f in zip(words, found) if f is None}
-        coded = iter(self.encodings([p for pieces in missing.values() for p in pieces]))
-        new = {}
-        for w, pieces in missing.items():
-            parts = [next(coded) for _ in pieces]
-            new[w] = " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
-            if len(self.stretches) < STRETCHES_REMEMBERED:
-                self.stretches[w] = new[w]
-        return [f or new[w] for w, f in zip(words, found)]
-
     def digest(self, text: str) -> tuple[int, str, str]:
         """Token count, SHA-256 of the ids, SHA-256 of the decoded text, in bounded memory."""
         ids, decoded, n, gap = hashlib.sha256(), hashlib.sha256(), 0, ""
         for part in chunks(text, CHUNK):
-            coded, tokens = zip(*self.by_stretch(part))
-            if line := " ".join(filter(None, coded)):
+            if found := self.encodings(self.pieces(part)):
+                coded, tokens = zip(*found)
+                line = " ".join(coded)
                 ids.update((gap + line).encode())
-                decoded.update((gap + " ".join(filter(None, tokens))).encode())
+                decoded.update((gap + " ".join(tokens)).encode())
                 n += line.count(" ") + 1
                 gap = " "
         return n, ids.hexdigest(), decoded.hexdigest()
