@@ -33,6 +33,12 @@ def test_insights_text_fallback(spark, scratch):
     assert txt.strip() == io.FALLBACK_INSIGHT
 
 
+def test_failing_database_is_logged_and_passed_over(spark, caplog):
+    df = spark.range(2)
+    failed = io.write_jdbc({"a": df, "b": df}, "jdbc:nosuchdriver:nowhere", {})
+    assert failed == ["a", "b"] and "table a was not loaded" in caplog.text
+
+
 def test_catalog_tables(spark):
     t = m1.tables(spark)
     names = io.save_as_tables({"um_test": t["user_metrics"]})
@@ -43,7 +49,8 @@ def test_catalog_tables(spark):
 def test_pipeline_run(spark, scratch):
     out = pipeline.run(spark, fx.raw_tables(spark, SF_SMALL), scratch, fx.AS_OF)
     for key in ("users", "user_metrics", "cohort_retention", "dau_anomalies", "dau_forecast",
-                "churn_scored", "churn_feature_importance", "analytics_summary", "insights"):
+                "churn_scored", "churn_auc", "churn_report", "churn_feature_importance", "analytics_summary",
+                "insights"):
         assert os.path.exists(out[key]), key
     doc = json.loads(open(glob.glob(f"{out['analytics_summary']}/part-*")[0]).read())
     assert doc["conversion"]["total_users"] == 150

@@ -102,3 +102,41 @@ def test_logreg_matches_objective(fitted):
         beta -= np.linalg.solve(hess, grad)
     w, b = model.weights
     assert np.allclose(w, beta[:-1], atol=2e-3) and abs(b - beta[-1]) < 2e-3
+
+
+def test_given_weights_score_like_the_fitted_model(fitted):
+    feats, model = fitted
+    w, b = model.weights
+    given = ml.LinearModel(model.stats, tuple(w), b)
+    a = ml.score(model, feats).orderBy("user_id").select("churn_probability").toPandas()["churn_probability"]
+    c = ml.score(given, feats).orderBy("user_id").select("churn_probability").toPandas()["churn_probability"]
+    assert max(abs(a - c)) < 1e-12
+    assert ml.accuracy(given, feats).first() == ml.accuracy(model, feats).first()
+
+
+def test_given_weights_on_an_empty_table(fitted):
+    feats, _ = fitted
+    none = feats.where("false")
+    given = ml.LinearModel(ml.scaler_stats(none), (1.0,) * 6)
+    assert given.stats["n"] == 0 and given.stats["renewal_rate"] == (0.0, 1.0)
+    assert ml.score(given, none).count() == 0 and ml.linear_shap(given, none).count() == 0
+
+
+def test_importance_without_permutation(fitted, monkeypatch):
+    feats, model = fitted
+
+    def fails(*_):
+        raise RuntimeError("no")
+
+    monkeypatch.setattr(ml, "permutation_importance", fails)
+    rows = ml.feature_importance(model, feats).collect()
+    assert len(rows) == 6 and all(r["permutation_importance"] is None for r in rows)
+    assert all(r["permutation_importance"] == 0 for r in ml.top_drivers(ml.feature_importance(model, feats)).collect())
+
+
+def test_report_with_a_model(spark, fitted):
+    from usagelens.operators import report
+    feats, model = fitted
+    frames = report.report(tables(spark, SF_SMALL), model=model, importance=ml.model_importance(model, feats))
+    assert frames["leaderboard"].count() == 15 and frames["drivers"].count() == 6
+    assert frames["explanations"].count() == 50 * 6

@@ -55,3 +55,18 @@ def test_input_order_does_not_matter(spark, t):
     a = round_doubles(process(raw, fx.AS_OF)["user_metrics"], 6)
     b = round_doubles(process(shuffled, fx.AS_OF)["user_metrics"], 6)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_round_exact_is_pythons_round(spark):
+    import random
+
+    from usagelens.functions import round_exact
+    rng = random.Random(5)
+    values = [p / n for n in (1, 3, 7, 8, 800, 16000, 20000, 80000) for p in (0, 1, 3, 5, 7, 2469, 4937, 12345, 19999)]
+    values += [(2 * k + 1) / 20000 for k in range(2000)] + [rng.random() * 10 ** rng.randrange(6) for _ in range(2000)]
+    values += [-v for v in values[:500]] + [0.125, 2.5, 44.225, 1e8 + 0.00005]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 4):
+        for v, r in df.select("v", round_exact("v", digits)).collect():
+            assert r == round(v, digits), v
+    assert spark.range(1).select(round_exact(F.lit(None).cast("double"), 2)).first()[0] is None

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import round_half_even
+from usagelens.functions import round_exact
 from usagelens.operators.kpis import churned_by_country
 
 # Sentence templates (fixed values).
@@ -31,8 +31,8 @@ def generate_insights(metrics: DataFrame, events: DataFrame) -> DataFrame:
         F.lit(2).alias("rule_id"), F.format_string(FEATURE_TEXT, "feature").alias("text"))
     plans = metrics.where(F.col("plans").isNotNull()).groupBy("plans") \
         .agg(F.avg("renewal_rate").alias("r"))
-    # round half to even first: Java's %.2f rounds half up on the decimal text
+    # rounded on the exact value first: Java's %.2f rounds half up on the decimal text
     plan = _top1(plans, "r", "plans").select(
         F.lit(3).alias("rule_id"),
-        F.format_string(PLAN_TEXT, F.col("plans"), round_half_even(F.col("r"), 2)).alias("text"))
+        F.format_string(PLAN_TEXT, F.col("plans"), round_exact(F.col("r"), 2)).alias("text"))
     return churn.unionByName(feat).unionByName(plan)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import attach, round_half_even
+from usagelens.functions import attach, round_exact, round_half_even
 
 from usagelens.functions import month_start
 
@@ -17,7 +17,8 @@ def conversion_rates(metrics: DataFrame) -> DataFrame:
     """total_users, paid_users, conversion_rate, active_conversion_rate.
 
     active_conversion_rate divides ALL paid users by the users with more than
-    five sessions (denominator floored at 1), so it may exceed 1.
+    five sessions (denominator floored at 1), so it may exceed 1. Rates are
+    rounded on the exact value of the quotient.
     """
     paid = F.count_distinct(F.when(F.col("is_paid_user"), F.col("user_id")))
     active = F.count(F.when(F.col("sessions_total") > 5, F.lit(1)))
@@ -25,8 +26,8 @@ def conversion_rates(metrics: DataFrame) -> DataFrame:
     return metrics.agg(
         total.alias("total_users"),
         paid.alias("paid_users"),
-        round_half_even(paid / F.greatest(total, F.lit(1)), 4).alias("conversion_rate"),
-        round_half_even(paid / F.greatest(active, F.lit(1)), 4).alias("active_conversion_rate"),
+        round_exact(paid / F.greatest(total, F.lit(1)), 4).alias("conversion_rate"),
+        round_exact(paid / F.greatest(active, F.lit(1)), 4).alias("active_conversion_rate"),
     )
 
 

@@ -7,6 +7,7 @@ per-feature statistics (a handful of numbers).
 """
 from __future__ import annotations
 
+import logging
 import math
 import random
 from dataclasses import dataclass, field
@@ -16,7 +17,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions import attach, safe_div
@@ -25,6 +26,7 @@ from usagelens.sources.schemas import FEATURE_COLUMNS
 
 FEATURES = list(FEATURE_COLUMNS)
 LABEL = "churn_flag"
+log = logging.getLogger(__name__)
 
 
 def prepare_ml_features(metrics: DataFrame) -> DataFrame:
@@ -35,23 +37,31 @@ def prepare_ml_features(metrics: DataFrame) -> DataFrame:
         F.coalesce(F.col(LABEL).cast("int"), F.lit(0)).alias(LABEL))
 
 
-def scaler_stats(features: DataFrame) -> dict:
-    """ML2: row count, mean and POPULATION sd per feature (sd 0 -> 1), one small action."""
+def scaler_table(features: DataFrame) -> DataFrame:
+    """ML2: (feature, n, mean, sd) with the POPULATION sd; 0 or undefined -> 1. One aggregate, no shuffle of rows."""
     row = features.agg(F.count("*").alias("n"),
                        *[F.avg(c).alias(f"m_{c}") for c in FEATURES],
-                       *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES]).first()
-    stats = {"n": int(row["n"])}
-    for c in FEATURES:
-        m, s = row[f"m_{c}"], row[f"s_{c}"]
-        stats[c] = (float(m or 0.0), float(s) if s and s > 0 and math.isfinite(s) else 1.0)
-    return stats
+                       *[F.stddev_pop(c).alias(f"s_{c}") for c in FEATURES])
+    parts = ", ".join(f"'{c}', n, m_{c}, s_{c}" for c in FEATURES)
+    sd = F.col("sd")
+    return row.select(F.expr(f"stack({len(FEATURES)}, {parts}) AS (feature, n, mean, sd)")).select(
+        "feature", "n", F.coalesce("mean", F.lit(0.0)).alias("mean"),
+        F.when((sd > 0) & (sd < float("inf")), sd).otherwise(1.0).alias("sd"))
+
+
+def scaler_stats(features: DataFrame) -> dict:
+    """The rows of :func:`scaler_table` as {feature: (mean, sd)}, with the row count under "n" (one small action)."""
+    rows = scaler_table(features).collect()
+    return {"n": rows[0]["n"]} | {r["feature"]: (r["mean"], r["sd"]) for r in rows}
+
+
+def _scaled(stats: dict) -> list[str]:
+    return [f"({c} - CAST('{m!r}' AS DOUBLE)) / CAST('{s!r}' AS DOUBLE) AS z_{c}"
+            for c, (m, s) in ((c, stats[c]) for c in FEATURES)]
 
 
 def _scaling_statement(stats: dict) -> str:
-    cols = ", ".join(
-        f"({c} - CAST('{m!r}' AS DOUBLE)) / CAST('{s!r}' AS DOUBLE) AS z_{c}"
-        for c, (m, s) in ((c, stats[c]) for c in FEATURES))
-    return f"SELECT *, {cols} FROM __THIS__"
+    return f"SELECT *, {', '.join(_scaled(stats))} FROM __THIS__"
 
 
 @dataclass
@@ -73,6 +83,13 @@ class ChurnModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.pipeline.transform(df)
 
+    def standardised(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.stages[0].transform(df)
+
+    def positive(self) -> Column:
+        """Probability of churn in a transformed frame."""
+        return vector_to_array("probability")[1]
+
     def save(self, path: str) -> None:
         """IO12: persist the fitted pipeline (scaling, assembler, model)."""
         self.pipeline.write().overwrite().save(path)
@@ -84,6 +101,35 @@ class ChurnModel:
         return ChurnModel(pipe, backend)
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model given by its numbers (feature statistics, weights, intercept); nothing is fitted.
+
+    It scores, explains and evaluates like a fitted one, in column expressions only.
+    """
+    stats: dict
+    coefficients: tuple
+    intercept: float = 0.0
+    backend: str = "logreg"
+
+    @property
+    def weights(self) -> tuple[list[float], float]:
+        return list(self.coefficients), self.intercept
+
+    def standardised(self, df: DataFrame) -> DataFrame:
+        return df.selectExpr("*", *_scaled(self.stats))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        margin = F.lit(self.intercept)
+        for w, c in zip(self.coefficients, FEATURES, strict=True):
+            margin = margin + F.lit(w) * F.col(f"z_{c}")
+        return (self.standardised(df).withColumn("probability", 1 / (1 + F.exp(-margin)))
+                .withColumn("prediction", (F.col("probability") > 0.5).cast("double")))
+
+    def positive(self) -> Column:
+        return F.col("probability")
+
+
 def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: int | None = None,
                       seed: int = 42, tol: float = 1e-4, partitions: int = 8) -> ChurnModel:
     """ML3 / ML3b: fit on all rows.
@@ -134,7 +180,7 @@ def _fit(features: DataFrame, backend: str, max_iter: int | None, seed: int, tol
 def score(model: ChurnModel, features: DataFrame) -> DataFrame:
     """ML4: the feature rows plus churn_probability (positive-class probability)."""
     return model.transform(features).select(
-        *features.columns, vector_to_array("probability")[1].alias("churn_probability"))
+        *features.columns, model.positive().alias("churn_probability"))
 
 
 def classification_report(scored: DataFrame, label: str = LABEL, score_col: str = "churn_probability",
@@ -286,10 +332,17 @@ def model_importance(model: ChurnModel, features: DataFrame) -> DataFrame:
 
 def feature_importance(model: ChurnModel, features: DataFrame, repeats: int = 10,
                        seed: int = 42) -> DataFrame:
-    """Model and permutation importance side by side (full join on feature)."""
-    return (model_importance(model, features)
-            .join(permutation_importance(model, features, repeats, seed), "feature", "full")
-            .orderBy(F.desc(F.abs("model_importance")), "feature"))
+    """Model and permutation importance side by side (full join on feature).
+
+    If the permutation cannot be set up, the failure is logged and its column is null.
+    """
+    of_model = model_importance(model, features)
+    try:
+        permuted = permutation_importance(model, features, repeats, seed)
+    except Exception:
+        log.exception("no permutation importance")
+        permuted = of_model.select("feature", F.lit(None).cast("double").alias("permutation_importance"))
+    return of_model.join(permuted, "feature", "full").orderBy(F.desc(F.abs("model_importance")), "feature")
 
 
 def top_drivers(importance: DataFrame, k: int = 8) -> DataFrame:
@@ -316,7 +369,7 @@ def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
     if model.backend != "logreg":
         raise NotImplementedError("closed-form explanations exist for the linear model only")
     w, b = model.weights
-    z = model.pipeline.stages[0].transform(features)
+    z = model.standardised(features)
     zm = z.agg(*[F.avg(f"z_{c}").alias(f"zm_{c}") for c in FEATURES])
     j = attach(z, zm)
     base = F.lit(b)

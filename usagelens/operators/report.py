@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions import as_ts, attach, round_half_even
-from usagelens.operators import cohorts, insights, kpis, segments, series
+from usagelens.operators import cohorts, insights, kpis, ml, segments, series
 from usagelens.operators.activity import daily_active_users
 
 Selection = Sequence[str] | DataFrame | None
@@ -158,16 +158,28 @@ def selection(tables: dict[str, DataFrame], countries: Selection = None, plans:
 
 
 def report(tables: dict[str, DataFrame], countries: Selection = None, plans: Selection = None,
-           start=None, end=None, now="2024-01-31 00:00:00", lookback_weeks: int = 12) -> dict[str, DataFrame]:
+           start=None, end=None, now="2024-01-31 00:00:00", lookback_weeks: int = 12,
+           model=None, importance: DataFrame | None = None) -> dict[str, DataFrame]:
     """All report frames for one filter setting (nothing is executed here).
 
     ``countries=None`` means the dashboard default (first three countries);
-    pass ``[]`` for no country filter.
+    pass ``[]`` for no country filter. With a model, the leaderboard and (for
+    a linear one) the explanations of the riskiest users come too; with its
+    importances, the top drivers. These three cover all users, not the selection.
     """
     metrics, sessions = tables["user_metrics"], tables["sessions"]
     sel, win = selection(tables, countries, plans, start, end)
     mrr = mrr_card(sel, tables["payments"])
-    return {
+    of_model = {}
+    if model is not None:
+        feats = ml.prepare_ml_features(metrics)
+        scored = ml.score(model, feats)
+        of_model["leaderboard"] = ml.leaderboard(scored)
+        if model.backend == "logreg":
+            of_model["explanations"] = ml.explain_top(scored, ml.linear_shap(model, feats))
+    if importance is not None:
+        of_model["drivers"] = ml.top_drivers(importance)
+    return of_model | {
         "filter_values": filter_values(metrics),
         "time_bounds": time_bounds(sessions, now),
         "kpi": kpi_card(sel),

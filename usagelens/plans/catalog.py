@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.functions import round_doubles
+from usagelens.functions import round_doubles, round_half_even
 from usagelens.operators import cohorts, insights, kpis, report, segments, series
 from usagelens.operators.activity import daily_active_users, user_day
 from usagelens.operators.user_metrics import user_metrics
@@ -376,6 +376,64 @@ def churn_explain_top(spark, sf_dir):
     return ml.explain_top(ml.score(model, feats), ml.linear_shap(model, feats))
 
 
+# ---- a linear model of fixed weights (oracle-checked) --------------------------
+#: Weight of each standardised feature and the intercept: parameters, not data.
+FIXED_WEIGHTS = {"sessions_total": -0.8, "avg_session_duration": 0.15, "session_span_days": -0.35,
+                 "payments_total": 0.6, "payment_count": -0.45, "renewal_rate": -1.1}
+FIXED_INTERCEPT = -0.25
+
+
+def _fixed(spark, sf_dir):
+    """(ml, features, model, scores); scores carry nine digits, so that both engines see the same ties."""
+    from usagelens.operators import ml
+    feats = ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])
+    model = ml.LinearModel(ml.scaler_stats(feats), tuple(FIXED_WEIGHTS[c] for c in ml.FEATURES), FIXED_INTERCEPT)
+    scored = ml.score(model, feats).withColumn("churn_probability", round_half_even("churn_probability", 9))
+    return ml, feats, model, scored
+
+
+@query
+def scaler_stats_table(spark, sf_dir):
+    from usagelens.operators import ml
+    return round_doubles(ml.scaler_table(ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])), DIGITS)
+
+
+@query
+def linear_scored_fixed(spark, sf_dir):
+    scored = _fixed(spark, sf_dir)[3]
+    return round_doubles(scored.select("user_id", "plans", "churn_flag", "churn_probability"), 6)
+
+
+@query
+def linear_shap_fixed(spark, sf_dir):
+    ml, feats, model, _ = _fixed(spark, sf_dir)
+    return round_doubles(ml.linear_shap(model, feats), 6)
+
+
+@query
+def linear_report_fixed(spark, sf_dir):
+    ml, _, _, scored = _fixed(spark, sf_dir)
+    return round_doubles(ml.classification_report(scored), 6)
+
+
+@query
+def linear_auc_fixed(spark, sf_dir):
+    ml, _, _, scored = _fixed(spark, sf_dir)
+    return round_doubles(ml.roc_auc(scored), 9)
+
+
+@query
+def leaderboard_fixed(spark, sf_dir):
+    ml, _, _, scored = _fixed(spark, sf_dir)
+    return round_doubles(ml.leaderboard(scored), 6)
+
+
+@query
+def explain_top_fixed(spark, sf_dir):
+    ml, feats, model, scored = _fixed(spark, sf_dir)
+    return round_doubles(ml.explain_top(scored, ml.linear_shap(model, feats)), 6)
+
+
 # ---- evaluation arithmetic on a fixed score column (oracle-checked) ----------
 def _renewal_scored(spark, sf_dir):
     from usagelens.operators import ml
@@ -401,6 +459,12 @@ def dq_profile(spark, sf_dir):
     return round_doubles(profile(raw_tables(spark, sf_dir)), 6)
 
 
+@query
+def summary_kpis(spark, sf_dir):
+    from usagelens.plans import pipeline
+    return pipeline.summary_kpis(tables(spark, sf_dir))
+
+
 @query
 def summary_json(spark, sf_dir):
     from usagelens.operators import ml

@@ -186,9 +186,11 @@ def with_ctes(final_sql: str) -> str:
 
 
 ORACLE: dict[str, str] = {}
+FINAL: dict[str, str] = {}
 
 
 def oracle(name: str, final_sql: str) -> None:
+    FINAL[name] = final_sql
     ORACLE[name] = with_ctes(final_sql)
 
 
@@ -260,10 +262,10 @@ WHERE g.cohort_week IS NOT NULL""")
 oracle("conversion", """
 SELECT count(*) AS total_users,
        count(DISTINCT CASE WHEN is_paid_user THEN user_id END) AS paid_users,
-       round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END) / greatest(count(*), 1), 4)
+       CAST(printf('%.4f', count(DISTINCT CASE WHEN is_paid_user THEN user_id END) / greatest(count(*), 1)) AS DOUBLE)
            AS conversion_rate,
-       round(count(DISTINCT CASE WHEN is_paid_user THEN user_id END)
-             / greatest(count(CASE WHEN sessions_total > 5 THEN 1 END), 1), 4) AS active_conversion_rate
+       CAST(printf('%.4f', count(DISTINCT CASE WHEN is_paid_user THEN user_id END)
+            / greatest(count(CASE WHEN sessions_total > 5 THEN 1 END), 1)) AS DOUBLE) AS active_conversion_rate
 FROM um""")
 oracle("churn_summary", """
 SELECT (SELECT round(avg(CAST(churn_flag AS INTEGER)), 4) FROM um) AS global_churn_rate,
@@ -305,7 +307,7 @@ SELECT 2, printf('Feature %s drives the most interactions and keeps users engage
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
       GROUP BY feature ORDER BY n DESC, feature LIMIT 1) WHERE EXISTS (SELECT 1 FROM um)
 UNION ALL
-SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
+SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r)
 FROM (SELECT plans, avg(renewal_rate) AS r FROM um WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
 
@@ -465,7 +467,7 @@ SELECT 2, printf('Feature %s drives the most interactions and keeps users engage
 FROM (SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL
       GROUP BY feature ORDER BY n DESC, feature LIMIT 1) WHERE EXISTS (SELECT 1 FROM sel)
 UNION ALL
-SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, round(r, 2))
+SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r)
 FROM (SELECT plans, avg(renewal_rate) AS r FROM sel WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
 oracle("report_insights_empty", """
@@ -600,3 +602,58 @@ FROM c_sessions GROUP BY 1""")
 
 _fold_ctes("plan_dau", ["plans"])
 oracle("dau_forecast_by_plan", _forecast("plan_dau", ["plans"]))
+
+
+# ---- a linear model of fixed weights ---------------------------------------------
+#: Weight of each feature, as the query has it (intercept -0.25); scores carry nine digits.
+WEIGHTS = {"sessions_total": -0.8, "avg_session_duration": 0.15, "session_span_days": -0.35,
+           "payments_total": 0.6, "payment_count": -0.45, "renewal_rate": -1.1}
+CTES["feats"] = "SELECT user_id, plans, CAST(churn_flag AS INTEGER) AS churn_flag, " + ", ".join(
+    f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in WEIGHTS) + " FROM um"
+CTES["feat_stats"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) AS n, COALESCE(avg({c}), 0.0) AS mean,"
+    f" CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END AS sd FROM feats" for c in WEIGHTS)
+CTES["feat_long"] = " UNION ALL ".join(
+    f"SELECT user_id, '{c}' AS feature, ({c} - mean) / sd AS z, CAST({w} AS DOUBLE) AS w"
+    f" FROM feats, feat_stats WHERE feature = '{c}'" for c, w in WEIGHTS.items())
+CTES["lin"] = """
+    SELECT f.*, round(1 / (1 + exp(-(m.margin - 0.25))), 9) AS p
+    FROM feats f JOIN (SELECT user_id, sum(w * z) AS margin FROM feat_long GROUP BY user_id) m USING (user_id)"""
+CTES["lin_shap"] = """
+    SELECT l.user_id, l.feature, w * (z - zm) AS shap_value,
+           (SELECT sum(wm) FROM (SELECT any_value(w) * avg(z) AS wm FROM feat_long GROUP BY feature)) - 0.25 AS base_value
+    FROM feat_long l JOIN (SELECT feature, avg(z) AS zm FROM feat_long GROUP BY feature) USING (feature)"""
+CTES["lin_cm"] = """
+    SELECT c, count(*) FILTER (WHERE y = c AND h = c) AS hit, count(*) FILTER (WHERE y <> c AND h = c) AS wrong,
+           count(*) FILTER (WHERE y = c AND h <> c) AS miss, count(*) AS n
+    FROM (SELECT churn_flag AS y, CAST(p >= 0.5 AS INTEGER) AS h FROM lin), (VALUES (0), (1)) v(c) GROUP BY c"""
+CTES["lin_rates"] = """
+    SELECT c, n, hit, hit + miss AS support, COALESCE(hit / nullif(hit + wrong, 0), 0.0) AS precision,
+           COALESCE(hit / nullif(hit + miss, 0), 0.0) AS recall,
+           COALESCE(2 * hit / nullif(2 * hit + wrong + miss, 0), 0.0) AS f1 FROM lin_cm"""
+oracle("scaler_stats_table", "SELECT feature, n, round(mean, 4) AS mean, round(sd, 4) AS sd FROM feat_stats")
+oracle("linear_scored_fixed", "SELECT user_id, plans, churn_flag, round(p, 6) AS churn_probability FROM lin")
+oracle("linear_shap_fixed", """
+SELECT user_id, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value FROM lin_shap""")
+oracle("linear_report_fixed", """
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1_score, support FROM lin_rates
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hit) / max(n), 6), max(n) FROM lin_rates
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), max(n) FROM lin_rates
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / max(n), 6), round(sum(recall * support) / max(n), 6),
+                 round(sum(f1 * support) / max(n), 6), max(n) FROM lin_rates""")
+oracle("linear_auc_fixed", """
+SELECT round(CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 9) AS auc
+FROM (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT p AS s, sum(churn_flag) AS pos, sum(1 - churn_flag) AS neg FROM lin GROUP BY 1))""")
+oracle("leaderboard_fixed", """
+SELECT user_id, round(p, 6) AS churn_probability, plans, round(payments_total, 6) AS payments_total, sessions_total
+FROM lin ORDER BY p DESC, user_id LIMIT 15""")
+oracle("explain_top_fixed", """
+SELECT s.user_id, s.feature, round(s.shap_value, 6) AS shap_value, round(s.base_value, 6) AS base_value,
+       round(t.p, 6) AS churn_probability
+FROM lin_shap s JOIN (SELECT user_id, p FROM lin ORDER BY p DESC, user_id LIMIT 50) t USING (user_id)""")
+
+
+oracle("summary_kpis", "SELECT * FROM " + ", ".join(
+    f"({FINAL[name]})" for name in ("conversion", "churn_summary", "ltv", "revenue_summary")))

@@ -40,6 +40,15 @@ def _list_of(df: DataFrame, name: str, order: list) -> DataFrame:
                   .alias(name))
 
 
+def summary_kpis(t: dict[str, DataFrame]) -> DataFrame:
+    """The figures of AN14 that need no model, side by side in one row."""
+    m = t["user_metrics"]
+    out = kpis.conversion_rates(m)
+    for record in (kpis.churn_summary(m), kpis.ltv_summary(m), kpis.revenue_summary(t["payments"])):
+        out = attach(out, record)
+    return out
+
+
 def summary(t: dict[str, DataFrame], model: ml.ChurnModel, importance: DataFrame,
             anomalies: DataFrame, forecast: DataFrame, notes: DataFrame) -> DataFrame:
     """AN14: the nested one-row summary record."""
@@ -90,11 +99,17 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
     model = ml.train_churn_model(feats, backend)
     model.save(f"{art}/churn_pipeline")
     written["churn_scored"] = io.write_table(ml.score(model, feats), art, "churn_scored")
+    scored = spark.read.parquet(written["churn_scored"])
+    written["churn_auc"] = io.write_table(ml.roc_auc(scored), art, "churn_auc")
+    written["churn_report"] = io.write_table(ml.classification_report(scored), art, "churn_report")
     importance = ml.feature_importance(model, feats)
     written["churn_feature_importance"] = io.write_table(importance, art, "churn_feature_importance", "csv")
     importance = io.read_importance(spark, written["churn_feature_importance"])
 
-    notes = insights.generate_insights(t["user_metrics"], t["events"])
+    # at most three sentences: evaluated once, read back by the summary and the text file
+    written["insights_table"] = io.write_table(
+        insights.generate_insights(t["user_metrics"], t["events"]), art, "insights_table")
+    notes = spark.read.parquet(written["insights_table"])
     written["analytics_summary"] = io.write_json_record(
         summary(t, model, importance, spark.read.parquet(written["dau_anomalies"]),
                 spark.read.parquet(written["dau_forecast"]), notes), f"{art}/analytics_summary")

@@ -6,12 +6,16 @@ cross-table, atomicity.
 """
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.sources.schemas import SCHEMAS, conform
 
+log = logging.getLogger(__name__)
+
 
 def _path(root: str, name: str, fmt: str) -> str:
     return f"{root.rstrip('/')}/{name}.{fmt}" if fmt == "parquet" else f"{root.rstrip('/')}/{name}"
@@ -79,14 +83,21 @@ def save_as_tables(tables: dict[str, DataFrame], database: str | None = None) ->
     return names
 
 
-def write_jdbc(tables: dict[str, DataFrame], url: str, properties: dict) -> None:
+def write_jdbc(tables: dict[str, DataFrame], url: str, properties: dict) -> list[str]:
     """IO7 / IO8: replace tables in an external database via JDBC.
 
     The URL and credentials are explicit arguments; there is no default
-    connection. Best effort per table, like the source pipeline.
+    connection. Best effort: a table that fails is logged, the others are
+    still written; the names of the failed ones are returned.
     """
+    failed = []
     for name, df in tables.items():
-        df.write.jdbc(url, name, mode="overwrite", properties=properties)
+        try:
+            df.write.jdbc(url, name, mode="overwrite", properties=properties)
+        except Exception:
+            log.exception("table %s was not loaded", name)
+            failed.append(name)
+    return failed
 
 
 def write_json_record(df: DataFrame, path: str) -> str:
