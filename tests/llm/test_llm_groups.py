@@ -3,6 +3,8 @@ import random
 import tempfile
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,6 +221,83 @@ def test_remove_repeats_null_and_repeated_ids(spark):
     assert passages.remove_repeats(frame_of(spark, [])).count() == 0
 
 
+def hot_rows(seed=5, n=90):
+    """A line that stands in every document in other surroundings, long runs of one byte, and copies of a piece."""
+    rng = random.Random(seed)
+    line = "this very common line stands in each of the documents, always in other words"
+    piece = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    rows = []
+    for i in range(n):
+        around = ["".join(rng.choice("abcdefghijkl ") for _ in range(rng.randrange(30, 90))) for _ in range(4)]
+        rows.append((i, line.join(around) + piece * (i % 3) + "=" * rng.choice((0, 49, 60, 200))))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("hot, crowded, gathered, rows_in_batch", [(2, 3, 300, 5), (3, 20, 900, 400), (64, 1 << 14, 10_000, 10_000)])
+def test_hot_minimisers_are_settled_in_batches_or_by_window(monkeypatch, hot, crowded, gathered, rows_in_batch):
+    monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "CROWDED", crowded)
+    rows, tasks, seen = hot_rows(), 4, set()
+
+    def table_of(batches):
+        return pa.Table.from_batches([b for b in batches if b.num_rows])
+
+    def exchange(parts, own, order, settled):
+        """Deal rows as the operator does: by key, or anywhere if they are settled."""
+        whole = table_of([b for p in parts for b in p])
+        names = whole.schema.names
+        rng = random.Random(1)
+        to = np.array([rng.randrange(tasks) if done else hash(k) % tasks for k, done in zip(whole["key"].to_pylist(), settled(whole))])
+        seen.update((own, bool(x)) for x in settled(whole))
+        return [whole.filter(pa.array(to == t)).sort_by([(c, "ascending") for c in order]).select(names).to_batches(rows_in_batch)
+                for t in range(tasks)]
+
+    def texts(hits=None):
+        of = [(r, d, t) for r, (d, t) in enumerate(rows)]
+        if hits is None:
+            return [[pa.RecordBatch.from_pydict({"rid": [r for r, _, _ in part], "text": [t for _, _, t in part]})] for part in (of[0::2], of[1::2])]
+        places = {}
+        for r, k, a in zip(*(hits[c].to_pylist() for c in ("rid", "key", "at"))):
+            places.setdefault(r, []).append({"key": k, "at": a})
+        of = [x for x in of if x[0] in places]
+        return [[pa.RecordBatch.from_pydict({"rid": [r for r, _, _ in part], "doc": [d for _, d, _ in part], "text": [t for _, _, t in part],
+                                             "hits": [places[r] for r, _, _ in part]})] for part in (of[0::2], of[1::2]) if part]
+
+    def negative(t):
+        return t["at"].to_numpy() < 0
+
+    met = exchange([list(passages._known_shared(passages._gathered(passages._anchor_rows(p), gathered))) for p in texts()],
+                   "shared", ["key", "rid"], negative)
+    anchored = table_of([b for p in met for b in passages._shared(p)])
+    met = exchange([list(passages._known_copies(passages._gathered(passages._marked(p), gathered))) for p in texts(anchored)],
+                   "copies", ["key", "mark", "doc"], negative)
+    settled = table_of([b for p in met for b in passages._settled(p)])
+    whole = settled.filter(settled["whole"])
+    met = exchange([list(passages._known_spans(passages._gathered(passages._cut_pieces(p), gathered)))
+                    for p in texts(settled.filter(pa.compute.invert(settled["whole"])))],
+                   "spans", ["key", "piece", "doc"], lambda t: np.array([p is None for p in t["piece"].to_pylist()]))
+    compared = table_of([b for p in met for b in passages._spans(p)])
+    gone = {r: set() for r in range(len(rows))}
+    for r, a in zip(whole["rid"].to_pylist(), whole["at"].to_pylist()):
+        gone[r].update(range(a >> 6, (a >> 6) + (a & 63) + 49))
+    for r, s, e in zip(*(compared[c].to_pylist() for c in ("rid", "start", "end"))):
+        gone[r].update(range(s, e))
+    want = brute.remove_repeats(rows)
+    for r, (doc, text) in enumerate(rows):
+        kept = bytes(b for i, b in enumerate(text.encode()) if i not in gone[r])
+        assert kept == want[doc][3], doc
+    if hot < 64:
+        assert {("shared", True), ("copies", True), ("spans", True)} <= seen
+        assert (settled["at"].to_numpy() < 0).any()  # some minimiser was compared by window
+
+
+def test_remove_repeats_with_hot_minimisers(spark):
+    rows = hot_rows(n=500)
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in passages.remove_repeats(frame_of(spark, rows)).collect()}
+    assert got == {i: (w[1], w[2], brute.sha(w[3])) for i, w in brute.remove_repeats(rows).items()}
+
+
 def test_suffix_ranks_follow_the_suffixes():
     data = bytes(random.Random(1).choices(b"ab\x00", k=300))
     rank = passages.suffix_ranks(np.frombuffer(data, np.uint8), 50)
