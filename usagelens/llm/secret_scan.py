@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -62,14 +64,16 @@ def novelty(token: str, around: str) -> float:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach: int, around: int) -> list[tuple[int, int, str]]:
-    """Long tokens in a sensitive context that the primed compressor finds new."""
+    """Long tokens in a sensitive context that the primed compressor finds new; ``base`` is sorted by start."""
     out = []
+    starts = [s for s, _, _ in base]
+    reached = [0, *accumulate((e for _, e, _ in base), max)]  # how far the first k base spans reach
     for m in _TOKEN.finditer(text):
         s, e = m.span()
         token = m[0]
         if sum(any(map(test, token)) for test in (str.isdigit, str.isupper, str.islower)) < 2 or not any(map(str.isdigit, token)):
             continue
-        if any(a < e and s < b for a, b, _ in base) or not _SENSITIVE.search(text, max(0, s - reach), s):
+        if reached[bisect_right(starts, e - 1)] > s or not _SENSITIVE.search(text, max(0, s - reach), s):
             continue
         if novelty(token, text[max(0, s - around):s] + " " + text[e:e + around]) >= least:
             out.append((s, e, "novel"))
@@ -77,10 +81,10 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the fixed patterns, in code points; an assignment's span is its whole match."""
+    """(start, end, kind) of the fixed patterns, sorted, in code points; an assignment's span is its whole match."""
     found = [(*m.span(), "assign") for m in _ASSIGN.finditer(text) if len(m[1]) >= 12]
     found += [(*m.span(), "access") for m in _ACCESS.finditer(text)]
-    return found + [(*m.span(), "hex") for m in _HEX.finditer(text)]
+    return sorted(found + [(*m.span(), "hex") for m in _HEX.finditer(text)])
 
 
 def _listed(spans) -> str:
