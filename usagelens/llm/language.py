@@ -148,8 +148,9 @@ def learn(docs: DataFrame, per_language: int = 48, shortest: int = 200, longest:
     Of the rows with a language, an id that is not held out and a text of
     ``shortest`` to ``longest`` characters (any length if a language has
     none such), the ``per_language`` rows of smallest id hash are taken, and
-    their distinct words up to ``max_chars`` characters. Only this bounded
-    sample comes to the driver; the rank filter is pushed below the shuffle.
+    their distinct words up to ``max_chars`` characters. Of rows with one id
+    and language the first text in order counts. Only this bounded sample
+    comes to the driver; the rank filter is pushed below the shuffle.
     """
     ship(docs.sparkSession)
     rows = docs.select("doc_id", "lang", F.length("text").alias("n")).where(
@@ -158,9 +159,10 @@ def learn(docs: DataFrame, per_language: int = 48, shortest: int = 200, longest:
         "doc_id", "row_number() over (partition by lang order by odd, xxhash64(doc_id), doc_id) as k")
     chosen = [r.doc_id for r in ranked.where(F.col("k") <= per_language).select("doc_id").distinct().collect()]
     texts = docs.where(F.col("doc_id").isin(chosen) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "lang", "doc_id", F.substring("text", 1, max_chars).alias("text")) if chosen else None
+        "lang", "doc_id", F.substring("text", 1, max_chars).alias("text")).groupBy("lang", "doc_id").agg(
+            F.min("text").alias("text")) if chosen else None
     by_lang: dict[str, dict[str, None]] = {}
-    for r in sorted(texts.collect(), key=lambda r: (r.lang, r.doc_id, r.text)) if chosen else []:
+    for r in sorted(texts.collect(), key=lambda r: (r.lang, r.doc_id)) if chosen else []:
         by_lang.setdefault(r.lang, {}).update(dict.fromkeys(words_of(r.text.lower())))
     words = {}
     for lang, distinct in by_lang.items():
