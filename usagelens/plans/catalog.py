@@ -28,6 +28,11 @@ def query(fn):
     return fn
 
 
+def round_means(df: DataFrame) -> DataFrame:
+    """Round means of sums to ``DIGITS``, after nine digits have taken away what the order of addition adds."""
+    return round_doubles(round_doubles(df, 9), DIGITS)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fx.raw_tables(spark, sf_dir)
 
@@ -139,12 +144,12 @@ def revenue_summary(spark, sf_dir):
 
 @query
 def segment_country(spark, sf_dir):
-    return round_doubles(segments.segment_by_country(tables(spark, sf_dir)["user_metrics"]), DIGITS)
+    return round_means(segments.segment_by_country(tables(spark, sf_dir)["user_metrics"]))
 
 
 @query
 def segment_plan(spark, sf_dir):
-    return round_doubles(segments.segment_by_plan(tables(spark, sf_dir)["user_metrics"]), DIGITS)
+    return round_means(segments.segment_by_plan(tables(spark, sf_dir)["user_metrics"]))
 
 
 @query
@@ -265,7 +270,7 @@ def report_dau(spark, sf_dir):
 
 @query
 def report_segments_top(spark, sf_dir):
-    return round_doubles(segments.segment_by_country(_sel(spark, sf_dir)[1]).limit(6), DIGITS)
+    return round_means(segments.segment_by_country(_sel(spark, sf_dir)[1]).limit(6))
 
 
 @query

@@ -291,12 +291,12 @@ FROM (SELECT (SELECT revenue FROM monthly ORDER BY month DESC LIMIT 1) AS cur,
              COALESCE((SELECT revenue FROM monthly ORDER BY month DESC LIMIT 1 OFFSET 1),
                       (SELECT revenue FROM monthly ORDER BY month DESC LIMIT 1)) AS prev)""")
 oracle("segment_country", """
-SELECT country, count(user_id) AS total_users, round(avg(sessions_total), 4) AS avg_sessions,
-       round(avg(payments_total), 4) AS avg_revenue, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
+SELECT country, count(user_id) AS total_users, round(round(avg(sessions_total), 9), 4) AS avg_sessions,
+       round(round(avg(payments_total), 9), 4) AS avg_revenue, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
 FROM um WHERE country IS NOT NULL GROUP BY country""")
 oracle("segment_plan", """
-SELECT plans, count(user_id) AS total_users, round(avg(payments_total), 4) AS avg_payment,
-       round(avg(sessions_total), 4) AS avg_sessions, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
+SELECT plans, count(user_id) AS total_users, round(round(avg(payments_total), 9), 4) AS avg_payment,
+       round(round(avg(sessions_total), 9), 4) AS avg_sessions, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
 FROM um WHERE plans IS NOT NULL GROUP BY plans""")
 oracle("insights_text", """
 SELECT 1 AS rule_id, printf('Users from %s show the highest churn within the cohort.', country) AS text
@@ -453,8 +453,8 @@ UNION ALL SELECT 3, 'Paid', (SELECT count(DISTINCT user_id) FROM sel WHERE is_pa
 UNION ALL SELECT 4, 'Churned', (SELECT count(DISTINCT user_id) FROM sel WHERE churn_flag)""")
 oracle("report_dau", "SELECT date, dau FROM win_dau")
 oracle("report_segments_top", """
-SELECT country, count(user_id) AS total_users, round(avg(sessions_total), 4) AS avg_sessions,
-       round(avg(payments_total), 4) AS avg_revenue, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
+SELECT country, count(user_id) AS total_users, round(round(avg(sessions_total), 9), 4) AS avg_sessions,
+       round(round(avg(payments_total), 9), 4) AS avg_revenue, round(avg(CAST(churn_flag AS INTEGER)), 3) AS churn_rate
 FROM sel WHERE country IS NOT NULL GROUP BY country ORDER BY total_users DESC, country LIMIT 6""")
 oracle("report_cohorts", """
 SELECT cohort_week, week_offset, active_users, round(retention, 4) AS retention FROM win_cohort_long""")
