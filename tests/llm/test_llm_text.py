@@ -210,6 +210,23 @@ def test_novel_tokens_need_context_and_novelty():
     assert novel(f"token={random_token}") == []  # a base span has it
 
 
+def test_novelty_of_long_and_repeated_secrets():
+    rng = random.Random(9)
+    upper_hex, base64 = "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for alphabet, length in ((upper_hex, 64), (upper_hex, 128), (base64, 400), (base64, 1000)):
+        for _ in range(20):
+            assert secret_scan.novelty("".join(rng.choices(alphabet, k=length)), "credential = ") >= 0.85
+    assert secret_scan.novelty("Ab3xK9" * 60, "credential = ") < 0.5  # repeats stay cheap
+
+    def novel(text):
+        return [text[s:e] for s, e, k in secret_scan.novel_spans(text, secret_scan.base_spans(text), 0.85, 64, 512)]
+    token = "".join(rng.choices(base64[:62], k=40))
+    assert novel(f"credential = {token}\nbearer: {token}\n") == [token] * 2
+    assert novel(f"the bearer {token} is the credential {token}") == [token] * 2
+    cut = f"bearer {token}\n" + "word " * 99 + f"\ncredential {token}"  # the window ends within the other copy
+    assert novel(cut) == [token] * 2
+
+
 @pytest.mark.parametrize("name", ["op2_chat_formatting", "op5_exact_dedup", "op7_embedding_dedup"])
 def test_queries_match_their_sql(spark, name):
     from usagelens.llm.oracle import ORACLE

@@ -4,7 +4,10 @@ The patterns (``assign``, ``access``, ``hex``) give the base spans. On top,
 every long token that stands behind a sensitive word is compressed with
 zstandard, primed with the code around it and a dictionary of common
 identifiers: the marginal bytes, over the token's length, are its novelty. A
-token made of known words is cheap; a random one costs its whole length.
+token made of known words is cheap; a random one costs its whole length. Long
+tokens are measured in pieces too short for entropy coding, so that only
+repeats, not a small alphabet, make them cheap; a token's own copies nearby do
+not prime it.
 Novel tokens of mixed characters that no base span touches are reported as
 ``novel``.
 """
@@ -35,6 +38,8 @@ _HEX = re.compile("[0-9a-f]{16,}")
 _TOKEN = re.compile("[A-Za-z0-9+/_=-]{20,}")
 _SENSITIVE = re.compile("|".join(map(_either, (
     "secret", "token", "passw", "passphrase", "credential", "apikey", "api_key", "api-key", "private", "auth", "bearer", "signature"))))
+#: Characters measured at once: from 64 on zstandard codes literals by their entropy. ``OWN``: characters of a token that prime its next piece.
+PIECE, OWN = 63, 512
 #: Words that code and configuration are made of; fixed values that prime the compressor.
 IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
@@ -55,12 +60,37 @@ IDENTIFIERS = (
 
 
 def novelty(token: str, around: str) -> float:
-    """Marginal compressed bytes of ``token``, per character, after ``around`` and the identifiers."""
+    """Marginal compressed bytes of ``token``, per character, after ``around`` and the identifiers.
+
+    Each piece is also primed with what stands before it in the token.
+    """
     import zstandard
 
-    primed = zstandard.ZstdCompressor(level=9, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(
-        IDENTIFIERS + b" " + around.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-    return (len(primed.compress(token.encode())) - len(primed.compress(b""))) / len(token)
+    cost, size = 0, -(-len(token) // -(-len(token) // PIECE))
+    for at in range(0, len(token), size):
+        seen = f" {around} {token[max(0, at - OWN):at]}" if at else f" {around}"
+        primed = zstandard.ZstdCompressor(level=9, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(
+            IDENTIFIERS + seen.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        cost += len(primed.compress(token[at:at + size].encode())) - len(primed.compress(b""))
+    return cost / len(token)
+
+
+def _around(text: str, s: int, e: int, reach: int, around: int) -> str:
+    """``around`` code points on either side of the token at ``s:e``, its own copies blanked.
+
+    Copies stay if those on the token's line, itself among them, stand both
+    with and without a sensitive word before them: such a string counts as known.
+    """
+    token, more = text[s:e], around + e - s  # copies that the window cuts are found whole
+    left, right = text[max(0, s - more):s], text[e:e + more]
+    if token in left or token in right:
+        line = left.rsplit("\n", 1)[-1] + token + right.split("\n", 1)[0]
+        start = s - len(left.rsplit("\n", 1)[-1])
+        copies = [start + m.start() for m in re.finditer(re.escape(token), line)]
+        if len({bool(_SENSITIVE.search(text, max(0, at - reach), at)) for at in copies}) < 2:
+            blank = " " * len(token)
+            left, right = left.replace(token, blank), right.replace(token, blank)
+    return left[max(0, len(left) - around):] + " " + right[:around]
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach: int, around: int) -> list[tuple[int, int, str]]:
@@ -75,7 +105,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach
             continue
         if reached[bisect_right(starts, e - 1)] > s or not _SENSITIVE.search(text, max(0, s - reach), s):
             continue
-        if novelty(token, text[max(0, s - around):s] + " " + text[e:e + around]) >= least:
+        if novelty(token, _around(text, s, e, reach, around)) >= least:
             out.append((s, e, "novel"))
     return out
 
