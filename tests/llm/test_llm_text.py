@@ -227,6 +227,29 @@ def test_novelty_of_long_and_repeated_secrets():
     assert novel(cut) == [token] * 2
 
 
+def test_novel_candidates_of_every_class_and_context():
+    def novel(text):
+        return [text[s:e] for s, e, k in secret_scan.novel_spans(text, secret_scan.base_spans(text), 0.85, 64, 512)]
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def key(length, alphabet=letters + "0123456789"):
+        return "".join(rng.choices(alphabet, k=length))
+    for word in ("credential", "passphrase"):
+        for token in (key(12), key(16), key(24, letters), key(24, letters[26:]), key(14, "0123456789")):
+            assert novel(f"the {word} is {token}") == [token]
+            assert novel(f"{token} is the {word}") == [token]
+    held = key(22) + "deadbeef01234567" + key(22)
+    assert novel(f"credential: {held}") == [held]
+    pem = [key(64) for _ in range(12)]
+    assert novel("x\n-----BEGIN PRIVATE KEY-----\n" + "\n".join(pem) + "\n" + "word " * 20 + f"\n{key(20)}") == pem
+    jwt = [key(90), key(200), key(43)]
+    assert novel("Authorization: Bearer " + ".".join(jwt)) == jwt
+    assert novel(f"bearer {'word ' * 40}{jwt[2]}") == [jwt[2]]  # far, but on its line
+    assert novel(f"bearer\n{'word ' * 40}\n{jwt[2]}") == []
+    assert novel("the authors of the internationalization wrote authenticatedUserPrincipalResolver in misunderstanding") == []
+
+
 @pytest.mark.parametrize("name", ["op2_chat_formatting", "op5_exact_dedup", "op7_embedding_dedup"])
 def test_queries_match_their_sql(spark, name):
     from usagelens.llm.oracle import ORACLE

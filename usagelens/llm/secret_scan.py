@@ -1,21 +1,21 @@
 """Secret scan: fixed patterns, and strings that a primed compressor finds new.
 
 The patterns (``assign``, ``access``, ``hex``) give the base spans. On top,
-every long token that stands behind a sensitive word is compressed with
+every token of 12 characters or more in a sensitive context is compressed with
 zstandard, primed with the code around it and a dictionary of common
 identifiers: the marginal bytes, over the token's length, are its novelty. A
 token made of known words is cheap; a random one costs its whole length. Long
 tokens are measured in pieces too short for entropy coding, so that only
 repeats, not a small alphabet, make them cheap; a token's own copies nearby do
-not prime it.
-Novel tokens of mixed characters that no base span touches are reported as
-``novel``.
+not prime it. To the compressor a rare word of prose is as new as a key, so a
+token must also hold enough pairs of characters that ordinary words do not.
+Novel tokens that no base span holds whole are reported as ``novel``.
 """
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -35,11 +35,14 @@ _ASSIGN = re.compile("(?:%s|%s_?%s)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-
 # a failing run of these two can hold no other match, so the least length may stand in the pattern
 _ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 _HEX = re.compile("[0-9a-f]{16,}")
-_TOKEN = re.compile("[A-Za-z0-9+/_=-]{20,}")
+_TOKEN = re.compile("[A-Za-z0-9+/_-]{12,}=*")
 _SENSITIVE = re.compile("|".join(map(_either, (
     "secret", "token", "passw", "passphrase", "credential", "apikey", "api_key", "api-key", "private", "auth", "bearer", "signature"))))
+_WORDS = re.compile(r"[^\W_]")
 #: Characters measured at once: from 64 on zstandard codes literals by their entropy. ``OWN``: characters of a token that prime its next piece.
 PIECE, OWN = 63, 512
+#: Share of unknown pairs of characters from which a token is no ordinary word.
+STRANGE = 0.25
 #: Words that code and configuration are made of; fixed values that prime the compressor.
 IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
@@ -59,6 +62,15 @@ IDENTIFIERS = (
     "void window worker write").encode()
 
 
+def pairs(word: str) -> set[str]:
+    return {word[i:i + 2] for i in range(len(word) - 1)}
+
+
+_KNOWN_PAIRS = frozenset().union(*(pairs(w) for w in re.findall("[a-z]+", IDENTIFIERS.decode())[1:]))
+#: Words shorter than any candidate, in lower case but for the first letter.
+_ORDINARY = re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z][a-z]{1,10}(?![A-Za-z0-9+/_=-])")
+
+
 def novelty(token: str, around: str) -> float:
     """Marginal compressed bytes of ``token``, per character, after ``around`` and the identifiers.
 
@@ -93,20 +105,45 @@ def _around(text: str, s: int, e: int, reach: int, around: int) -> str:
     return left[max(0, len(left) - around):] + " " + right[:around]
 
 
+def strangeness(token: str, around: str) -> float:
+    """Share of the token's character pairs, in any case, that stand in no identifier and in no ordinary word of ``around``."""
+    known = _KNOWN_PAIRS.union(*(pairs(w.lower()) for w in _ORDINARY.findall(around)))
+    found = [token[i:i + 2].lower() for i in range(len(token) - 1)]
+    return sum(p not in known for p in found) / len(found)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach: int, around: int) -> list[tuple[int, int, str]]:
-    """Long tokens in a sensitive context that the primed compressor finds new; ``base`` is sorted by start."""
-    out = []
+    """Tokens in a sensitive context that the primed compressor finds new; ``base`` is sorted by start.
+
+    A token's context is sensitive if a sensitive word stands on its line or
+    within ``reach`` of it on either side, or if only marks and space part it
+    from a token in such a context (the lines of a key, the parts of a JWT).
+    """
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    begins, ends = [s for s, _ in words], [e for _, e in words]
+    breaks = [m.start() for m in re.finditer("\n", text)]
     starts = [s for s, _, _ in base]
     reached = [0, *accumulate((e for _, e, _ in base), max)]  # how far the first k base spans reach
-    for m in _TOKEN.finditer(text):
-        s, e = m.span()
-        token = m[0]
-        if sum(any(map(test, token)) for test in (str.isdigit, str.isupper, str.islower)) < 2 or not any(map(str.isdigit, token)):
-            continue
-        if reached[bisect_right(starts, e - 1)] > s or not _SENSITIVE.search(text, max(0, s - reach), s):
-            continue
-        if novelty(token, _around(text, s, e, reach, around)) >= least:
-            out.append((s, e, "novel"))
+    tokens = [m.span() for m in _TOKEN.finditer(text)]
+    sensitive = []
+    for s, e in tokens:
+        line = bisect_left(breaks, s)
+        low = min(s - reach, breaks[line - 1] + 1 if line else 0)
+        high = max(e + reach, breaks[line] if line < len(breaks) else len(text))
+        sensitive.append(bisect_right(ends, high) > bisect_left(begins, low))
+    beside = [not _WORDS.search(text, e, s) for (_, e), (s, _) in zip(tokens, tokens[1:])]
+    for k in range(len(beside)):
+        sensitive[k + 1] |= sensitive[k] and beside[k]
+    for k in reversed(range(len(beside))):
+        sensitive[k] |= sensitive[k + 1] and beside[k]
+    out = []
+    for (s, e), near in zip(tokens, sensitive):
+        if near and reached[bisect_right(starts, s)] < e:
+            seen = _around(text, s, e, reach, around)
+            if novelty(text[s:e], seen) >= least and strangeness(text[s:e], seen) >= STRANGE:
+                out.append((s, e, "novel"))
     return out
 
 
@@ -133,8 +170,9 @@ def secret_spans(docs: DataFrame, least: float = 0.85, reach: int = 64, around:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row of ``docs`` (doc_id, text).
 
     ``least``: novelty from which a token is reported; ``reach``: code points
-    before a token in which a sensitive word must stand; ``around``: code
-    points of context on either side that prime the compressor. Null text is
+    on either side of a token in which a sensitive word must stand, unless one
+    stands on its line or a token beside it has one; ``around``: code points
+    of context on either side that prime the compressor. Null text is
     empty (no spans, digest of the empty string); null and repeated doc_ids
     pass through; other columns are not read; an empty table gives no rows.
     Narrow: no shuffle.
