@@ -173,6 +173,20 @@ def test_near_vectors_recall_on_given_rows(spark):
     assert want > 400 and 0.99 * want <= got <= want
 
 
+@pytest.mark.parametrize("depth", [3, 4])
+def test_near_vectors_recall_does_not_fall_with_depth(spark, depth, monkeypatch):
+    dim, pairs = 64, 400
+    monkeypatch.setattr(embeddings, "CROWD", pairs * 4 / 128 ** depth)  # few vectors, as deep as a large label
+    assert [embeddings.depth_of(n, dim) for n in (1, 2048, 2049, 262_144, 262_145)] == [1, 1, 2, 2, 3]
+    rng = np.random.default_rng(21)
+    a, b = embeddings.units(rng.normal(size=(pairs, dim))), rng.normal(size=(pairs, dim))
+    b = embeddings.units(b - (b * a).sum(1)[:, None] * a)
+    b = 0.9801 * a + np.sqrt(1 - 0.9801 ** 2) * b
+    rows = [(int(i), [float(x) for x in v], 1) for i, v in enumerate(np.concatenate([a, b]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sum(r.n_links for r in embeddings.near_vectors(frame).collect()) == 2 * pairs
+
+
 def test_near_vectors_edges(spark):
     ddl = "vec_id long, embedding array<float>, label int"
     assert embeddings.near_vectors(spark.createDataFrame([], ddl)).count() == 0

@@ -5,7 +5,9 @@ rounds) and hashed to the nearest vertex of the cross-polytope: the largest
 coordinate and its sign. A bucket joins ``depth`` such hashes; each table
 also enters the buckets in which the least certain hash takes its second
 choice (multiprobe). Vectors of one label that share a bucket are candidates,
-and the cosine in double precision decides.
+and the cosine in double precision decides. The depth follows from the
+label's own number of vectors, and the number of tables rises with it, so
+that the share of pairs found does not fall as a label grows.
 
 Identical vectors are one class with a count. Within a bucket only counts of
 links and a spanning set of edges leave the task; a pair that meets in
@@ -20,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import components, numbered, written
+from usagelens.llm.common import components, numbered, small, written
 
 CELL = 2048
-TABLES, PROBES = 4, 2
+#: Tables at depth 1, and the growth of their number with each further hash.
+TABLES, MORE, PROBES = 4, 1.6, 2
 #: Members a bucket should have on average; sets how many hashes a bucket joins.
 CROWD = 16
 SEED = 20_240
@@ -40,6 +43,18 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x.reshape(rows, width)
 
 
+def depth_of(members: int, dim: int, crowd: float = CROWD) -> int:
+    """Hashes that a bucket joins, for so many distinct vectors of one label and length."""
+    depth, reach = 1, 2 * (1 << max(dim - 1, 1).bit_length())
+    while reach ** depth * crowd < members:
+        depth += 1
+    return depth
+
+
+def tables_of(depth: int) -> int:
+    return round(TABLES * MORE ** (depth - 1))
+
+
 def bucket_codes(x: np.ndarray, groups: np.ndarray, depth: int, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
     """Codes of the (tables x probes) buckets of every row; ``groups`` keeps labels apart."""
     n, dim = x.shape
@@ -82,15 +97,19 @@ def units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _keys(classes: DataFrame, depth: int) -> DataFrame:
+def _keys(classes: DataFrame) -> DataFrame:
+    crowd = CROWD
+
     def run(batches):
         for b in batches:
             rows = list(zip(*(c.to_pylist() for c in b.columns)))
-            for dim in sorted({len(r[3]) for r in rows}):
-                of = [r for r in rows if len(r[3]) == dim]
+            shapes = [(len(r[3]), depth_of(r[5], len(r[3]), crowd)) for r in rows]
+            for dim, depth in sorted(set(shapes)):
+                of = [r for r, shape in zip(rows, shapes) if shape == (dim, depth)]
+                tables = tables_of(depth)
                 x = units(np.array([r[3] for r in of], float))
-                codes = bucket_codes(x, np.array([r[2] for r in of], np.int64) ^ dim, depth)
-                for t in range(TABLES):
+                codes = bucket_codes(x, np.array([r[2] for r in of], np.int64) ^ dim, depth, tables)
+                for t in range(tables):
                     for p in range(PROBES):
                         fresh = np.array([codes[i, t, p] not in codes[i, t, :p] for i in range(len(of))], bool)
                         at = np.flatnonzero(fresh)
@@ -102,7 +121,11 @@ def _keys(classes: DataFrame, depth: int) -> DataFrame:
                             pa.array([codes[i].tobytes() for i in at], pa.binary())],
                             names=["bucket", "tab", "label", "cid", "n", "vec", "codes"])
 
-    return classes.select("cid", "n", F.xxhash64("label"), "vec", F.col("label").cast("string")).mapInArrow(run, KEYED)
+    # labels of fewer vectors have depth 1 whatever their length
+    sizes = written(classes.groupBy("label", F.size("vec").alias("dim")).agg(F.count("*").alias("members")).where(F.col("members") > 4 * crowd))
+    sized = classes.withColumn("dim", F.size("vec")).join(small(sizes, sizes.count()), ["label", "dim"], "left")
+    return sized.select("cid", "n", F.xxhash64("label"), "vec", F.col("label").cast("string"),
+                        F.coalesce("members", F.lit(1)).alias("members")).mapInArrow(run, KEYED)
 
 
 def _pairs_of_cell(bucket, tab, codes, vecs, side, cut):
@@ -140,7 +163,7 @@ def _links(keyed: DataFrame, cut: float) -> DataFrame:
             bucket, tab = rows[0][0], rows[0][1]
             cid, n = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
             vecs = np.array([np.frombuffer(r[5]) for r in rows])
-            codes = np.array([np.frombuffer(r[6], np.int64) for r in rows]).reshape(len(rows), TABLES, PROBES)
+            codes = np.array([np.frombuffer(r[6], np.int64) for r in rows]).reshape(len(rows), -1, PROBES)
             side = np.array([r[2] for r in rows])
             count, low = np.zeros(len(rows), np.int64), np.arange(len(rows))
             ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -205,11 +228,7 @@ def near_vectors(vectors: DataFrame, cut: float = 0.98) -> DataFrame:
     classes = valid.groupBy("label", "vec").agg(
         F.min("rid").alias("cid"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
     known = written(classes.select("cid", "n", "least", "label", "vec"))
-    total = known.agg(F.count("*"), F.max(F.size("vec"))).first()
-    depth, reach = 1, 2 * (1 << max((total[1] or 2) - 1, 1).bit_length())
-    while reach ** depth * CROWD < total[0]:
-        depth += 1
-    found = written(_links(_keys(known, depth), cut))
+    found = written(_links(_keys(known), cut))
     roots = components(found.select("u", "v"))
     members = (known.select("cid", "n", "least", "label", "vec")
                .join(found.groupBy("u").agg(F.sum("links").alias("links")), F.col("cid") == F.col("u"), "left")
