@@ -122,6 +122,15 @@ def test_given_weights_on_an_empty_table(fitted):
     assert ml.score(given, none).count() == 0 and ml.linear_shap(given, none).count() == 0
 
 
+def test_training_partitions_follow_the_rows(fitted, monkeypatch):
+    feats, _ = fitted
+    monkeypatch.setattr(ml, "_fit", lambda features, *_: features.rdd.getNumPartitions())
+    assert ml.train_churn_model(feats) == 8
+    rows = feats.count()
+    monkeypatch.setattr(ml, "ROWS_A_PARTITION", rows // 20)
+    assert ml.train_churn_model(feats.repartition(3)) == ml.train_churn_model(feats) == -(-rows // (rows // 20)) > 8
+
+
 def test_importance_without_permutation(fitted, monkeypatch):
     feats, model = fitted
 

@@ -26,6 +26,8 @@ from usagelens.sources.schemas import FEATURE_COLUMNS
 
 FEATURES = list(FEATURE_COLUMNS)
 LABEL = "churn_flag"
+#: Feature rows that one partition holds while a model is fitted.
+ROWS_A_PARTITION = 1_000_000
 log = logging.getLogger(__name__)
 
 
@@ -143,14 +145,15 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: in
     gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
     on the raw features.
 
-    Rows are dealt to ``partitions`` partitions by user and sorted there, so
-    a fit (GBT samples rows per partition) depends on data and arguments only,
+    Rows are dealt to ``partitions`` partitions by user, or to more from that
+    many times ``ROWS_A_PARTITION`` rows on, and sorted there, so a fit (GBT samples rows per partition) depends on data and arguments only,
     not on how the input was laid out. Eager: runs the optimiser's jobs.
     """
     # the statistics pass, the solver's set-up passes and the summaries all
     # read the features: keep them cached while fitting (lineage stays, so
     # lost blocks are recomputed)
-    laid = features.repartition(partitions, "user_id").sortWithinPartitions("user_id", *FEATURES, LABEL)
+    spread = max(partitions, math.ceil(features.count() / ROWS_A_PARTITION))
+    laid = features.repartition(spread, "user_id").sortWithinPartitions("user_id", *FEATURES, LABEL)
     cached = laid.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _fit(cached, backend, max_iter, seed, tol)
