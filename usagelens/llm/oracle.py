@@ -58,3 +58,70 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
        sha256(unhex(CASE WHEN cut.doc_id IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
 """
+
+
+def _floored_mean(total: str, count: str) -> str:
+    """Floor of a quotient of whole numbers; ``//`` alone rounds towards zero."""
+    return f"(({total}) - ((({total}) % ({count})) + ({count})) % ({count})) // ({count})"
+
+
+def _clusters(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Plain k-means, round by round: all distances of all vectors, the least by (distance, place)."""
+    steps = [f"""
+v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, x
+  FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(v.x) AS x, min(c) AS c, min(d) AS d FROM (
+    SELECT vec_id, v.x, c, d FROM (
+      SELECT vec_id, v.x, c, list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.x[i] - c{i}.x[i]) * (v.x[i] - c{i}.x[i]))) AS d
+      FROM v, c{i}) v QUALIFY d = min(d) OVER (PARTITION BY vec_id)) v GROUP BY vec_id)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT c, p, {_floored_mean('sum(x[p])', 'count(*)')} AS m FROM a{i}, range(1, {dim + 1}) r(p) GROUP BY c, p),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.x, c{i}.x) AS x FROM c{i} LEFT JOIN (SELECT c, list(CAST(m AS BIGINT) ORDER BY p) AS x FROM m{i} GROUP BY c) n USING (c))""")
+    return f"""WITH {','.join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+ORACLE["op11_centroid_clustering"] = _clusters()
+
+
+def _codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Product quantisation with all distances compared in every round."""
+    steps = [f"""
+v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT max(len(x)) // {parts} AS w FROM v),
+s AS MATERIALIZED (SELECT vec_id, p, x[p * w + 1 : (p + 1) * w] AS x FROM v, w, range({parts}) r(p)),
+c0 AS MATERIALIZED (
+  SELECT p, e - 1 AS e, x FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS e FROM v) JOIN s USING (vec_id) WHERE e <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min(e) AS e, min(d) AS d FROM (
+    SELECT vec_id, s.p, s.x, e, list_sum(list_transform(list_zip(s.x, c{i}.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM s JOIN c{i} ON s.p = c{i}.p QUALIFY d = min(d) OVER (PARTITION BY vec_id, s.p)) GROUP BY vec_id, p)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT p, e, q, {_floored_mean('sum(x[q])', 'count(*)')} AS m FROM a{i}, range(1, 65) r(q) WHERE q <= len(x) GROUP BY p, e, q),
+c{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.x, c{i}.x) AS x
+  FROM c{i} LEFT JOIN (SELECT p, e, list(CAST(m AS BIGINT) ORDER BY q) AS x FROM m{i} GROUP BY p, e) n USING (p, e))""")
+    return f"""WITH {','.join(steps)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN v USING (vec_id), book"""
+
+
+ORACLE["op12_vector_codes"] = _codes()

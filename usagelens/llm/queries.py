@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm import (
-    chat, embeddings, exact, language, mixing, passages, secret_scan, simhash, token_counts, trie_bpe,
+    centroids, chat, embeddings, exact, language, mixing, packing, passages, secret_scan, simhash, token_counts, trie_bpe,
+    vector_codes,
 )
 
 QUERIES = {}
@@ -81,6 +82,21 @@ def op10_source_mixing(spark, sf_dir):
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.digests(*centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dim=64))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.digests(*vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024))
+
+
+@query
+def op13_packing(spark, sf_dir):
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), window=2048, end_id=1))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
