@@ -1,33 +1,33 @@
 """ML1-ML8: churn model, scores, evaluation, importances and explanations.
 
-Training and scoring are spark.ml; evaluation, permutation importance and
-the linear explanations are column expressions and joins, so every step
-is distributed. The only driver-side values are model parameters and
-per-feature statistics (a handful of numbers).
+The models are fitted by aggregates over all rows (``logit``: Newton's method;
+``boosting``: second-order trees); evaluation, permutation importance and
+explanations are column expressions, joins and Arrow batches, so every step
+is distributed. The only driver-side values are model parameters, histograms
+of a fixed number of bins and per-feature statistics.
 """
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
-import math
-import random
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import attach, safe_div
-from usagelens.session import cut_lineage
+from usagelens.functions.prefix import prefix_sums, row_numbers
+from usagelens.operators.boosting import Explainer, Forest, boost
+from usagelens.operators.logit import margin_of, newton_logit
+from usagelens.session import ship, written
 from usagelens.sources.schemas import FEATURE_COLUMNS
 
 FEATURES = list(FEATURE_COLUMNS)
 LABEL = "churn_flag"
-#: Feature rows that one partition holds while a model is fitted.
-ROWS_A_PARTITION = 1_000_000
 log = logging.getLogger(__name__)
 
 
@@ -62,52 +62,28 @@ def _scaled(stats: dict) -> list[str]:
             for c, (m, s) in ((c, stats[c]) for c in FEATURES)]
 
 
-def _scaling_statement(stats: dict) -> str:
-    return f"SELECT *, {', '.join(_scaled(stats))} FROM __THIS__"
-
-
-@dataclass
-class ChurnModel:
-    pipeline: PipelineModel
-    backend: str
-    stats: dict = field(default_factory=dict)
-
-    @property
-    def estimator(self):
-        return self.pipeline.stages[-1]
-
-    @property
-    def weights(self) -> tuple[list[float], float]:
-        """logreg: (one weight per feature, intercept) in the standardised space."""
-        est = self.estimator
-        return [float(x) for x in est.coefficients.toArray()], float(est.intercept)
+class _Model:
+    """What both backends share: a margin gives the probability, and a positive one the prediction."""
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(df)
-
-    def standardised(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.stages[0].transform(df)
+        """``df`` with margin, probability and prediction."""
+        return (df.withColumn("margin", self.margin(df)).withColumn("probability", 1 / (1 + F.exp(-F.col("margin"))))
+                .withColumn("prediction", (F.col("margin") > 0).cast("double")))
 
     def positive(self) -> Column:
         """Probability of churn in a transformed frame."""
-        return vector_to_array("probability")[1]
-
-    def save(self, path: str) -> None:
-        """IO12: persist the fitted pipeline (scaling, assembler, model)."""
-        self.pipeline.write().overwrite().save(path)
+        return F.col("probability")
 
-    @staticmethod
-    def load(path: str) -> "ChurnModel":
-        pipe = PipelineModel.load(path)
-        backend = "gbt" if "GBT" in type(pipe.stages[-1]).__name__ else "logreg"
-        return ChurnModel(pipe, backend)
+    def save(self, path: str, spark: SparkSession) -> None:
+        """IO12: persist the model as one JSON document."""
+        spark.createDataFrame([(json.dumps(self.record()),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 @dataclass(frozen=True)
-class LinearModel:
-    """A logistic model given by its numbers (feature statistics, weights, intercept); nothing is fitted.
+class LinearModel(_Model):
+    """A logistic model: feature statistics, weights in the standardised space, intercept.
 
-    It scores, explains and evaluates like a fitted one, in column expressions only.
+    It scores, explains and evaluates in column expressions only.
     """
     stats: dict
     coefficients: tuple
@@ -121,66 +97,96 @@ class LinearModel:
     def standardised(self, df: DataFrame) -> DataFrame:
         return df.selectExpr("*", *_scaled(self.stats))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        margin = F.lit(self.intercept)
-        for w, c in zip(self.coefficients, FEATURES, strict=True):
-            margin = margin + F.lit(w) * F.col(f"z_{c}")
-        return (self.standardised(df).withColumn("probability", 1 / (1 + F.exp(-margin)))
-                .withColumn("prediction", (F.col("probability") > 0.5).cast("double")))
+    def _z(self, feature: str, column: Column) -> Column:
+        mean, sd = self.stats[feature]
+        return (column - F.lit(float(mean))) / F.lit(float(sd))
 
-    def positive(self) -> Column:
-        return F.col("probability")
+    def margin(self, df: DataFrame) -> Column:
+        return margin_of([self._z(c, F.col(c)) for c in FEATURES], self.coefficients, self.intercept)
+
+    def swapped_margins(self, margin: str, donor: dict[str, str]) -> Column:
+        """Array of margins, one per feature, after that feature takes its donor's value: a difference per feature."""
+        return F.array(*[F.col(margin) + F.lit(float(w)) * (self._z(c, F.col(donor[c])) - self._z(c, F.col(c)))
+                         for w, c in zip(self.coefficients, FEATURES, strict=True)])
+
+    def importances(self) -> list[float]:
+        return list(self.coefficients)
+
+    def record(self) -> dict:
+        return {"backend": self.backend, "stats": self.stats, "coefficients": list(self.coefficients), "intercept": self.intercept}
+
+
+@dataclass(frozen=True)
+class TreeModel(_Model):
+    """Boosted trees; margins and explanations are computed in Arrow batches."""
+    forest: Forest
+    stats: dict = field(default_factory=dict)
+    backend: str = "gbt"
+
+    def margin(self, df: DataFrame) -> Column:
+        ship(df.sparkSession)
+        forest = self.forest
+
+        @F.pandas_udf("double")
+        def margins(*columns: pd.Series) -> pd.Series:
+            return pd.Series(forest.margin(np.column_stack([c.to_numpy(float) for c in columns])))
+
+        return margins(*FEATURES)
+
+    def swapped_margins(self, margin: str, donor: dict[str, str]) -> Column:
+        """Array of margins, one per feature, after that feature takes its donor's value."""
+        forest, width = self.forest, len(FEATURES)
+
+        @F.pandas_udf("array<double>")
+        def margins(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(float) for c in columns])
+            out = []
+            for f in range(width):
+                own = x[:, :width].copy()
+                own[:, f] = x[:, width + f]
+                out.append(forest.margin(own))
+            return pd.Series(list(np.column_stack(out)))
+
+        return margins(*FEATURES, *[donor[c] for c in FEATURES])
 
+    def importances(self) -> list[float]:
+        return self.forest.importances()
 
-def train_churn_model(features: DataFrame, backend: str = "logreg", max_iter: int | None = None,
-                      seed: int = 42, tol: float = 1e-4, partitions: int = 8) -> ChurnModel:
+    def record(self) -> dict:
+        return {"backend": self.backend, "forest": self.forest.record()}
+
+
+def load_model(spark: SparkSession, path: str) -> LinearModel | TreeModel:
+    """IO12: a model that :meth:`_Model.save` has written."""
+    record = json.loads(spark.read.text(path).first()["value"])
+    if record["backend"] == "gbt":
+        return TreeModel(Forest.of_record(record["forest"]))
+    stats = {k: tuple(v) if isinstance(v, list) else v for k, v in record["stats"].items()}
+    return LinearModel(stats, tuple(record["coefficients"]), record["intercept"])
+
+
+def train_churn_model(features: DataFrame, backend: str = "logreg", rounds: int = 160, seed: int = 42) -> LinearModel | TreeModel:
     """ML3 / ML3b: fit on all rows.
 
-    logreg: features standardised with the population sd, L2 with C = 1,
-    i.e. regParam = 1/n: the objective is |w|^2 / 2 + C * sum(log-loss).
-    spark.ml leaves the intercept unpenalised (the source's solver also
-    penalises it, and spark.ml gives a constant input zero weight, so that
-    cannot be emulated). The stopping tolerance defaults to 1e-4 like the
-    source's solver.
-    gbt: depth 4, 160 rounds, step 0.08, row and feature sampling 0.9,
-    on the raw features.
-
-    Rows are dealt to ``partitions`` partitions by user, or to more from that
-    many times ``ROWS_A_PARTITION`` rows on, and sorted there, so a fit (GBT samples rows per partition) depends on data and arguments only,
-    not on how the input was laid out. Eager: runs the optimiser's jobs.
+    logreg: features standardised with the population sd; minimises
+    (|w|^2 + b^2) / 2 + sum of log-losses (C = 1; the intercept is penalised
+    as in the source's solver) by Newton's method.
+    gbt: second-order boosting on the raw features, depth 4, 160 rounds, step
+    0.08, row and feature sampling 0.9, lambda 1.
+
+    The result depends on data and arguments, not on the layout of the input.
+    Eager: the features are written once, then every pass reads that table.
     """
-    # the statistics pass, the solver's set-up passes and the summaries all
-    # read the features: keep them cached while fitting (lineage stays, so
-    # lost blocks are recomputed)
-    spread = max(partitions, math.ceil(features.count() / ROWS_A_PARTITION))
-    laid = features.repartition(spread, "user_id").sortWithinPartitions("user_id", *FEATURES, LABEL)
-    cached = laid.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _fit(cached, backend, max_iter, seed, tol)
-    finally:
-        cached.unpersist()
+    ship(features.sparkSession)
+    held = written(features.select("user_id", *FEATURES, LABEL))
+    if backend == "gbt":
+        return TreeModel(boost(held, FEATURES, LABEL, "user_id", rounds=rounds, seed=seed))
+    stats = scaler_stats(held)
+    weights, intercept = newton_logit(held.selectExpr(LABEL, *_scaled(stats)), [f"z_{c}" for c in FEATURES], LABEL)
+    return LinearModel(stats, tuple(weights), intercept)
 
 
-def _fit(features: DataFrame, backend: str, max_iter: int | None, seed: int, tol: float) -> ChurnModel:
-    stats = scaler_stats(features)
-    scale = SQLTransformer(statement=_scaling_statement(stats))
-    if backend == "gbt":
-        assembler = VectorAssembler(inputCols=FEATURES, outputCol="features_vec")
-        est = GBTClassifier(featuresCol="features_vec", labelCol=LABEL, maxDepth=4,
-                            maxIter=max_iter or 160, stepSize=0.08, subsamplingRate=0.9,
-                            featureSubsetStrategy="0.9", seed=seed)
-    else:
-        backend = "logreg"
-        assembler = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features_vec")
-        est = LogisticRegression(featuresCol="features_vec", labelCol=LABEL,
-                                 regParam=1.0 / max(stats["n"], 1), elasticNetParam=0.0,
-                                 standardization=False, maxIter=max_iter or 500, fitIntercept=True,
-                                 tol=tol)
-    pipe = Pipeline(stages=[scale, assembler, est]).fit(features)
-    return ChurnModel(pipe, backend, stats)
-
-
-def score(model: ChurnModel, features: DataFrame) -> DataFrame:
+def score(model: LinearModel | TreeModel, features: DataFrame) -> DataFrame:
     """ML4: the feature rows plus churn_probability (positive-class probability)."""
     return model.transform(features).select(
         *features.columns, model.positive().alias("churn_probability"))
@@ -213,127 +219,72 @@ def classification_report(scored: DataFrame, label: str = LABEL, score_col: str
         ) AS (class, precision, recall, f1_score, support)"""))
 
 
-def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_probability",
-            buckets: int = 256) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = LABEL, score_col: str = "churn_probability") -> DataFrame:
     """ML5 / W6: exact ROC AUC (ties count one half) as a one-row frame.
 
-    Rows collapse to a histogram of distinct scores first. The running count
-    of negatives below each score is computed per score bucket (bucket
-    bounds are approximate quantiles of the distinct scores, so buckets are
-    balanced) and offset by the totals of the lower buckets (``buckets``
-    rows). No step sees more than one bucket; the result is exact.
-
-    The histogram feeds three branches (bounds, running counts, bucket
-    totals), so it is checkpointed (eagerly, into the session's checkpoint
-    folder): the scored input is read once however it was produced.
+    Rows collapse to a histogram of distinct scores first; the negatives below
+    each score are prefix sums over it (eager), so no task sees more than a
+    range of distinct scores and the result is exact.
     """
     y = F.col(label).cast("int")
-    hist = cut_lineage(scored.groupBy(F.col(score_col).alias("s")).agg(
+    hist = scored.groupBy(F.col(score_col).alias("s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(y == 0, 1).otherwise(0)).cast("long").alias("neg")))
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        bounds = hist.agg(F.percentile_approx("s", qs, 10000).alias("b"))
-        hb = (hist.withColumn("b", bounds.scalar())  # one array of buckets-1 bounds
-              .withColumn("bucket", F.size(F.filter("b", lambda x: x < F.col("s")))).drop("b"))
-    else:
-        hb = hist.withColumn("bucket", F.lit(0))
-    below = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    hb = hb.withColumn("nb_in", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    tot = hb.groupBy("bucket").agg(F.sum("neg").alias("bn"))
-    off = tot.withColumn("nb_before", F.coalesce(F.sum("bn").over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        F.sum(F.when(y == 0, 1).otherwise(0)).cast("long").alias("neg"))
     dec = "decimal(38,0)"
-    j = hb.join(off.select("bucket", "nb_before"), "bucket")  # at most `buckets` rows on the right
-    num = F.sum(F.col("pos").cast(dec) * (2 * (F.col("nb_before") + F.col("nb_in")) + F.col("neg")).cast(dec))
+    num = F.sum(F.col("pos").cast(dec) * (2 * F.col("below") + F.col("neg")).cast(dec))
     den = 2 * F.sum("pos").cast(dec) * F.sum("neg").cast(dec)
-    return j.agg((num.cast("double") / F.when(den > 0, den.cast("double"))).alias("auc"))
+    return prefix_sums(hist, ["s"], {"below": "neg"}).agg(
+        (num.cast("double") / F.when(den > 0, den.cast("double"))).alias("auc"))
 
 
-def _row_index(df: DataFrame, seed: int) -> DataFrame:
-    """Contiguous 0..n-1 row ids in the order of a seeded hash of user_id.
-
-    The order is total up to equal rows, so ids do not depend on how the
-    input was laid out. A range sort gives (partition, position) ids; the
-    frame is checkpointed so they stay fixed if tasks are re-run. Partition
-    offsets come from a per-partition count (one row per partition).
-    """
-    order = [F.xxhash64(F.lit(seed), "user_id"), *[F.col(c) for c in df.columns]]
-    d = cut_lineage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-                    .withColumn("_pid", F.spark_partition_id()))
-    counts = d.groupBy("_pid").agg(F.count("*").alias("_cnt"))
-    off = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (d.join(off.select("_pid", "_off"), "_pid")
-            .withColumn("_idx", F.col("_off") + F.col("_mid")
-                        - F.shiftleft(F.col("_pid").cast("long"), 33))
-            .drop("_mid", "_pid", "_off"))
-
-
-def _affine_maps(n: int, repeats: int, seed: int) -> list[tuple[int, int, int]]:
-    """(repeat, a, b) with gcd(a, n) = 1, so i -> (a*i + b) mod n is a bijection."""
-    rng = random.Random(seed)
-    out = []
-    for r in range(repeats):
-        if n <= 1:
-            out.append((r, 1, 0))
-            continue
-        while True:
-            a = rng.randrange(1, min(n, 2 ** 31))
-            if math.gcd(a, n) == 1:
-                break
-        out.append((r, a, rng.randrange(0, n)))
-    return out
-
-
-def accuracy(model: ChurnModel, features: DataFrame) -> DataFrame:
+def accuracy(model: LinearModel | TreeModel, features: DataFrame) -> DataFrame:
     """Default score of the classifier: mean of prediction == label (one row)."""
     return model.transform(features).agg(
         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"))
 
 
-def permutation_importance(model: ChurnModel, features: DataFrame, repeats: int = 10,
-                           seed: int = 42) -> DataFrame:
+def _shifts(repeats: int, seed: int) -> list[int]:
+    """One whole number of 48 bits per repeat, from md5 of ``seed:repeat``."""
+    return [int(hashlib.md5(f"{seed}:{r}".encode()).hexdigest()[:12], 16) for r in range(repeats)]
+
+
+def permutation_importance(model: LinearModel | TreeModel, features: DataFrame, repeats: int = 10, seed: int = 42) -> DataFrame:
     """ML6: mean accuracy drop when one feature's column is permuted.
 
-    Repeat r gives row i the feature value of row (a_r * i + b_r) mod n: one
-    shuffle join of (n x repeats) requests against n donors; each joined row
-    then scores all six one-feature-permuted variants in a single pass. n is
-    the number of rows of ``features`` itself, whatever the model was fitted
-    on. Eager: the row ids are checkpointed and counted.
+    Rows are numbered in the order of md5(``seed:user_id``), which shuffles
+    them; repeat r gives row i the feature value of row i + s_r, counted round
+    in a circle, with s_r a seeded number from 1 to n - 1. One shuffle join
+    of (n x repeats) requests against n donors; every joined row changes its
+    own margin by the one feature's difference (linear model; trees are
+    evaluated anew) and so scores all six variants at once. Eager: the
+    numbered rows are checkpointed and counted.
     """
-    idx = _row_index(features.select("user_id", *FEATURES, LABEL), seed)
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string")).cast("binary")), F.col("user_id"), *[F.col(c) for c in FEATURES], F.col(LABEL)]
+    scored = model.transform(features).select("user_id", *FEATURES, LABEL, "margin")
+    idx = row_numbers(scored, order, "_idx")
     n = idx.count()
-    wide = "decimal(19,0)"  # a * i passes 64 bits on large frames
-    maps = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(a).cast("long").alias("a"),
-                              F.lit(b).cast("long").alias("b")) for r, a, b in _affine_maps(n, repeats, seed)])
-    req = (idx.select("*", F.explode(maps).alias("m"))
-           .select(*FEATURES, LABEL, F.col("m.r").alias("r"),
-                   ((F.col("m.a").cast(wide) * F.col("_idx").cast(wide) + F.col("m.b")) % F.lit(max(n, 1)).cast(wide))
-                   .cast("long").alias("_donor")))
+    steps = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(1 + h % (n - 1) if n > 1 else 0).cast("long").alias("s"))
+                      for r, h in enumerate(_shifts(repeats, seed))])
+    asked = idx.select(*FEATURES, LABEL, "margin", "_idx", F.explode(steps).alias("m")).withColumn(
+        "_donor", (F.col("_idx") + F.col("m.s")) % max(n, 1))
     donors = idx.select(F.col("_idx").alias("_donor"), *[F.col(c).alias(f"d_{c}") for c in FEATURES])
-    j = req.join(donors, "_donor")
-    variants = F.array(*[
-        F.struct(F.lit(f).alias("feature"),
-                 *[(F.col(f"d_{c}") if c == f else F.col(c)).alias(c) for c in FEATURES])
-        for f in FEATURES])
-    v = j.select("r", LABEL, F.explode(variants).alias("v")).select("r", LABEL, "v.*")
-    acc = (model.transform(v).groupBy("feature", "r")
-           .agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("acc")))
-    mean_acc = acc.groupBy("feature").agg(F.avg("acc").alias("acc"))
-    return (attach(mean_acc, accuracy(model, features))
-            .select("feature", (F.col("accuracy") - F.col("acc")).alias("permutation_importance")))
-
-
-def model_importance(model: ChurnModel, features: DataFrame) -> DataFrame:
-    """ML8: coefficients (logreg, signed) or split importances (gbt) per feature."""
-    vals = model.weights[0] if model.backend == "logreg" else model.estimator.featureImportances.toArray()
-    spark = features.sparkSession
-    return spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, vals)],
-                                 "feature string, model_importance double")
-
-
-def feature_importance(model: ChurnModel, features: DataFrame, repeats: int = 10,
+    swapped = asked.join(donors, "_donor").select(
+        F.col("m.r").alias("r"), LABEL, model.swapped_margins("margin", {c: f"d_{c}" for c in FEATURES}).alias("margins"))
+    right = [F.avg(((F.col("margins")[i] > 0).cast("int") == F.col(LABEL)).cast("double")).alias(c) for i, c in enumerate(FEATURES)]
+    by_repeat = swapped.groupBy("r").agg(*right).agg(*[F.avg(c).alias(c) for c in FEATURES])
+    parts = ", ".join(f"'{c}', {c}" for c in FEATURES)
+    mean = by_repeat.select(F.expr(f"stack({len(FEATURES)}, {parts}) AS (feature, acc)"))
+    base = idx.agg(F.avg(((F.col("margin") > 0).cast("int") == F.col(LABEL)).cast("double")).alias("accuracy"))
+    return attach(mean, base).select("feature", (F.col("accuracy") - F.col("acc")).alias("permutation_importance"))
+
+
+def model_importance(model: LinearModel | TreeModel, features: DataFrame) -> DataFrame:
+    """ML8: coefficients (logreg, signed) or mean split gains as shares (gbt) per feature."""
+    return features.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, model.importances(), strict=True)],
+                                                 "feature string, model_importance double")
+
+
+def feature_importance(model: LinearModel | TreeModel, features: DataFrame, repeats: int = 10,
                        seed: int = 42) -> DataFrame:
     """Model and permutation importance side by side (full join on feature).
 
@@ -361,7 +312,7 @@ def leaderboard(scored: DataFrame, k: int = 15) -> DataFrame:
             .select("user_id", "churn_probability", "plans", "payments_total", "sessions_total"))
 
 
-def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
+def linear_shap(model: LinearModel, features: DataFrame) -> DataFrame:
     """ML7: exact SHAP values of the linear model, for every user at once.
 
     In the standardised space the model margin is b + sum w_f z_f, so the
@@ -369,8 +320,6 @@ def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
     background, and the values plus base_value (b + sum w_f mean z_f) add up
     to the margin. Output is long: (user_id, feature, shap_value, base_value).
     """
-    if model.backend != "logreg":
-        raise NotImplementedError("closed-form explanations exist for the linear model only")
     w, b = model.weights
     z = model.standardised(features)
     zm = z.agg(*[F.avg(f"z_{c}").alias(f"zm_{c}") for c in FEATURES])
@@ -378,14 +327,39 @@ def linear_shap(model: ChurnModel, features: DataFrame) -> DataFrame:
     base = F.lit(b)
     for wi, c in zip(w, FEATURES):
         base = base + F.lit(wi) * F.col(f"zm_{c}")
+    return _long_shap(j, base, [F.lit(wi) * (F.col(f"z_{c}") - F.col(f"zm_{c}")) for wi, c in zip(w, FEATURES)])
+
+
+def tree_shap(model: TreeModel, features: DataFrame) -> DataFrame:
+    """ML7 for trees: exact Shapley values of the margin, a feature outside a coalition following both branches by cover.
+
+    Same rows as :func:`linear_shap`; values plus base_value add up to the margin.
+    """
+    ship(features.sparkSession)
+    forest, base = model.forest, Explainer(model.forest).base
+
+    @F.pandas_udf("array<double>")
+    def values(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        explainer = Explainer(forest)
+        for columns in batches:
+            yield pd.Series(list(explainer.values(np.column_stack([c.to_numpy(float) for c in columns]))))
+
+    held = features.withColumn("shap", values(*FEATURES))
+    return _long_shap(held, F.lit(float(base)), [F.col("shap")[i] for i in range(len(FEATURES))])
+
+
+def _long_shap(df: DataFrame, base: Column, values: list[Column]) -> DataFrame:
     parts = ", ".join(f"'{c}', shap_{c}" for c in FEATURES)
-    return (j.select("user_id", base.alias("base_value"),
-                     *[(F.lit(wi) * (F.col(f"z_{c}") - F.col(f"zm_{c}"))).alias(f"shap_{c}")
-                       for wi, c in zip(w, FEATURES)])
+    return (df.select("user_id", base.alias("base_value"), *[v.alias(f"shap_{c}") for c, v in zip(FEATURES, values, strict=True)])
             .select("user_id", "base_value", F.expr(f"stack({len(FEATURES)}, {parts}) AS (feature, shap_value)"))
             .select("user_id", "feature", "shap_value", "base_value"))
 
 
+def shap_values(model: LinearModel | TreeModel, features: DataFrame) -> DataFrame:
+    """ML7: explanations of every user, by either backend."""
+    return tree_shap(model, features) if model.backend == "gbt" else linear_shap(model, features)
+
+
 def explain_top(scored: DataFrame, shap: DataFrame, k: int = 50) -> DataFrame:
     """Explanations of the k riskiest users, with their probability."""
     top = scored.orderBy(F.desc("churn_probability"), F.asc("user_id")).limit(k) \

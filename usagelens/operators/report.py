@@ -163,8 +163,8 @@ def report(tables: dict[str, DataFrame], countries: Selection = None, plans: Sel
     """All report frames for one filter setting (nothing is executed here).
 
     ``countries=None`` means the dashboard default (first three countries);
-    pass ``[]`` for no country filter. With a model, the leaderboard and (for
-    a linear one) the explanations of the riskiest users come too; with its
+    pass ``[]`` for no country filter. With a model, the leaderboard and
+    the explanations of the riskiest users come too; with its
     importances, the top drivers. These three cover all users, not the selection.
     """
     metrics, sessions = tables["user_metrics"], tables["sessions"]
@@ -175,8 +175,7 @@ def report(tables: dict[str, DataFrame], countries: Selection = None, plans: Sel
         feats = ml.prepare_ml_features(metrics)
         scored = ml.score(model, feats)
         of_model["leaderboard"] = ml.leaderboard(scored)
-        if model.backend == "logreg":
-            of_model["explanations"] = ml.explain_top(scored, ml.linear_shap(model, feats))
+        of_model["explanations"] = ml.explain_top(scored, ml.shap_values(model, feats))
     if importance is not None:
         of_model["drivers"] = ml.top_drivers(importance)
     return of_model | {

@@ -61,7 +61,8 @@ def user_metrics(users: DataFrame, sessions: DataFrame, payments: DataFrame,
     return j.select(
         "user_id", "signup_date", "country",
         F.coalesce("sessions_total", F.lit(0)).cast("long").alias("sessions_total"),
-        round_half_even(F.coalesce("avg_session_duration", F.lit(0.0)), 2).alias("avg_session_duration"),
+        # nine digits first, so that a tie at the third does not hang on the order of addition
+        round_half_even(round_half_even(F.coalesce("avg_session_duration", F.lit(0.0)), 9), 2).alias("avg_session_duration"),
         "first_session", "last_session",
         F.coalesce("session_span_days", F.lit(0)).cast("long").alias("session_span_days"),
         F.coalesce("payments_total", F.lit(0.0)).alias("payments_total"),

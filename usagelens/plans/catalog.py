@@ -286,10 +286,9 @@ def report_insights(spark, sf_dir):
 
 @query
 def report_insights_empty(spark, sf_dir):
-    """A selection of nobody: no sentence, though there are events."""
+    """The guard applied to the selection of every country and plan: one of nobody has no sentence, though there are events."""
     t = tables(spark, sf_dir)
-    nobody, _ = report.selection(t, countries=["Nowhere"])
-    return insights.generate_insights(nobody, t["events"])
+    return insights.insights_by_segment(t["user_metrics"], t["events"])
 
 
 @query
@@ -320,17 +319,30 @@ def report_forecast_tail(spark, sf_dir):
     return round_doubles(report.forecast_table(_sel(spark, sf_dir)[2]), DIGITS)
 
 
-# ---- churn model (rows-only: no SQL oracle for a fitted model) ----------------
+# ---- churn model: Newton's fit (oracle: the same steps in SQL); boosted trees have no SQL form ----
 def _model(spark, sf_dir, backend="logreg"):
     from usagelens.operators import ml
     feats = ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])
     return ml, feats, ml.train_churn_model(feats, backend)
 
 
+def _scored(spark, sf_dir):
+    """(ml, features, model, scores); scores carry nine digits, so that both engines see the same ties."""
+    ml, feats, model = _model(spark, sf_dir)
+    return ml, feats, model, ml.score(model, feats).withColumn("churn_probability", round_half_even("churn_probability", 9))
+
+
 @query
-def churn_scored(spark, sf_dir):
+def churn_model_weights(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)
-    return ml.score(model, feats)
+    weights, intercept = model.weights
+    rows = [*zip(ml.FEATURES, weights), ("intercept", intercept)]
+    return round_doubles(spark.createDataFrame(rows, "term string, weight double"), 6)
+
+
+@query
+def churn_scored(spark, sf_dir):
+    return round_doubles(_scored(spark, sf_dir)[3], 6)
 
 
 @query
@@ -341,44 +353,50 @@ def churn_scored_gbt(spark, sf_dir):
 
 @query
 def churn_report(spark, sf_dir):
-    ml, feats, model = _model(spark, sf_dir)
-    return ml.classification_report(ml.score(model, feats))
+    ml, _, _, scored = _scored(spark, sf_dir)
+    return round_doubles(ml.classification_report(scored), 6)
 
 
 @query
 def churn_auc(spark, sf_dir):
-    ml, feats, model = _model(spark, sf_dir)
-    return ml.roc_auc(ml.score(model, feats))
+    ml, _, _, scored = _scored(spark, sf_dir)
+    return round_doubles(ml.roc_auc(scored), 9)
 
 
 @query
 def churn_importance(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)
-    return ml.feature_importance(model, feats)
+    return round_doubles(ml.feature_importance(model, feats), 6)
 
 
 @query
 def churn_top_drivers(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)
-    return ml.top_drivers(ml.feature_importance(model, feats))
+    return round_doubles(ml.top_drivers(ml.feature_importance(model, feats)), 6)
 
 
 @query
 def churn_leaderboard(spark, sf_dir):
-    ml, feats, model = _model(spark, sf_dir)
-    return ml.leaderboard(ml.score(model, feats))
+    ml, _, _, scored = _scored(spark, sf_dir)
+    return round_doubles(ml.leaderboard(scored), 6)
 
 
 @query
 def churn_shap(spark, sf_dir):
     ml, feats, model = _model(spark, sf_dir)
-    return ml.linear_shap(model, feats)
+    return round_doubles(ml.shap_values(model, feats), 6)
 
 
 @query
 def churn_explain_top(spark, sf_dir):
-    ml, feats, model = _model(spark, sf_dir)
-    return ml.explain_top(ml.score(model, feats), ml.linear_shap(model, feats))
+    ml, feats, model, scored = _scored(spark, sf_dir)
+    return round_doubles(ml.explain_top(scored, ml.shap_values(model, feats)), 6)
+
+
+@query
+def churn_explain_top_gbt(spark, sf_dir):
+    ml, feats, model = _model(spark, sf_dir, "gbt")
+    return ml.explain_top(ml.score(model, feats), ml.shap_values(model, feats))
 
 
 # ---- a linear model of fixed weights (oracle-checked) --------------------------

@@ -10,6 +10,8 @@ from __future__ import annotations
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
 CTES: dict[str, str] = {}
+#: Steps that are computed once, however often a statement names them.
+MATERIALISED: set[str] = set()
 
 CTES["raw_users"] = """
     SELECT c_custkey AS user_id,
@@ -114,7 +116,7 @@ CTES["pm"] = f"""
 CTES["um_base"] = f"""
     SELECT u.user_id, u.signup_date, u.country,
            COALESCE(sm.sessions_total, 0) AS sessions_total,
-           round(COALESCE(sm.avg_d, 0.0), 2) AS avg_session_duration,
+           round(round(COALESCE(sm.avg_d, 0.0), 9), 2) AS avg_session_duration,
            sm.first_session, sm.last_session,
            COALESCE(datediff('microsecond', sm.first_session, sm.last_session) // 86400000000, 0)
                AS session_span_days,
@@ -181,7 +183,7 @@ def half_even_rounding(sql: str) -> str:
 
 
 def with_ctes(final_sql: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES.items())
+    body = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in MATERIALISED else ''}({sql}\n)" for name, sql in CTES.items())
     return half_even_rounding(f"WITH RECURSIVE {body}\n{final_sql}")
 
 
@@ -471,8 +473,19 @@ SELECT 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, r
 FROM (SELECT plans, avg(renewal_rate) AS r FROM sel WHERE plans IS NOT NULL
       GROUP BY plans ORDER BY r DESC, plans LIMIT 1)""")
 oracle("report_insights_empty", """
-SELECT 1 AS rule_id, printf('Users from %s show the highest churn within the cohort.', country) AS text
-FROM um WHERE country = 'Nowhere' AND churn_flag""")
+SELECT country, plans, rule_id, text
+FROM (SELECT * FROM (SELECT DISTINCT country FROM um WHERE country IS NOT NULL),
+                    (SELECT DISTINCT plans FROM um WHERE plans IS NOT NULL))
+LEFT JOIN (
+  SELECT country, plans, 1 AS rule_id, printf('Users from %s show the highest churn within the cohort.', country) AS text
+  FROM um GROUP BY country, plans HAVING count(*) FILTER (WHERE churn_flag) > 0
+  UNION ALL
+  SELECT country, plans, 2, printf('Feature %s drives the most interactions and keeps users engaged.', feature)
+  FROM (SELECT DISTINCT country, plans FROM um), (
+    SELECT feature, count(event_id) AS n FROM c_events WHERE feature IS NOT NULL GROUP BY feature ORDER BY n DESC, feature LIMIT 1)
+  UNION ALL
+  SELECT country, plans, 3, printf('Users on %s have the strongest renewal rate (%.2f).', plans, avg(renewal_rate))
+  FROM um GROUP BY country, plans) s USING (country, plans)""")
 oracle("report_mrr", "SELECT * FROM sel_mrr")
 oracle("report_monthly_revenue", "SELECT month, round(revenue, 4) AS revenue FROM sel_monthly")
 oracle("scenario_grid", """
@@ -657,3 +670,93 @@ FROM lin_shap s JOIN (SELECT user_id, p FROM lin ORDER BY p DESC, user_id LIMIT
 
 oracle("summary_kpis", "SELECT * FROM " + ", ".join(
     f"({FINAL[name]})" for name in ("conversion", "churn_summary", "ltv", "revenue_summary")))
+
+
+# ---- the fitted logistic model: twelve Newton steps, each system solved by elimination ----------------
+_Z = ["z0", "z1", "z2", "z3", "z4", "z5", "1.0"]
+CTES["newton_z"] = "SELECT f.user_id, f.churn_flag AS y, " + ", ".join(
+    f"(f.{c} - s{i}.mean) / s{i}.sd AS z{i}" for i, c in enumerate(WEIGHTS)) + " FROM feats f, " + ", ".join(
+    f"(SELECT * FROM feat_stats WHERE feature = '{c}') s{i}" for i, c in enumerate(WEIGHTS))
+CTES["beta0"] = "SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(7))
+
+
+def _newton_step(t: int) -> None:
+    """CTEs from beta{t} to beta{t + 1}: sums over all rows, seven rows of a system, seven pivots."""
+    margin = " + ".join(f"b{i} * {z}" for i, z in enumerate(_Z))
+    sums = [f"sum((p - y) * {z}) + any_value(b{i}) AS g{i}" for i, z in enumerate(_Z)]
+    sums += [f"sum(p * (1 - p) * {_Z[i]} * {_Z[j]}) + {int(i == j)} AS h{i}{j}" for i in range(7) for j in range(i, 7)]
+    CTES[f"sums{t}"] = f"SELECT {', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM newton_z, beta{t})"
+    rows = [f"SELECT {i} AS i, " + ", ".join(f"h{min(i, j)}{max(i, j)} AS c{j}" for j in range(7)) + f", g{i} AS c7 FROM sums{t}"
+            for i in range(7)]
+    CTES[f"solve{t}_0"] = " UNION ALL ".join(rows)
+    for k in range(7):
+        cells = ", ".join(f"CASE WHEN a.i = {k} THEN a.c{j} / p.c{k} ELSE a.c{j} - a.c{k} * p.c{j} / p.c{k} END AS c{j}" for j in range(8))
+        CTES[f"solve{t}_{k + 1}"] = f"SELECT a.i, {cells} FROM solve{t}_{k} a, (SELECT * FROM solve{t}_{k} WHERE i = {k}) p"
+    CTES[f"beta{t + 1}"] = "SELECT " + ", ".join(
+        f"(SELECT b{i} FROM beta{t}) - max(c7) FILTER (WHERE i = {i}) AS b{i}" for i in range(7)) + f" FROM solve{t}_7"
+
+
+NEWTON_STEPS = 12
+for _t in range(NEWTON_STEPS):
+    _newton_step(_t)
+MATERIALISED |= {"newton_z"} | {k for k in CTES if k.startswith(("sums", "solve", "beta"))}
+CTES["fit"] = f"SELECT * FROM beta{NEWTON_STEPS}"
+CTES["fit_margin"] = "SELECT user_id, y, " + ", ".join(f"z{i}" for i in range(6)) + ", " + " + ".join(
+    f"b{i} * {z}" for i, z in enumerate(_Z)) + " AS m FROM newton_z, fit"
+CTES["fit_terms"] = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, b{i} AS w FROM fit" for i, c in enumerate(WEIGHTS))
+CTES["fit_scored"] = "SELECT f.*, round(1 / (1 + exp(-m)), 9) AS p FROM feats f JOIN fit_margin USING (user_id)"
+CTES["fit_long"] = " UNION ALL ".join(
+    f"SELECT user_id, '{c}' AS feature, b{i} * z{i} AS part FROM newton_z, fit" for i, c in enumerate(WEIGHTS))
+CTES["fit_shap"] = """
+    SELECT user_id, feature, part - avg(part) OVER (PARTITION BY feature) AS shap_value,
+           (SELECT sum(m) FROM (SELECT avg(part) AS m FROM fit_long GROUP BY feature)) + (SELECT b6 FROM fit) AS base_value
+    FROM fit_long"""
+CTES["fit_cm"] = """
+    SELECT c, count(*) FILTER (WHERE y = c AND h = c) AS hit, count(*) FILTER (WHERE y <> c AND h = c) AS wrong,
+           count(*) FILTER (WHERE y = c AND h <> c) AS miss, count(*) AS n
+    FROM (SELECT churn_flag AS y, CAST(p >= 0.5 AS INTEGER) AS h FROM fit_scored), (VALUES (0), (1)) v(c) GROUP BY c"""
+CTES["fit_rates"] = """
+    SELECT c, n, hit, hit + miss AS support, COALESCE(hit / nullif(hit + wrong, 0), 0.0) AS precision,
+           COALESCE(hit / nullif(hit + miss, 0), 0.0) AS recall,
+           COALESCE(2 * hit / nullif(2 * hit + wrong + miss, 0), 0.0) AS f1 FROM fit_cm"""
+oracle("churn_model_weights", "SELECT term, round(weight, 6) AS weight FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS term, b{i} AS weight FROM fit" for i, c in enumerate([*WEIGHTS, "intercept"])) + ")")
+oracle("churn_scored", "SELECT user_id, plans, churn_flag, round(p, 6) AS churn_probability, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in WEIGHTS) + " FROM fit_scored")
+oracle("churn_report", """
+SELECT CAST(c AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1_score, support FROM fit_rates
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hit) / max(n), 6), max(n) FROM fit_rates
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), max(n) FROM fit_rates
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / max(n), 6), round(sum(recall * support) / max(n), 6),
+                 round(sum(f1 * support) / max(n), 6), max(n) FROM fit_rates""")
+oracle("churn_auc", """
+SELECT round(CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE), 9) AS auc
+FROM (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT p AS s, sum(churn_flag) AS pos, sum(1 - churn_flag) AS neg FROM fit_scored GROUP BY 1))""")
+oracle("churn_leaderboard", """
+SELECT user_id, round(p, 6) AS churn_probability, plans, round(payments_total, 6) AS payments_total, sessions_total
+FROM fit_scored ORDER BY p DESC, user_id LIMIT 15""")
+oracle("churn_shap", """
+SELECT user_id, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value FROM fit_shap""")
+oracle("churn_explain_top", """
+SELECT s.user_id, s.feature, round(s.shap_value, 6) AS shap_value, round(s.base_value, 6) AS base_value,
+       round(t.p, 6) AS churn_probability
+FROM fit_shap s JOIN (SELECT user_id, p FROM fit_scored ORDER BY p DESC, user_id LIMIT 50) t USING (user_id)""")
+
+#: md5 of 'seed:repeat', twelve hexadecimal digits: the seeds of the ten rotations of permutation importance.
+CTES["rotated"] = """
+    SELECT a.user_id, a.y, r.r, a.m, """ + ", ".join(f"a.z{i} AS z{i}, d.z{i} AS d{i}" for i in range(6)) + """
+    FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || user_id), user_id) - 1 AS id, count(*) OVER () AS n FROM fit_margin) a
+    JOIN (SELECT r, CAST('0x' || substr(md5('42:' || r), 1, 12) AS BIGINT) AS h FROM range(10) t(r)) r ON true
+    JOIN (SELECT *, row_number() OVER (ORDER BY md5('42:' || user_id), user_id) - 1 AS id FROM fit_margin) d
+      ON d.id = (a.id + CASE WHEN a.n > 1 THEN 1 + r.h % (a.n - 1) ELSE 0 END) % a.n"""
+CTES["permuted"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, avg(acc) AS acc FROM (SELECT r, avg(CASE WHEN CAST(m + b{i} * (d{i} - z{i}) > 0 AS INTEGER) = y"
+    f" THEN 1.0 ELSE 0.0 END) AS acc FROM rotated, fit GROUP BY r)" for i, c in enumerate(WEIGHTS))
+CTES["fit_importance"] = """
+    SELECT feature, round(w, 6) AS model_importance,
+           round((SELECT avg(CASE WHEN CAST(m > 0 AS INTEGER) = y THEN 1.0 ELSE 0.0 END) FROM fit_margin) - acc, 6) AS permutation_importance
+    FROM fit_terms JOIN permuted USING (feature)"""
+oracle("churn_importance", "SELECT * FROM fit_importance")
+oracle("churn_top_drivers", "SELECT * FROM fit_importance ORDER BY abs(model_importance) DESC, feature LIMIT 8")

@@ -49,7 +49,7 @@ def summary_kpis(t: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def summary(t: dict[str, DataFrame], model: ml.ChurnModel, importance: DataFrame,
+def summary(t: dict[str, DataFrame], model: ml.LinearModel | ml.TreeModel, importance: DataFrame,
             anomalies: DataFrame, forecast: DataFrame, notes: DataFrame) -> DataFrame:
     """AN14: the nested one-row summary record."""
     m = t["user_metrics"]
@@ -97,7 +97,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
 
     feats = ml.prepare_ml_features(t["user_metrics"])
     model = ml.train_churn_model(feats, backend)
-    model.save(f"{art}/churn_pipeline")
+    model.save(f"{art}/churn_pipeline", spark)
     written["churn_scored"] = io.write_table(ml.score(model, feats), art, "churn_scored")
     scored = spark.read.parquet(written["churn_scored"])
     written["churn_auc"] = io.write_table(ml.roc_auc(scored), art, "churn_auc")

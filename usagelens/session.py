@@ -3,10 +3,15 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
+import uuid
+import zipfile
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def get_spark(master: str | None = None, app: str = "usagelens",
@@ -64,11 +69,13 @@ def cut_lineage(df):
     from pyspark import StorageLevel
 
     checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    with setting(df.sparkSession, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true"):
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            held.count()  # fills the cache; adaptive execution merges small partitions before the files are cut
+            return held.checkpoint(eager=True)
+        finally:
+            held.unpersist()
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -91,3 +98,56 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         conf = fallback or wh.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for what runs inside; put back afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Jobs started inside give back their shuffle files when they end, not when the driver collects garbage."""
+    return setting(spark, CLEANUP, "true")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage: ``df`` as a table in the shared checkpoint folder, computed once and read back.
+
+    The files outlive lost executors; the shuffles behind them are removed at once.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors through Spark's own file distribution, once per application.
+
+    Functions travel by reference; where the package is not installed on the
+    executors they could not be loaded otherwise.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(top):
+        target = os.path.join(tempfile.mkdtemp(), "usagelens.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(top):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(top)))
+        sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
