@@ -250,11 +250,14 @@ def test_prefix_sums_of_any_layout(spark):
 def test_prefix_partitions_follow_the_rows(spark):
     """Many small shuffle partitions merge for few rows and stay many for many."""
     spark.conf.set("spark.sql.shuffle.partitions", "64")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for name in sizes:
+        spark.conf.set(name, "64k")
     try:
         frames = [spark.range(n).select(F.xxhash64("id").alias("k"), "id") for n in (100, 200_000)]
         few, many = (prefix_sums(f, ["k"], {"before": "id"}).rdd.getNumPartitions() for f in frames)
         assert few == 1 and many > 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for name in sizes:
+            spark.conf.unset(name)
