@@ -250,6 +250,36 @@ def test_novel_candidates_of_every_class_and_context():
     assert novel("the authors of the internationalization wrote authenticatedUserPrincipalResolver in misunderstanding") == []
 
 
+def test_shares_of_planted_secrets_and_false_spans(spark):
+    """Random keys of many classes put into given prose; and what whole documents without them report."""
+    import string
+    import uuid
+
+    def novel(text):
+        return [(s, e) for s, e, _ in secret_scan.novel_spans(text, secret_scan.base_spans(text), 0.85, 64, 512)]
+    texts = [r.text or "" for r in table(spark, "/root/testdata/sf0.1", "documents").collect()]
+    found = [t[s:e] for t in texts for s, e in novel(t)]
+    assert len(texts) == 10_000 and len(found) <= 2, found
+    rng = random.Random(5)
+    plain = string.ascii_letters + string.digits
+    marks = plain + "!#$%&*+-./:=?@^_|~"
+    prose = [t for t in texts if len(t) > 400][:300]
+
+    def key(alphabet, *sizes):
+        return lambda: ".".join("".join(rng.choices(alphabet, k=k)) for k in sizes)
+    kinds = {"letters and digits": key(plain, 20), "upper hex": key("0123456789ABCDEF", 32), "uuid": lambda: str(uuid.UUID(int=rng.getrandbits(128))),
+             "lower": key(string.ascii_lowercase, 12), "digits": key(string.digits, 14), "marks 12": key(marks, 12), "marks 16": key(marks, 16),
+             "marks 24": key(marks, 24), "dotted": key(plain, 8, 10, 12)}
+    for name, make in kinds.items():
+        hit = 0
+        for text in prose:
+            token, at = make(), text.find(" ", 200)
+            before = text[:at] + " the credential is "
+            spans = novel(f"{before}{token} {text[at:]}")  # marks at its ends may be taken for the sentence's
+            hit += any(len(before) <= s and e <= len(before) + len(token) and e - s >= len(token) - 3 for s, e in spans)
+        assert hit >= 0.95 * len(prose), (name, hit / len(prose))
+
+
 @pytest.mark.parametrize("name", ["op2_chat_formatting", "op5_exact_dedup", "op7_embedding_dedup"])
 def test_queries_match_their_sql(spark, name):
     from usagelens.llm.oracle import ORACLE

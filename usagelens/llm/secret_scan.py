@@ -1,15 +1,18 @@
 """Secret scan: fixed patterns, and strings that a primed compressor finds new.
 
 The patterns (``assign``, ``access``, ``hex``) give the base spans. On top,
-every token of 12 characters or more in a sensitive context is compressed with
-zstandard, primed with the code around it and a dictionary of common
-identifiers: the marginal bytes, over the token's length, are its novelty. A
-token made of known words is cheap; a random one costs its whole length. Long
-tokens are measured in pieces too short for entropy coding, so that only
-repeats, not a small alphabet, make them cheap; a token's own copies nearby do
-not prime it. To the compressor a rare word of prose is as new as a key, so a
-token must also hold enough pairs of characters that ordinary words do not.
-Novel tokens that no base span holds whole are reported as ``novel``.
+every run of 12 or more characters other than space, brackets and quotes in a
+sensitive context is compressed with zstandard, primed with the code around it
+and a dictionary of common identifiers: the marginal bytes, over the token's
+length, are its novelty. A token made of known words is cheap; a random one
+costs its whole length. Long tokens are measured in pieces too short for
+entropy coding, so that only repeats, not a small alphabet, make them cheap; a
+token's own copies nearby do not prime it. To the compressor a rare word of
+prose is as new as a key, so a token that consists of words for at least half
+(runs of letters such as prose and identifiers have) must also hold enough
+pairs of letters that ordinary words do not; digits, marks and mixed cases
+need no such proof. Novel tokens that no base span holds whole are reported as
+``novel``.
 """
 from __future__ import annotations
 
@@ -35,14 +38,20 @@ _ASSIGN = re.compile("(?:%s|%s_?%s)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-
 # a failing run of these two can hold no other match, so the least length may stand in the pattern
 _ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 _HEX = re.compile("[0-9a-f]{16,}")
-_TOKEN = re.compile("[A-Za-z0-9+/_-]{12,}=*")
+_TOKEN = re.compile(r"""(?![.,;:!?*'\-]+(?:\s|$))[^\s"`'<>()\[\]{},;]{12,}""")
+_NAME = re.compile(r"(?:[A-Za-z]?[a-z]{2,}|[A-Z]{3,})(?:[_.-](?:[A-Za-z]?[a-z]{2,}|[A-Z]{3,}))*[=:]+")
+_NUMBERS = re.compile(r"\+?\d{1,4}(?:[./:_-]\d{1,4})+")
+#: What a candidate loses at its ends: marks of the sentence or line around it.
+_FRONT, _BACK = re.compile(r"(?:([^\w\s])\1+)?"), re.compile(r"(?:([^\w\s=])\1+|[.:!?])?$")
+#: Runs of letters as in prose and identifiers; a token of which they make up half is taken for words.
+_WORDY = re.compile(r"[A-Z]?[^\W\d_A-Z]{3,}|[A-Z]{4,}")
 _SENSITIVE = re.compile("|".join(map(_either, (
     "secret", "token", "passw", "passphrase", "credential", "apikey", "api_key", "api-key", "private", "auth", "bearer", "signature"))))
 _WORDS = re.compile(r"[^\W_]")
 #: Characters measured at once: from 64 on zstandard codes literals by their entropy. ``OWN``: characters of a token that prime its next piece.
 PIECE, OWN = 63, 512
 #: Share of unknown pairs of characters from which a token is no ordinary word.
-STRANGE = 0.25
+STRANGE = 0.3
 #: Words that code and configuration are made of; fixed values that prime the compressor.
 IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
@@ -68,7 +77,8 @@ def pairs(word: str) -> set[str]:
 
 _KNOWN_PAIRS = frozenset().union(*(pairs(w) for w in re.findall("[a-z]+", IDENTIFIERS.decode())[1:]))
 #: Words shorter than any candidate, in lower case but for the first letter.
-_ORDINARY = re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z][a-z]{1,10}(?![A-Za-z0-9+/_=-])")
+_ORDINARY = re.compile(r"(?<![\w+/=-])[^\W\d_][^\W\d_A-Z]{1,10}(?![\w+/=-])")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def novelty(token: str, around: str) -> float:
@@ -105,11 +115,40 @@ def _around(text: str, s: int, e: int, reach: int, around: int) -> str:
     return left[max(0, len(left) - around):] + " " + right[:around]
 
 
+def wordy(token: str) -> bool:
+    """Whether runs of letters such as words have make up half of the token."""
+    return 2 * sum(map(len, _WORDY.findall(token))) >= len(token)
+
+
 def strangeness(token: str, around: str) -> float:
-    """Share of the token's character pairs, in any case, that stand in no identifier and in no ordinary word of ``around``."""
+    """Share of the token's pairs of letters, in any case, that stand in no identifier and in no ordinary word of ``around``."""
     known = _KNOWN_PAIRS.union(*(pairs(w.lower()) for w in _ORDINARY.findall(around)))
-    found = [token[i:i + 2].lower() for i in range(len(token) - 1)]
-    return sum(p not in known for p in found) / len(found)
+    found = [run[i:i + 2].lower() for run in _LETTERS.findall(token) for i in range(len(run) - 1)]
+    return sum(p not in known for p in found) / max(len(found), 1)
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Runs of 12 or more characters that may be a secret, without a sentence's mark or repeated marks around them (8 at least are left).
+
+    What an assignment or a label puts before it (``name=``, ``name:``) is cut
+    off. Long parts joined by dots are candidates of their own; words are
+    12 characters at least; dates, addresses and other short groups of digits
+    are none.
+    """
+    out = []
+    for m in _TOKEN.finditer(text):
+        s, e = m.span()
+        name = _NAME.match(text, s, e)
+        s = _FRONT.match(text, name.end() if name else s, e).end()
+        e = s + _BACK.search(text[s:e]).start()
+        parts = text[s:e].split(".")
+        if len(parts) > 1 and min(map(len, parts)) >= 12:
+            for part in parts:
+                out.append((s, s + len(part)))
+                s += len(part) + 1
+        elif e - s >= (12 if wordy(text[s:e]) else 8) and not _NUMBERS.fullmatch(text, s, e):
+            out.append((s, e))
+    return out
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach: int, around: int) -> list[tuple[int, int, str]]:
@@ -126,7 +165,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach
     breaks = [m.start() for m in re.finditer("\n", text)]
     starts = [s for s, _, _ in base]
     reached = [0, *accumulate((e for _, e, _ in base), max)]  # how far the first k base spans reach
-    tokens = [m.span() for m in _TOKEN.finditer(text)]
+    tokens = candidates(text)
     sensitive = []
     for s, e in tokens:
         line = bisect_left(breaks, s)
@@ -142,7 +181,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], least: float, reach
     for (s, e), near in zip(tokens, sensitive):
         if near and reached[bisect_right(starts, s)] < e:
             seen = _around(text, s, e, reach, around)
-            if novelty(text[s:e], seen) >= least and strangeness(text[s:e], seen) >= STRANGE:
+            if novelty(text[s:e], seen) >= least and (not wordy(text[s:e]) or strangeness(text[s:e], seen) >= STRANGE):
                 out.append((s, e, "novel"))
     return out
 
