@@ -161,16 +161,24 @@ def test_near_vectors(spark, cell, monkeypatch):
     assert got == brute.near_vectors(rows)
 
 
-def test_near_vectors_recall_on_given_rows(spark):
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("label in (2, 3)")
-    rows = frame.collect()
+@pytest.mark.parametrize("depth", [1, 2])
+def test_near_vectors_recall_in_large_labels(spark, depth):
+    """Planted pairs at cosines from 0.98 to 0.999 amid unrelated vectors, in labels of the size that has this depth."""
+    rng = np.random.default_rng(22)
+    dim, rows, want = 64, [], 0
+    for label in (2, 3):
+        alone = 1500 if depth == 1 else 2300
+        a, b = embeddings.units(rng.normal(size=(200, dim))), rng.normal(size=(200, dim))
+        b = embeddings.units(b - (b * a).sum(1)[:, None] * a)
+        near = rng.uniform(0.9801, 0.999, 200)[:, None]
+        x = np.concatenate([rng.normal(size=(alone, dim)), a, near * a + np.sqrt(1 - near ** 2) * b])
+        assert embeddings.depth_of(len(x), dim) == depth
+        unit = embeddings.units(x)
+        want += int((unit @ unit.T >= 0.98).sum()) - len(x)
+        rows += [(len(rows) + i, [float(v) for v in r], label) for i, r in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
     got = sum(r.n_links for r in embeddings.near_vectors(frame).collect())
-    want = 0
-    for lab in (2, 3):
-        x = np.array([r.embedding for r in rows if r.label == lab], float)
-        x /= np.linalg.norm(x, axis=1)[:, None]
-        want += int((x @ x.T >= 0.98).sum()) - len(x)
-    assert want > 400 and 0.99 * want <= got <= want
+    assert want >= 800 and 0.99 * want <= got <= want
 
 
 @pytest.mark.parametrize("depth", [3, 4])
@@ -374,9 +382,35 @@ def test_mix_edges(spark):
     got = mixing.taken(sizes, plan).collect()
     assert len(got) == 5 and {r.target for r in got if r.size == 0 and r.doc_id == 3} == {0.0}
     assert all(r.taken <= 2 * r.size for r in got)
-    assert mixing.mixed_documents(spark.createDataFrame(rows, ddl), plan).columns == ["doc_id", "text", "source", "place", "size"]
+    assert mixing.mixed_documents(spark.createDataFrame(rows, ddl), plan, (1, 1)).columns == ["doc_id", "text", "source", "place", "size"]
     empty = mixing.mix(spark.createDataFrame([], ddl))
-    assert mixing.taken(*empty).count() == 0
+    assert mixing.taken(*empty).count() == 0 and mixing.parts_of(empty[1], empty[0]) == (1, 1)
+
+
+def test_mix_equals_its_words_in_any_number_of_shards(spark, monkeypatch):
+    """Taken words against a plain count of the written copies; shards and slices only deal them out."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    size = {r.doc_id: r.size for r in mixing.document_sizes(docs).collect()}
+    seen = []
+    for words, draws in ((4_000_000, 4), (20_000, 4), (5_000, 40)):
+        monkeypatch.setattr(mixing, "SHARD_WORDS", words)
+        monkeypatch.setattr(mixing, "SHARD_DRAWS", draws)
+        sizes, plan = mixing.mix(docs)
+        parts = mixing.parts_of(plan, sizes)
+        mixed = mixing.mixed_documents(docs, plan, parts).select("doc_id", F.spark_partition_id().alias("p")).collect()
+        taken = {r.doc_id: r.taken for r in mixing.taken(sizes, plan).collect()}
+        copies = {}
+        for r in mixed:
+            copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+        assert {i: size[i] * copies.get(i, 0) for i in size} == taken and max(copies.values()) <= 2
+        in_part = {}
+        for r in mixed:
+            in_part[r.p] = in_part.get(r.p, 0) + size[r.doc_id]
+        total = sum(in_part.values())
+        assert parts[0] * parts[1] >= min(total / words, 1) and len(in_part) <= parts[0] * parts[1]
+        assert max(in_part.values()) <= 6 * max(total / (parts[0] * parts[1]), max(size.values()))
+        seen.append((taken, parts))
+    assert seen[0][0] == seen[1][0] == seen[2][0] and seen[0][1] == (1, 1) and seen[1][1][0] > 4 and seen[2][1][1] > 1
 
 
 # ---- pipeline

@@ -9,7 +9,8 @@ of documents that comes closest. So each source has an exact quota of block draw
 the quotas among output shards: every node hands half of its shards their
 share of the draws, the sources of which follow the multivariate
 hypergeometric law; the leaves' quotas cut each source's permuted draws into
-disjoint ranges. Within a shard the documents are in hash order.
+disjoint ranges. Within a shard the documents are in hash order. The number of
+shards follows from the words that are drawn.
 """
 from __future__ import annotations
 
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from usagelens.llm.common import numbered, rows_of, small, text_or_empty, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
+#: Drawn words that make a shard (about 32 MB of text); draws of blocks that a shard has on average, at least.
+SHARD_WORDS, SHARD_DRAWS = 4_000_000, 4
 SPEC = "place int, source string, source_size long, target double, blocks long, whole int, rest double"
 
 
@@ -74,15 +77,17 @@ def document_sizes(docs: DataFrame) -> DataFrame:
                     words.alias("size"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0, shards: int = 64,
-        seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0,
+        shards: int | None = None, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """(sizes, plan) of the mix of ``docs`` (doc_id, source, text).
 
     sizes: one row per document (rid, doc_id, source, size, source_size,
     target). plan: one row per drawn copy (rid, doc_id, copy, shard, key): shard it
     goes to and its place there. Null text has size 0; a null source is one
     of its own, last; null and repeated doc_ids are documents of their own;
-    other columns are not read; an empty table gives empty frames. Sources
+    other columns are not read; an empty table gives empty frames. ``shards``
+    follow from the drawn words if not given, and from the draws of blocks,
+    of which each needs some (see :func:`parts_of` for the texts). Sources
     without words have target 0 and are not drawn. The choice depends on
     doc_id, size and ``seed`` (ties: place in the table), so reruns agree.
 
@@ -123,6 +128,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
             first_draw.append((i, p, done))
             done += per_pass.get((i, p), 0)
         quotas.append(done)
+    shards = shards or max(1, min(math.ceil(sum(goal) / SHARD_WORDS), sum(quotas) // SHARD_DRAWS))
     ends = np.cumsum(split_quotas(quotas, shards, seed), axis=1)
     shard_ends = spark.createDataFrame([(i, p, d, ends[i].tolist()) for i, p, d in first_draw],
                                        "place int, pass int, first long, ends array<long>")
@@ -171,7 +177,23 @@ def taken(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.coalesce("copies", F.lit(0))).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The drawn copies with all columns of ``docs`` (a table as read), shard by shard in hash order."""
+def parts_of(plan: DataFrame, sizes: DataFrame) -> tuple[int, int]:
+    """(shards, slices): the shards of a plan, and the slices by ``key`` that bring each to about ``SHARD_WORDS``."""
+    words = sizes.groupBy("source").agg(F.max("target").alias("target")).agg(F.sum("target")).first()[0] or 0.0
+    shards = (plan.agg(F.max("shard")).first()[0] or 0) + 1
+    return shards, max(1, math.ceil(words / SHARD_WORDS / shards))
+
+
+def mixed_documents(docs: DataFrame, plan: DataFrame, parts: tuple[int, int]) -> DataFrame:
+    """The drawn copies with all columns of ``docs`` (a table as read), shard by shard in hash order.
+
+    Every slice of a shard is a partition of its own (``parts`` as
+    :func:`parts_of` gives them), so no two shards meet in one task and the
+    size of a task does not grow with the input.
+    """
+    shards, slices = parts
     found = rows_of(docs, plan, "shard", "key")
-    return found.repartition("shard").sortWithinPartitions("shard", "key", "rid").select("doc.*")
+    # keys are spread evenly over 64 bits: the upper ones tell the slice
+    slice_ = F.least(F.floor((F.col("key").cast("double") / 2.0 ** 64 + 0.5) * slices), F.lit(slices - 1))
+    return (found.repartitionById(shards * slices, (F.col("shard") * slices + slice_).cast("int"))
+            .sortWithinPartitions("shard", "key", "rid").select("doc.*"))
