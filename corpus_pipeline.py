@@ -38,8 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: a row per drawn copy, shard by shard; documents that are not drawn go, others may come twice."""
-    _, plan = mixing.mix(docs)
-    return mixing.mixed_documents(docs, plan)
+    sizes, plan = mixing.mix(docs)
+    return mixing.mixed_documents(docs, plan, mixing.parts_of(plan, sizes))
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
