@@ -52,7 +52,7 @@ def test_median_of_all_distinct_values(spark, n):
 
 def test_median_with_ties(spark):
     for values in ([1.0] * 9 + [2.0] * 9, [3.0] * 50, [1.0, 2.0, 2.0, 100.0] * 25 + [-5.0]):
-        got = clean.median_of(spark.createDataFrame([(v,) for v in values], "d double"), "d", buckets=4).first()[0]
+        got = clean.median_of(spark.createDataFrame([(v,) for v in values], "d double"), "d", accuracy=1000).first()[0]
         assert got == statistics.median(values)
 
 

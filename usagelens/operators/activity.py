@@ -12,9 +12,9 @@ from usagelens.functions import month_start
 def user_day(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct (user_id, date) pairs with a session (null times dropped).
 
-    Computed once and reused by DAU, cohorts, anomalies and forecasts. The
-    distinct combines map-side, so a very active user is reduced before
-    the shuffle.
+    The distinct combines map-side, so a very active user is reduced before
+    the shuffle. Each use computes it anew; ``rollup.day_bitmaps`` is the form
+    to write once and share.
     """
     return (sessions.where(F.col("session_time").isNotNull() & F.col("user_id").isNotNull())
             .select(*by, "user_id", F.to_date("session_time").alias("date"))

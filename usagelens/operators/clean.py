@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions import keep_first
@@ -22,32 +22,38 @@ def clean_users(users: DataFrame, order_by: Sequence[str | Column] = USERS_ORDER
     return u.withColumn("country", F.coalesce("country", F.lit("Unknown")))
 
 
-def median_of(df: DataFrame, col: str, exact: bool = True, buckets: int = 256) -> DataFrame:
+def median_of(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """One-row frame holding the median of ``col`` (nulls ignored).
 
-    NaN counts as null. The exact form counts each distinct value (combined
-    map-side), cuts the values into buckets at approximate quantiles, adds the
-    bucket totals up (``buckets`` rows) and looks for the one or two middle
-    values only in the buckets that hold them, so no task sees more than a
-    bucket's distinct values. ``exact=False`` uses ``percentile_approx``.
+    NaN counts as null. The exact form takes two approximate quantiles that
+    surely enclose the median (a sketch's rank is off by at most
+    1/``accuracy`` of the rows, and they lie twice that away on either side),
+    counts the rows below the lower one, and orders only the distinct values
+    between them: some 6/``accuracy`` of the values meet in one task, all else
+    is partial aggregates whose parallelism follows the rows. A bracket that
+    does not hold the middle raises an error. ``exact=False`` uses
+    ``percentile_approx``.
     """
     known = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     if not exact:
         return known.agg(F.percentile_approx("v", 0.5, 10000).alias("_median"))
-    hist = known.groupBy("v").agg(F.count("*").alias("c"))
-    bounds = hist.agg(F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10000).alias("b")).scalar()
-    hist = hist.withColumn("b", bounds).select(
-        "v", "c", F.size(F.filter("b", lambda x: x < F.col("v"))).alias("bucket"))
-    by_bucket = Window.orderBy("bucket")
-    totals = hist.groupBy("bucket").agg(F.sum("c").alias("in")).select(
-        "bucket", (F.sum("in").over(by_bucket) - F.col("in")).alias("before"), F.sum("in").over(by_bucket).alias("upto"),
-        F.sum("in").over(Window.partitionBy(F.lit(0))).alias("n"))
-    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
-    middle = totals.where(low.between(F.col("before") + 1, F.col("upto")) | high.between(F.col("before") + 1, F.col("upto")))
-    near = hist.join(middle.select("bucket", "before", low.alias("low"), high.alias("high")), "bucket").withColumn(
-        "last", F.col("before") + F.sum("c").over(Window.partitionBy("bucket").orderBy("v")))
-    at = [F.max(F.when(F.col(k).between(F.col("last") - F.col("c") + 1, F.col("last")), F.col("v"))) for k in ("low", "high")]
-    return near.agg(((at[0] + at[1]) / 2).alias("_median"))
+    ends = known.agg(F.percentile_approx("v", [0.5 - 2 / accuracy, 0.5 + 2 / accuracy], accuracy).alias("ends")).scalar()
+    hist = known.groupBy("v").agg(F.count("*").alias("c")).withColumn("ends", ends)
+    inside = F.col("v").between(F.col("ends")[0], F.col("ends")[1])
+    # one row of totals and the (value, count) pairs inside the bracket, in order
+    found = hist.agg(F.sum("c").alias("n"), F.coalesce(F.sum(F.when(F.col("v") < F.col("ends")[0], F.col("c"))), F.lit(0)).alias("below"),
+                     F.array_sort(F.collect_list(F.when(inside, F.struct("v", "c")))).alias("pairs"))
+    upto = F.aggregate(
+        "pairs", F.struct(F.col("below").alias("done"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high")),
+        lambda acc, p: F.struct(
+            (acc["done"] + p["c"]).alias("done"),
+            F.coalesce(acc["low"], F.when(acc["done"] + p["c"] >= F.expr("(n + 1) div 2"), p["v"])).alias("low"),
+            F.coalesce(acc["high"], F.when(acc["done"] + p["c"] >= F.expr("n div 2 + 1"), p["v"])).alias("high")))
+    middle = found.select("n", "below", upto.alias("m"))
+    held = (F.col("below") < F.expr("(n + 1) div 2")) & F.col("m.high").isNotNull()
+    return middle.select(F.when(F.col("n").isNull(), F.lit(None).cast("double"))
+                         .when(held, (F.col("m.low") + F.col("m.high")) / 2)
+                         .otherwise(F.raise_error(F.lit("the bracket does not hold the median")).cast("double")).alias("_median"))
 
 
 def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER) -> DataFrame:

@@ -152,7 +152,7 @@ def selection(tables: dict[str, DataFrame], countries: Selection = None, plans:
     """
     metrics = tables["user_metrics"]
     if countries is None:
-        countries = default_countries(metrics)
+        countries = default_countries(tables["users"])  # every user has one metrics row, and its country
     sel = filter_metrics(metrics, countries, plans)
     return sel, window_sessions(tables["sessions"], sel, start, end)
 

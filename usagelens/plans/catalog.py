@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import round_doubles, round_half_even
-from usagelens.operators import cohorts, insights, kpis, report, segments, series
+from usagelens.operators import cohorts, insights, kpis, report, rollup, segments, series
 from usagelens.operators.activity import daily_active_users, user_day
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.plans import sqllib
@@ -71,6 +71,16 @@ def user_metrics_table(spark, sf_dir):
 
 
 # ---- SQL library -------------------------------------------------------------
+@query
+def rollup_dau(spark, sf_dir):
+    return rollup.daily_from(rollup.day_bitmaps(tables(spark, sf_dir)["sessions"]))
+
+
+@query
+def rollup_mau(spark, sf_dir):
+    return rollup.monthly_from(rollup.day_bitmaps(tables(spark, sf_dir)["sessions"]))
+
+
 @query
 def sql_dau(spark, sf_dir):
     return sqllib.sql_dau(spark, tables(spark, sf_dir)["sessions"])

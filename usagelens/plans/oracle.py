@@ -613,6 +613,9 @@ oracle("mau", """
 SELECT CAST(date_trunc('month', session_time) AS DATE) AS activity_month, count(DISTINCT user_id) AS mau
 FROM c_sessions GROUP BY 1""")
 
+oracle("rollup_dau", "SELECT CAST(session_time AS DATE) AS date, count(DISTINCT user_id) AS dau FROM c_sessions"
+       " WHERE session_time IS NOT NULL GROUP BY 1")
+oracle("rollup_mau", FINAL["mau"])
 _fold_ctes("plan_dau", ["plans"])
 oracle("dau_forecast_by_plan", _forecast("plan_dau", ["plans"]))
 

@@ -6,12 +6,15 @@ later stages start from files instead of re-running the cleaning lineage.
 """
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import attach
 from usagelens.operators import clean as C
-from usagelens.operators import cohorts, insights, kpis, ml, segments, series
+from usagelens.operators import cohorts, insights, kpis, ml, rollup, segments, series
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.sources import io
 
@@ -72,12 +75,18 @@ def summary(t: dict[str, DataFrame], model: ml.LinearModel | ml.TreeModel, impor
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
-        backend: str = "logreg", lookback_weeks: int = 12) -> dict[str, str]:
-    """Run everything and write the artifacts under ``out``; returns their paths.
+        backend: str = "logreg", lookback_weeks: int = 12, fmt: str = "parquet") -> dict[str, str]:
+    """Run everything and write the artifacts to a folder of this run under ``out``; returns their paths.
 
     The four clean tables are written first and ``user_metrics`` is folded
-    from the written files, so no later step repeats the cleaning lineage.
+    from the written files, so no later step repeats the cleaning lineage. The
+    daily user bitmaps are written once, by month, and daily and monthly users,
+    anomalies and forecast read them. ``fmt``: parquet or csv, for the tabular
+    artifacts. The manifest comes last: ``io.published(spark, out)`` finds the
+    run only when all of it stands.
     """
+    base, run_id = out.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    out = f"{base}/runs/{run_id}"
     clean = process(raw, as_of)
     paths = io.write_all({k: clean[k] for k in ("users", "sessions", "events", "payments")},
                          f"{out}/processed")
@@ -89,17 +98,27 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
     art = f"{out}/artifacts"
     written = {}
     written["cohort_retention"] = io.write_table(
-        cohorts.cohort_retention_wide(t["sessions"], lookback_weeks), art, "cohort_retention")
-    anomalies = series.detect_dau_anomalies(t["sessions"])
-    written["dau_anomalies"] = io.write_table(anomalies, art, "dau_anomalies")
-    forecast = series.forecast_dau(t["sessions"])
-    written["dau_forecast"] = io.write_table(forecast, art, "dau_forecast")
+        cohorts.cohort_retention_wide(t["sessions"], lookback_weeks), art, "cohort_retention", fmt)
+    written["day_bitmaps"] = io.write_table(rollup.day_bitmaps(t["sessions"]), art, "day_bitmaps", partition_by=["month"])
+    days = spark.read.parquet(written["day_bitmaps"])
+    daily = rollup.daily_from(days)
+    written["dau"] = io.write_table(daily, art, "dau", fmt)
+    written["mau"] = io.write_table(rollup.monthly_from(days), art, "mau", fmt)
+    # both are bounded by the days: written as parquet for the summary, and in the format asked for
+    anomalies = series.zscore_anomalies(daily).select("date", "dau", "z_score", "is_anomaly")
+    forecast = series.ses_forecast(daily)
+    for name, frame in (("dau_anomalies", anomalies), ("dau_forecast", forecast)):
+        written[name] = io.write_table(frame, art, name)
+        if fmt != "parquet":
+            written[f"{name}_{fmt}"] = io.write_table(spark.read.parquet(written[name]), art, name, fmt)
 
     feats = ml.prepare_ml_features(t["user_metrics"])
     model = ml.train_churn_model(feats, backend)
     model.save(f"{art}/churn_pipeline", spark)
     written["churn_scored"] = io.write_table(ml.score(model, feats), art, "churn_scored")
     scored = spark.read.parquet(written["churn_scored"])
+    if fmt != "parquet":
+        written[f"churn_scored_{fmt}"] = io.write_table(scored, art, "churn_scored", fmt)
     written["churn_auc"] = io.write_table(ml.roc_auc(scored), art, "churn_auc")
     written["churn_report"] = io.write_table(ml.classification_report(scored), art, "churn_report")
     importance = ml.feature_importance(model, feats)
@@ -114,6 +133,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
         summary(t, model, importance, spark.read.parquet(written["dau_anomalies"]),
                 spark.read.parquet(written["dau_forecast"]), notes), f"{art}/analytics_summary")
     written["insights"] = io.write_insights_text(notes, f"{art}/insights")
+    io.publish(spark, base, run_id, {**paths, **written})
     return {**paths, **written}
 
 
@@ -128,7 +148,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap = argparse.ArgumentParser(description="clean, fold, analyse, train and summarise")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf-dir", help="driver test tables, mapped by sources/fixtures.py")
-    src.add_argument("--raw-dir", help="users/sessions/events/payments as parquet (declared schemas)")
+    src.add_argument("--raw-dir", help="users/sessions/events/payments (declared schemas)")
+    ap.add_argument("--raw-format", default="parquet", choices=["parquet", "csv"], help="of the tables in --raw-dir")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="of the tabular artifacts")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--as-of", default=fixtures.AS_OF, help="the 'now' of the run")
     ap.add_argument("--backend", default="logreg", choices=["logreg", "gbt"])
@@ -138,9 +160,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if args.sf_dir:
         raw = fixtures.raw_tables(spark, args.sf_dir)
     else:
-        raw = {name: io.read_table(spark, args.raw_dir, name)
+        raw = {name: io.read_table(spark, args.raw_dir, name, args.raw_format)
                for name in ("users", "sessions", "events", "payments")}
-    paths = run(spark, raw, args.out, args.as_of, args.backend)
+    paths = run(spark, raw, args.out, args.as_of, args.backend, fmt=args.format)
     print(json.dumps(paths, indent=2))
     return paths
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from usagelens.sources.schemas import SCHEMAS, conform
 
 log = logging.getLogger(__name__)
+CSV_TIME_IN, CSV_TIME_OUT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _path(root: str, name: str, fmt: str) -> str:
@@ -32,18 +34,41 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     schema = schema or SCHEMAS.get(name)
     if fmt == "csv":
         # a cell that does not fit its column stops the read instead of turning into a null
-        r = spark.read.option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        r = spark.read.option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", CSV_TIME_IN)
         return r.schema(schema).csv(_path(root, name, fmt)) if schema else r.csv(_path(root, name, fmt))
     df = spark.read.parquet(_path(root, name, fmt))
     return conform(df, schema) if schema else df
 
 
+BAD_ROW = "_bad_row"
+
+
+def split_csv(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """IO2 / IO3: (good, bad) rows of a CSV table: those that fit the declared schema, and the others as they stand.
+
+    bad: (table, line). Both read the file; write ``bad`` to a side table and
+    count it, so one bad cell neither stops a run nor turns into a null.
+    """
+    schema = schema or SCHEMAS[name]
+    wide = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+            .option("timestampNTZFormat", CSV_TIME_IN).schema(wide).csv(_path(root, name, "csv")))
+    # every query names all columns, so that the reader parses the whole line before it is judged
+    whole = F.to_json(F.struct(*schema.names))
+    good = rows.where(F.col(BAD_ROW).isNull() & (F.length(whole) >= 0)).select(*schema.names)
+    bad = rows.where(F.col(BAD_ROW).isNotNull()).select(F.lit(name).alias("table"), F.coalesce(F.col(BAD_ROW), whole).alias("line"))
+    return good, bad
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists on the session's file system (JVM Hadoop API)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """True when Spark finds ``path`` on the session's file system (analysis only, no job)."""
+    try:
+        spark.read.format("binaryFile").load(path).schema
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_optional(spark: SparkSession, root: str, name: str, schema: T.StructType,
@@ -62,7 +87,7 @@ def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+        w.option("header", True).option("timestampNTZFormat", CSV_TIME_OUT).csv(path)
     else:
         w.parquet(path)
     return path
@@ -107,6 +132,7 @@ def write_json_record(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Fixed value: the line that stands for no insight.
 FALLBACK_INSIGHT = "Insights will populate after pipeline runs with richer data."
 
 
@@ -133,12 +159,31 @@ IMPORTANCE_SCHEMA = T.StructType([
 
 
 def read_importance(spark: SparkSession, path: str) -> DataFrame:
-    """IO13: read the importance CSV back; first column is the feature name,
-    columns are put in a fixed order and nulls become 0."""
-    raw = spark.read.option("header", True).csv(path)
-    first = raw.columns[0]
-    df = raw.withColumnRenamed(first, "feature")
-    cols = [F.col("feature")] + [
-        (F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")).alias(c)
-        for c in ("model_importance", "permutation_importance")]
-    return df.select(*cols).na.fill(0.0)
+    """IO13: read the importance CSV back with its declared schema; nulls become 0.
+
+    A cell that is no number stops the read; the first column is the feature's
+    name, whatever its header says.
+    """
+    return (spark.read.option("header", True).option("enforceSchema", True).option("mode", "FAILFAST")
+            .schema(IMPORTANCE_SCHEMA).csv(path).na.fill(0.0))
+
+
+# ---- runs that appear whole or not at all
+def publish(spark: SparkSession, out: str, run_id: str, paths: dict[str, str]) -> None:
+    """Write the manifest of a finished run, the last thing it does: (run, name, path) rows in a folder of its own.
+
+    Manifests are only ever added, so a reader sees a run whole or not at
+    all, and a run that ends early changes nothing that a reader finds.
+    """
+    rows = spark.createDataFrame([(run_id, name, path) for name, path in sorted(paths.items())], "run string, name string, path string")
+    rows.coalesce(1).write.mode("error").parquet(f"{out.rstrip('/')}/manifests/{run_id}")
+
+
+def published(spark: SparkSession, out: str) -> dict[str, str]:
+    """{name: path} of the latest published run under ``out`` (by run id; empty if there is none)."""
+    folder = f"{out.rstrip('/')}/manifests"
+    if not path_exists(spark, folder):
+        return {}
+    found = spark.read.schema("run string, name string, path string").option("recursiveFileLookup", True).parquet(folder)
+    last = found.agg(F.max("run")).first()[0]
+    return {r["name"]: r["path"] for r in found.where(F.col("run") == F.lit(last)).collect()}
