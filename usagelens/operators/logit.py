@@ -1,14 +1,16 @@
 """Logistic regression by Newton's method on aggregated Gram matrices.
 
-Each step is one aggregate over all rows: the loss, the gradient and the
-upper triangle of the weighted Gram matrix (a fixed number of sums). The
-driver solves a system of one unknown per feature and the intercept.
+Each step is one pass over all rows: every task adds up the loss, the gradient
+and the upper triangle of the weighted Gram matrix (a fixed number of sums) in
+Arrow batches, and one aggregate adds up the tasks. The driver solves a system
+of one unknown per feature and the intercept.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,23 +33,30 @@ def newton_logit(rows: DataFrame, columns: Sequence[str], label: str, penalty: f
     the last bits of the sums. Without rows all parameters are 0. Eager: about
     ten aggregates over ``rows``, which should be a table.
     """
-    size = len(columns) + 1
-    x = [*[F.col(c) for c in columns], F.lit(1.0)]
-    y = F.col(label).cast("double")
+    size, names = len(columns) + 1, list(columns)
     upper = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = [f"s{i}" for i in range(1 + size + len(upper))]
+    # the parameters travel with the function, so every step runs the same compiled aggregate
+    given = rows.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(label).cast("double").alias("_y"))
 
     def at(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        m = margin_of(x[:-1], beta[:-1], beta[-1])
-        p = rows.select(*columns, y.alias("y"), m.alias("m")).withColumn("p", 1 / (1 + F.exp(-F.col("m"))))
-        p = p.withColumn("v", F.col("p") * (1 - F.col("p"))).withColumn("r", F.col("p") - F.col("y"))
-        # log(1 + exp(m)) - y * m without overflow
-        loss = F.log1p(F.exp(-F.abs("m"))) + F.greatest("m", F.lit(0.0)) - F.col("y") * F.col("m")
-        sums = p.agg(F.sum(loss), *[F.sum(F.col("r") * c) for c in x], *[F.sum(F.col("v") * x[i] * x[j]) for i, j in upper]).first()
-        sums = [float(s or 0.0) for s in sums]
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(sums))
+            for b in batches:
+                x = np.column_stack([*[b.column(c).to_numpy(zero_copy_only=False) for c in names], np.ones(b.num_rows)])
+                y, m = b.column("_y").to_numpy(zero_copy_only=False), x @ beta
+                small = np.exp(-np.abs(m))  # no overflow on either side
+                p = np.where(m >= 0, 1 / (1 + small), small / (1 + small))
+                gram = x.T @ (x * (p * (1 - p))[:, None])
+                total += np.r_[(np.log1p(small) + np.maximum(m, 0) - y * m).sum(), x.T @ (p - y), [gram[i, j] for i, j in upper]]
+            yield pa.RecordBatch.from_arrays([pa.array([t]) for t in total], names=sums)
+
+        parts = given.mapInArrow(run, ", ".join(f"{s} double" for s in sums))
+        found = [float(s or 0.0) for s in parts.agg(*[F.sum(s) for s in sums]).first()]
         gram = np.zeros((size, size))
-        for (i, j), s in zip(upper, sums[1 + size:]):
+        for (i, j), s in zip(upper, found[1 + size:]):
             gram[i, j] = gram[j, i] = s
-        return (sums[0] + penalty * float(beta @ beta) / 2, np.array(sums[1:1 + size]) + penalty * beta,
+        return (found[0] + penalty * float(beta @ beta) / 2, np.array(found[1:1 + size]) + penalty * beta,
                 gram + penalty * np.eye(size))
 
     beta = np.zeros(size)

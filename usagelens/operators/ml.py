@@ -165,7 +165,8 @@ def load_model(spark: SparkSession, path: str) -> LinearModel | TreeModel:
     return LinearModel(stats, tuple(record["coefficients"]), record["intercept"])
 
 
-def train_churn_model(features: DataFrame, backend: str = "logreg", rounds: int = 160, seed: int = 42) -> LinearModel | TreeModel:
+def train_churn_model(features: DataFrame, backend: str = "logreg", rounds: int = 160, seed: int = 42,
+                      stored: bool = False) -> LinearModel | TreeModel:
     """ML3 / ML3b: fit on all rows.
 
     logreg: features standardised with the population sd; minimises
@@ -175,10 +176,11 @@ def train_churn_model(features: DataFrame, backend: str = "logreg", rounds: int
     0.08, row and feature sampling 0.9, lambda 1.
 
     The result depends on data and arguments, not on the layout of the input.
-    Eager: the features are written once, then every pass reads that table.
+    Eager: the features are written once, unless they are ``stored`` (a
+    table already), then every pass reads that table.
     """
     ship(features.sparkSession)
-    held = written(features.select("user_id", *FEATURES, LABEL))
+    held = features if stored else written(features.select("user_id", *FEATURES, LABEL))
     if backend == "gbt":
         return TreeModel(boost(held, FEATURES, LABEL, "user_id", rounds=rounds, seed=seed))
     stats = scaler_stats(held)

@@ -17,6 +17,7 @@ from usagelens.operators import cohorts, insights, kpis, report, rollup, segment
 from usagelens.operators.activity import daily_active_users, user_day
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.plans import sqllib
+from usagelens.session import written
 from usagelens.sources import fixtures as fx
 
 DIGITS = 4
@@ -331,9 +332,10 @@ def report_forecast_tail(spark, sf_dir):
 
 # ---- churn model: Newton's fit (oracle: the same steps in SQL); boosted trees have no SQL form ----
 def _model(spark, sf_dir, backend="logreg"):
+    """(ml, features, model); the features are written once, for the fit and for all that follows."""
     from usagelens.operators import ml
-    feats = ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"])
-    return ml, feats, ml.train_churn_model(feats, backend)
+    feats = written(ml.prepare_ml_features(tables(spark, sf_dir)["user_metrics"]))
+    return ml, feats, ml.train_churn_model(feats, backend, stored=True)
 
 
 def _scored(spark, sf_dir):
