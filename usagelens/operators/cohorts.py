@@ -7,6 +7,27 @@ from pyspark.sql import functions as F
 from usagelens.functions import week_start
 
 
+#: A Monday: weeks are numbered from it, and 63 of them are the bits of one mask.
+ORIGIN = "1970-01-05"
+BITS = 63
+
+
+def activity_masks(sessions: DataFrame) -> DataFrame:
+    """(user_id, word, mask): a user's active weeks as bits; bit b of word w is week 63 w + b from ``ORIGIN``.
+
+    Sessions without a user or a time count nowhere. Masks are longs merged by
+    OR in a hash aggregate, map-side first, so a very active user is a few rows
+    before the shuffle; a span of any length is as many words as it needs.
+    """
+    days = F.datediff(week_start(F.col("session_time")), F.lit(ORIGIN).cast("date"))
+    known = (sessions.where(F.col("session_time").isNotNull() & F.col("user_id").isNotNull())
+             .select("user_id", days.alias("days")))  # whole weeks, before the origin too
+    bit = F.pmod(F.expr("days div 7"), F.lit(BITS))
+    word = F.expr(f"(days div 7 - pmod(days div 7, {BITS})) div {BITS}")
+    return (known.select("user_id", word.cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int")).alias("bit"))
+            .groupBy("user_id", "word").agg(F.bit_or("bit").alias("mask")))
+
+
 def cohort_retention_long(sessions: DataFrame, lookback_weeks: int = 12) -> DataFrame:
     """(cohort_week, week_offset, active_users, retention), observed cells only.
 
@@ -14,24 +35,29 @@ def cohort_retention_long(sessions: DataFrame, lookback_weeks: int = 12) -> Data
     whole weeks since then, kept when 0 <= offset < lookback_weeks;
     retention = active users / cohort size (active users at offset 0).
 
-    Plan: one shuffle on user_id gathers each user's distinct active weeks
-    (a set bounded by the calendar span, combined map-side), the first week
-    is the array minimum, and the second, tiny aggregation counts users per
-    (cohort, offset). The cohort-size window runs on that aggregate only.
+    Plan: masks of active weeks per user (:func:`activity_masks`), the first
+    week as a minimum over a user's few words, then one sum per offset and
+    cohort: no sets, and no row per user and week.
     """
-    weeks = (sessions.where(F.col("session_time").isNotNull() & F.col("user_id").isNotNull())
-             .groupBy("user_id")
-             .agg(F.collect_set(week_start(F.col("session_time"))).alias("weeks")))
-    cells = (weeks.select(F.array_min("weeks").alias("cohort_week"),
-                          F.explode("weeks").alias("session_week"))
-             .select("cohort_week",
-                     (F.datediff("session_week", "cohort_week") / 7).cast("int").alias("week_offset"))
-             .where((F.col("week_offset") >= 0) & (F.col("week_offset") < lookback_weeks)))
-    counts = cells.groupBy("cohort_week", "week_offset").agg(F.count("*").alias("active_users"))
-    size = F.max(F.when(F.col("week_offset") == 0, F.col("active_users"))) \
-        .over(Window.partitionBy("cohort_week"))
-    return counts.withColumn(
-        "retention", F.coalesce(F.try_divide(F.col("active_users").cast("double"), size), F.lit(0.0)))
+    masks = activity_masks(sessions)
+    # the lowest set bit alone has as many ones below it as its place says
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - 1)
+    first = F.min(F.col("word") * BITS + lowest).over(Window.partitionBy("user_id"))
+    placed = masks.select("mask", (F.col("word") * BITS).alias("base"), first.alias("first"))
+    cells = []
+    for k in range(lookback_weeks):
+        at = F.col("first") + k - F.col("base")
+        set_ = F.call_function("shiftright", F.col("mask"), at.cast("int")).bitwiseAND(F.lit(1).cast("long"))
+        cells.append(F.sum(F.when(at.between(0, BITS - 1), set_)).alias(f"n{k}"))
+    if not cells:
+        return placed.select(F.lit(None).cast("date").alias("cohort_week"), F.lit(0).alias("week_offset"),
+                             F.lit(0).cast("long").alias("active_users"), F.lit(0.0).alias("retention")).where(F.lit(False))
+    wide = placed.groupBy("first").agg(*cells)
+    offsets = F.array(*[F.struct(F.lit(k).alias("week_offset"), F.col(f"n{k}").alias("active_users")) for k in range(lookback_weeks)])
+    counts = wide.select(F.date_add(F.lit(ORIGIN).cast("date"), F.col("first") * 7).alias("cohort_week"), F.col("n0").alias("_size"),
+                         F.inline(offsets)).where(F.col("active_users") > 0)
+    return counts.select("cohort_week", "week_offset", "active_users",
+                         F.coalesce(F.try_divide(F.col("active_users").cast("double"), F.col("_size")), F.lit(0.0)).alias("retention"))
 
 
 def cohort_retention_wide(sessions: DataFrame, lookback_weeks: int = 12) -> DataFrame:
