@@ -75,6 +75,49 @@ def ltv_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
+def user_records(metrics: DataFrame, k: int = 3) -> DataFrame:
+    """conversion, churn, ltv and top_countries side by side as structs of one row, from one read of ``metrics``.
+
+    ``metrics`` has one row per user. The figures are those of
+    :func:`conversion_rates`, :func:`churn_summary` and :func:`ltv_summary`,
+    and (country, churn_rate) of the k countries of most users. Totals and
+    countries are grouping sets of one aggregate; what is collected is one
+    small row per country.
+    """
+    known, churned, paid = F.col("user_id").isNotNull(), F.col("churn_flag"), F.col("is_paid_user")
+    folded = metrics.groupingSets([["country"], []], "country").agg(
+        F.grouping_id().alias("set"), F.count("*").alias("users"), F.count("user_id").alias("ids"),
+        F.count_if(paid & known).alias("paid"), F.count_if(F.col("sessions_total") > 5).alias("active"),
+        F.avg(churned.cast("int")).alias("churn"), F.count_if(churned).alias("churned"), F.count_if(churned & known).alias("churned_ids"),
+        F.avg("payments_total").alias("arpu"), F.avg(F.when(paid, F.col("payments_total"))).alias("paid_arpu"),
+        F.avg("renewal_rate").alias("renewal"))
+    total = ["users", "paid", "active", "churn", "arpu", "paid_arpu", "renewal"]
+    named = (F.col("set") == 0) & F.col("country").isNotNull()
+
+    def first_k(chosen, *fields):
+        return F.slice(F.array_sort(F.collect_list(F.when(named & chosen, F.struct(*fields)))), 1, k)
+
+    row = folded.agg(
+        *[F.max(F.when(F.col("set") == 1, F.col(c))).alias(c) for c in total],  # one row of the total; none without users
+        first_k(F.col("churned") > 0, (-F.col("churned_ids")).alias("n"), F.col("country")).alias("worst"),
+        first_k(F.lit(True), (-F.col("ids")).alias("n"), F.col("country"), F.col("churn")).alias("largest"))
+    zero = F.lit(0).cast("long")
+    users, paid, active = (F.coalesce(c, zero) for c in total[:3])
+    arpu = F.coalesce("arpu", F.lit(0.0))
+    return row.select(
+        F.struct(users.alias("total_users"), paid.alias("paid_users"),
+                 round_exact(paid / F.greatest(users, F.lit(1)), 4).alias("conversion_rate"),
+                 round_exact(paid / F.greatest(active, F.lit(1)), 4).alias("active_conversion_rate")).alias("conversion"),
+        F.struct(round_half_even("churn", 4).alias("global_churn_rate"),
+                 F.array_join(F.transform("worst", lambda s: s["country"]), ",").alias("top_churn_countries")).alias("churn"),
+        F.struct(round_half_even(arpu, 2).alias("arpu"),
+                 round_half_even(F.coalesce("paid_arpu", F.lit(0.0)), 2).alias("paid_arpu"),
+                 round_half_even(F.least(arpu / F.greatest("churn", F.lit(1e-6)), arpu * 24), 2).alias("estimated_ltv"),
+                 round_half_even(F.coalesce("renewal", F.lit(0.0)), 3).alias("renewal_rate_mean")).alias("ltv"),
+        F.array_sort(F.transform("largest", lambda s: F.struct(
+            s["country"].alias("country"), round_half_even(s["churn"], 3).alias("churn_rate")))).alias("top_countries"))
+
+
 def monthly_revenue(payments: DataFrame) -> DataFrame:
     """(month, revenue) summed per calendar month, in order; null dates are dropped, a month of nulls sums to 0."""
     return (payments.where(F.col("payment_date").isNotNull())

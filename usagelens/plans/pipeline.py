@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions import attach
 from usagelens.operators import clean as C
-from usagelens.operators import cohorts, insights, kpis, ml, rollup, segments, series
+from usagelens.operators import cohorts, insights, kpis, ml, rollup, series
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.sources import io
 
@@ -45,23 +45,15 @@ def _list_of(df: DataFrame, name: str, order: list) -> DataFrame:
 
 def summary_kpis(t: dict[str, DataFrame]) -> DataFrame:
     """The figures of AN14 that need no model, side by side in one row."""
-    m = t["user_metrics"]
-    out = kpis.conversion_rates(m)
-    for record in (kpis.churn_summary(m), kpis.ltv_summary(m), kpis.revenue_summary(t["payments"])):
-        out = attach(out, record)
-    return out
+    folded = kpis.user_records(t["user_metrics"]).select("conversion.*", "churn.*", "ltv.*")
+    return attach(folded, kpis.revenue_summary(t["payments"]))
 
 
 def summary(t: dict[str, DataFrame], model: ml.LinearModel | ml.TreeModel, importance: DataFrame,
             anomalies: DataFrame, forecast: DataFrame, notes: DataFrame) -> DataFrame:
     """AN14: the nested one-row summary record."""
-    m = t["user_metrics"]
-    top3 = segments.segment_by_country(m).limit(3).select("country", "churn_rate")
     parts = [
-        _struct_of(kpis.conversion_rates(m), "conversion"),
-        _struct_of(kpis.churn_summary(m), "churn"),
-        _list_of(top3, "top_countries", ["country"]),
-        _struct_of(kpis.ltv_summary(m), "ltv"),
+        kpis.user_records(t["user_metrics"]).select("conversion", "churn", "top_countries", "ltv"),
         _struct_of(kpis.revenue_summary(t["payments"]), "revenue"),
         _list_of(anomalies.where("is_anomaly").select("date", "dau", "z_score"), "dau_anomalies", ["date"]),
         _list_of(forecast.orderBy(F.desc("date")).limit(14), "dau_forecast", ["date"]),
