@@ -1,7 +1,7 @@
 """Cleaning of the four raw tables (dedupe, null handling, type fixing)."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +14,19 @@ USERS_ORDER = ("signup_date", "country")
 SESSIONS_ORDER = ("session_time", "duration")
 EVENTS_ORDER = ("event_time",)
 
+#: What is done to a table after its dedupe, before rows without a user go (a look at it, or nothing).
+Seen = Callable[[DataFrame], DataFrame]
 
-def clean_users(users: DataFrame, order_by: Sequence[str | Column] = USERS_ORDER) -> DataFrame:
+
+def unseen(df: DataFrame) -> DataFrame:
+    return df
+
+
+def clean_users(users: DataFrame, order_by: Sequence[str | Column] = USERS_ORDER,
+                seen: Seen = unseen) -> DataFrame:
     """One row per user_id (first by ``order_by``), null country -> "Unknown"."""
     u = users.withColumn("signup_date", F.col("signup_date").cast("timestamp_ntz"))
-    u = keep_first(u, "user_id", order_by)
+    u = seen(keep_first(u, "user_id", order_by))
     return u.withColumn("country", F.coalesce("country", F.lit("Unknown")))
 
 
@@ -56,11 +64,12 @@ def median_of(df: DataFrame, col: str, exact: bool = True, accuracy: int = 100_0
                          .otherwise(F.raise_error(F.lit("the bracket does not hold the median")).cast("double")).alias("_median"))
 
 
-def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER) -> DataFrame:
+def dedupe_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER,
+                    seen: Seen = unseen) -> DataFrame:
     """First phase of session cleaning: one row per session_id, then rows
     without a user dropped."""
     s = sessions.withColumn("session_time", F.col("session_time").cast("timestamp_ntz"))
-    return keep_first(s, "session_id", order_by).where(F.col("user_id").isNotNull())
+    return seen(keep_first(s, "session_id", order_by)).where(F.col("user_id").isNotNull())
 
 
 def fill_duration(sessions: DataFrame, exact_median: bool = True) -> DataFrame:
@@ -70,7 +79,7 @@ def fill_duration(sessions: DataFrame, exact_median: bool = True) -> DataFrame:
 
 
 def clean_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSIONS_ORDER,
-                   exact_median: bool = True) -> DataFrame:
+                   exact_median: bool = True, seen: Seen = unseen) -> DataFrame:
     """Dedupe session_id, then drop null user_id, then fill null duration
     with the median of what remains. Null session_time stays null.
 
@@ -78,13 +87,14 @@ def clean_sessions(sessions: DataFrame, order_by: Sequence[str | Column] = SESSI
     it reuses the dedupe shuffle of the main plan (ReusedExchange), so the
     dedupe runs once.
     """
-    return fill_duration(dedupe_sessions(sessions, order_by), exact_median)
+    return fill_duration(dedupe_sessions(sessions, order_by, seen), exact_median)
 
 
-def clean_events(events: DataFrame, order_by: Sequence[str | Column] = EVENTS_ORDER) -> DataFrame:
+def clean_events(events: DataFrame, order_by: Sequence[str | Column] = EVENTS_ORDER,
+                 seen: Seen = unseen) -> DataFrame:
     """Dedupe event_id, drop null user_id, null feature -> "unknown"."""
     e = events.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-    e = keep_first(e, "event_id", order_by).where(F.col("user_id").isNotNull())
+    e = seen(keep_first(e, "event_id", order_by)).where(F.col("user_id").isNotNull())
     return e.withColumn("feature", F.coalesce("feature", F.lit("unknown")))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +16,28 @@ from pyspark.sql import functions as F
 from usagelens.functions import attach
 from usagelens.operators import clean as C
 from usagelens.operators import cohorts, insights, kpis, ml, rollup, series
+from usagelens.operators.quality import ObservedProfile
 from usagelens.operators.user_metrics import user_metrics
 from usagelens.sources import io
 
 PROCESSED = ["users", "sessions", "events", "payments", "user_metrics"]
 
 
-def process(raw: dict[str, DataFrame], as_of, churn_days: int = 60) -> dict[str, DataFrame]:
-    """IO6: clean the four raw tables and fold them into ``user_metrics`` (lazy)."""
+def process(raw: dict[str, DataFrame], as_of, churn_days: int = 60,
+            profile: ObservedProfile | None = None) -> dict[str, DataFrame]:
+    """IO6: clean the four raw tables and fold them into ``user_metrics`` (lazy).
+
+    ``profile`` looks at the raw tables as they are cleaned.
+    """
+    def seen(name):
+        return C.unseen if profile is None else partial(profile.unique, name)
+
+    if profile is not None:
+        raw = {name: profile.raw(name, df) for name, df in raw.items()}
     t = {
-        "users": C.clean_users(raw["users"]),
-        "sessions": C.clean_sessions(raw["sessions"]),
-        "events": C.clean_events(raw["events"]),
+        "users": C.clean_users(raw["users"], seen=seen("users")),
+        "sessions": C.clean_sessions(raw["sessions"], seen=seen("sessions")),
+        "events": C.clean_events(raw["events"], seen=seen("events")),
         "payments": C.clean_payments(raw["payments"]),
     }
     t["user_metrics"] = user_metrics(t["users"], t["sessions"], t["payments"], as_of, churn_days)
@@ -73,13 +84,15 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
     The four clean tables are written first and ``user_metrics`` is folded
     from the written files, so no later step repeats the cleaning lineage. The
     daily user bitmaps are written once, by month, and daily and monthly users,
-    anomalies and forecast read them. ``fmt``: parquet or csv, for the tabular
+    anomalies and forecast read them. Data quality is observed while the clean
+    tables are written. ``fmt``: parquet or csv, for the tabular
     artifacts. The manifest comes last: ``io.published(spark, out)`` finds the
     run only when all of it stands.
     """
     base, run_id = out.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     out = f"{base}/runs/{run_id}"
-    clean = process(raw, as_of)
+    profile = ObservedProfile()
+    clean = process(raw, as_of, profile=profile)
     paths = io.write_all({k: clean[k] for k in ("users", "sessions", "events", "payments")},
                          f"{out}/processed")
     t = {name: spark.read.parquet(p) for name, p in paths.items()}
@@ -88,7 +101,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of,
     t["user_metrics"] = spark.read.parquet(paths["user_metrics"])
 
     art = f"{out}/artifacts"
-    written = {}
+    written = {"data_quality": io.write_table(profile.frame(spark), art, "data_quality", fmt)}
     written["cohort_retention"] = io.write_table(
         cohorts.cohort_retention_wide(t["sessions"], lookback_weeks), art, "cohort_retention", fmt)
     written["day_bitmaps"] = io.write_table(rollup.day_bitmaps(t["sessions"]), art, "day_bitmaps", partition_by=["month"])
