@@ -329,6 +329,55 @@ def test_suffix_ranks_follow_the_suffixes():
             assert (rank[i] < rank[j], rank[i] == rank[j]) == (a < b, a == b)
 
 
+def shared_bytes(a, b, width):
+    n = 0
+    while n < width and a[n:n + 1] == b[n:n + 1] and a[n:n + 1]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("seed, letters, size, documents", [(0, b"ab", 400, 6), (1, b"a", 150, 4), (2, b"abcdef", 600, 40),
+                                                             (3, bytes(range(256)), 300, 300), (4, b"ab\0", 300, 1), (5, b"xy", 80, 80)])
+def test_previous_factors_are_the_longest(seed, letters, size, documents):
+    rng, width = random.Random(seed), 12
+    data = bytearray(rng.choice(letters) for _ in range(size))
+    data[size // 2:size // 2 + 40] = data[:40]
+    data = bytes(data)
+    starts = np.array(sorted(rng.sample(range(size - width + 1), size * 2 // 3)))
+    docs = np.array([rng.randrange(documents) * 10**15 - 7 for _ in starts])
+    got = passages.previous_factors(np.frombuffer(data, np.uint8), starts, docs, width)
+    want = [max([shared_bytes(data[s:], data[t:], width) for t, e in zip(starts, docs) if e < d], default=0) for s, d in zip(starts, docs)]
+    assert got.tolist() == want
+
+
+def test_previous_factors_of_nothing_and_of_one():
+    data = np.frombuffer(b"a" * 60, np.uint8)
+    none = np.empty(0, np.int64)
+    assert passages.previous_factors(data, none, none, 50).tolist() == []
+    assert passages.previous_factors(data, np.array([3]), np.array([9]), 50).tolist() == [0]
+
+
+def test_repeated_windows_of_many_equal_pieces():
+    rng = random.Random(5)
+    text = bytes(rng.randrange(97, 123) for _ in range(90))
+    pieces = [text[i % 20:i % 20 + 60 + i % 10] + bytes([i % 7]) for i in range(300)]
+    docs = np.array([rng.randrange(1000) for _ in pieces])
+    owner, offset = passages.repeated_windows(pieces, docs)
+    first = {}
+    for p, d in zip(pieces, docs.tolist()):
+        for o in range(len(p) - 49):
+            first[p[o:o + 50]] = min(d, first.get(p[o:o + 50], d))
+    want = {(i, o) for i, p in enumerate(pieces) for o in range(len(p) - 49) if first[p[o:o + 50]] < docs[i]}
+    assert set(zip(owner.tolist(), offset.tolist())) == want and len(owner) == len(want)
+
+
+def test_remove_repeats_keeps_the_largest_id_apart_from_null(spark):
+    text = "a passage of more than fifty bytes that is written in all of these rows"
+    rows = [((1 << 63) - 1, text), (None, text), (4, "short")]
+    got = passages.remove_repeats(frame_of(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in got) == sorted([(str((1 << 63) - 1), 0), ("None", 0), ("4", 0)])
+
+
 def test_a_frame_whose_rows_move_is_noticed(spark):
     frame = frame_of(spark, odd_rows())
     moving = frame.select("doc_id", "text", F.rand().alias("r")).repartition(3).sortWithinPartitions("r").select("doc_id", "text")
