@@ -78,6 +78,31 @@ def test_round_trip_matches_the_library(frame, docs):
     assert {i: brute.sha(t) for i, t in back.items()} == {i: r.decoded_sha256 for i, r in own.items()}
 
 
+PER_TEXT = {"tokens": lambda d: token_counts.token_counts(d, tokenizer("piece_bpe_32k.model")),
+            "bpe": lambda d: trie_bpe.bpe_round_trip(d, tokenizer("word_bpe_49k.json")),
+            "secrets": secret_scan.secret_spans}
+CLASHING = "doc_id long, text string, n_tokens string, n_bytes string, spans int, rid string, ids_sha256 int"
+
+
+@pytest.mark.parametrize("name", sorted(PER_TEXT))
+def test_per_text_operators_keep_rows_of_null_and_repeated_ids(spark, name):
+    rows = [(None, "password = Zx81kq0PmQ7d"), (None, None), (7, "same words"), (7, "same words"), (7, "other"), (-1, ""), (2**62, "a" * 3000)]
+    docs = spark.createDataFrame([(i, t, "x", "y", 1, "z", 2) for i, t in rows], CLASHING)
+    got = PER_TEXT[name](docs.repartition(3)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    # a text gets the same answer whatever its id and company
+    alone = PER_TEXT[name](spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id long, text string")).collect()
+    assert sorted(str(r[1:]) for r in got) == sorted(str(r[1:]) for r in alone)
+    if name == "secrets":
+        assert [r.n_assign for r in got if r.doc_id is None and r.n_assign] == [1]
+
+
+@pytest.mark.parametrize("name", sorted(PER_TEXT))
+def test_per_text_operators_of_an_empty_table(spark, name):
+    got = PER_TEXT[name](spark.createDataFrame([], CLASHING))
+    assert got.columns[0] == "doc_id" and got.count() == 0
+
+
 def test_tokens_fit_as_plain_merging_says():
     own, rng = trie_bpe.word_bpe(tokenizer("word_bpe_49k.json")), random.Random(11)
     inner = [t for t in own.ids if not t.endswith(own.end) and len(t) < 6]
