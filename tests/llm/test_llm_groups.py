@@ -496,6 +496,13 @@ def test_pipeline_against_plain_stages(spark, scratch):
     assert sorted(map(tuple, last)) == sorted((i, *digest(t)) for i, t in got)
 
 
+def test_pipeline_of_an_empty_table(spark, scratch):
+    import corpus_pipeline
+
+    spark.createDataFrame([], table(spark, SF, "documents").schema).write.parquet(f"{scratch}/documents.parquet")
+    assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
 def test_pipeline_query_runs_and_reruns_alike(spark):
     a, b = (sorted(map(tuple, QUERIES["pipeline"](spark, SF).collect())) for _ in range(2))
     assert a == b and len(a) > 100
