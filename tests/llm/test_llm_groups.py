@@ -1,4 +1,5 @@
 """Duplicates, vectors, passages, mixing and the pipeline: against plain versions, with ties, nulls and hot groups."""
+import math
 import random
 import tempfile
 
@@ -100,14 +101,17 @@ def test_every_plan_finds_every_near_pair(n, correlated):
     if correlated:
         both[:20, :20] = n / 2
     both[np.diag_indices(64)] = n / 2
-    plan = simhash.allocate(n, both, 3)
+    grouped = simhash.groupings(n, both, 3)
+    apart = [n * np.array([rng.random() if not correlated or min(g) > 20 else n / 2] + [math.comb(len(g), e) * n / 2 ** len(g) for e in range(1, len(g) + 1)])
+             for groups in grouped for g in groups]
+    plan = simhash.allocate(n, grouped, apart, 3)
     assert sum(p.threshold + 1 for p in plan) == 4 and len({b for p in plan for b in p.bits}) == sum(len(p.bits) for p in plan)
     a = rng.integers(-2**63, 2**63, 200)
     b = a.copy()
     for _ in range(3):
         b ^= np.left_shift(np.int64(1), rng.integers(0, 64, 200))
     met = np.zeros(200, bool)
-    for x, y in zip(simhash.probes(a, plan), simhash.probes(b, plan)):
+    for (x, _), (y, _) in zip(simhash.probes(a, plan), simhash.probes(b, plan)):
         met |= x == y
     assert met.all()
 
@@ -135,6 +139,60 @@ def test_runs_across_batches(spark):
     assert brute.classes(len(fps), [(at[a], at[b]) for a, b in edges]) == brute.classes(len(fps), pairs)
 
 
+def test_counts_of_near_pairs(spark):
+    rng = np.random.default_rng(8)
+    fps = np.unique(np.where(rng.random(700) < 0.4, rng.integers(0, 2**9, 700), rng.integers(-2**63, 2**63, 700)))
+    frame = spark.createDataFrame([(int(f),) for f in fps], "fp long").repartition(3)
+    groups = [list(range(3, 15)), [0, 1, 2, 63], list(range(64))]
+    for group, got in zip(groups, simhash.near_counts(frame, groups)):
+        mask = simhash._signed(sum(1 << b for b in group))
+        want = np.zeros(len(group) + 1)
+        for f in fps:
+            want += np.bincount(np.bitwise_count(((fps ^ f) & mask).view(np.uint64)), minlength=len(group) + 1)
+        if len(group) <= simhash.BLOCK:
+            assert np.allclose(got, want)
+        assert got[0] == want[0] and np.isclose(got[1:].sum() + want[0], len(fps) ** 2, rtol=0.2)
+    assert all(not x.any() for x in simhash.near_counts(frame.limit(0), groups))
+
+
+def test_correlated_bits_count_as_crowded(spark):
+    """Bits 0 to 31 hold four values: as independent bits they would seem a fine partition."""
+    rng = np.random.default_rng(2)
+    low = rng.choice(rng.integers(0, 2**32, 4), 20_000)
+    frame = spark.createDataFrame([(int(f),) for f in np.unique(low | rng.integers(-2**31, 2**31, 20_000) << 32)], "fp long")
+    assert not any(p.threshold >= 0 and len(set(p.bits) - set(range(32))) < 6 for p in simhash.plan_for(frame, 3))
+
+
+@pytest.mark.parametrize("crowd", [64, 400])
+def test_crowded_keys_are_split_by_further_bits(spark, monkeypatch, crowd):
+    """One probe key for all, many small clusters: no task gathers the key, no link is lost."""
+    rng = np.random.default_rng(crowd)
+    centres = rng.integers(0, 2**48, 500)
+    near = np.concatenate([centres] + [centres ^ (1 << rng.integers(0, 48, 500)) ^ (1 << rng.integers(0, 48, 500)) for _ in range(3)])
+    fps = np.unique(np.concatenate([near, rng.integers(0, 2**10, 900)]))
+    frame = spark.createDataFrame([(int(f),) for f in fps], "fp long").repartition(5)
+    plan = [simhash.Part(tuple(range(48, 64)), 0), simhash.Part(tuple(range(32, 48)), 0), simhash.Part(tuple(range(16)), 1)]
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    edges = [(r.u, r.v) for r in simhash.links(frame, plan, 3).collect()]
+    at = {f: i for i, f in enumerate(fps.tolist())}
+    pairs = [(i, int(j)) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 3)]
+    assert brute.classes(len(fps), [(at[a], at[b]) for a, b in edges]) == brute.classes(len(fps), pairs)
+
+
+def test_narrower_keys_join_every_near_pair():
+    rng = np.random.default_rng(3)
+    seen, free = (1 << 64) - (1 << 30), 30
+    a = rng.integers(0, 2**free, 300)
+    b = a.copy()
+    for _ in range(3):
+        b ^= 1 << rng.integers(0, free, 300)
+    met, key = np.zeros(300, bool), np.zeros(300, np.int64)
+    for (x, m), (y, _) in zip(simhash.narrower(key, a, seen, 3), simhash.narrower(key, b, seen, 3)):
+        assert m & seen == seen and (m ^ seen).bit_count() in (7, 8)
+        met |= x == y
+    assert met.all()
+
+
 # ---- embeddings
 def vectors(seed=0, groups=40, dim=64):
     rng = np.random.default_rng(seed)

@@ -16,8 +16,9 @@ In a crowded bucket only a spanning forest of its links is emitted.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations, repeat
 from math import comb
 
@@ -27,10 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import chunks, components, numbered, per_row, text_or_empty, written
+from usagelens.llm.embeddings import hadamard
 
 BITS = 64
 SEED = 42
 CHUNK = 1 << 19
+#: Buckets of more fingerprints are split by further bits.
+CROWD = 8192
+#: Bits whose values are counted together.
+BLOCK = 16
 #: Runs of up to so many fingerprints are compared pair by pair; longer ones through pivots.
 SMALL_RUN = 64
 #: Relative cost of a probe row (shuffled and sorted) and of a candidate pair (one comparison in a task).
@@ -84,28 +90,94 @@ def _grouped(together: np.ndarray, m: int) -> list[list[int]]:
     return groups
 
 
-def _within(differ: np.ndarray, t: int) -> float:
-    """Probability that at most ``t`` of independent bits differ."""
-    at = np.zeros(t + 2)
-    at[0] = 1.0
-    for p in differ:
-        at[1:] = at[1:] * (1 - p) + at[:-1] * p
-        at[0] *= 1 - p
-        at[-1] = 0.0  # more than t
-    return float(at[:t + 1].sum())
-
-
-def allocate(n: int, both: np.ndarray, distance: int) -> list[Part]:
-    """Partitions and thresholds for ``n`` fingerprints; ``both[i, j]`` counts those with bits i and j set."""
+def groupings(n: int, both: np.ndarray, distance: int) -> list[list[list[int]]]:
+    """The bits in 1 to ``distance`` + 1 groups of correlated bits; ``both[i, j]`` counts the ``n`` with bits i and j set."""
     p = np.diag(both) / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     together = np.abs(both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread)
-    differ = 2 * p * (1 - p)
+    return [_grouped(together, m) for m in range(1, distance + 2)]
+
+
+def _blocks(group: Sequence[int]) -> list[list[int]]:
+    """A group's bits in blocks of about equal size, ``BLOCK`` at most."""
+    return [b.tolist() for b in np.array_split(np.array(group), -(-len(group) // BLOCK))]
+
+
+def pairs_by_distance(counts: np.ndarray) -> np.ndarray:
+    """How many pairs (ordered, with oneself) differ in 0, 1, ... bits, from the number of rows with each value.
+
+    The exclusive-or correlation of the counts by the Walsh-Hadamard transform.
+    """
+    width = len(counts).bit_length() - 1
+    apart = hadamard(hadamard(counts.astype(float)[None, :]) ** 2)[0] / len(counts)
+    return np.bincount(np.bitwise_count(np.arange(len(counts))), apart, width + 1)
+
+
+def near_counts(prints: DataFrame, groups: list[list[int]]) -> list[np.ndarray]:
+    """For every group of bits, how many pairs of fingerprints (distinct, column fp) differ in 0, 1, ... of them.
+
+    Counted over all fingerprints: within each block of a group how many pairs
+    differ in how many bits (a histogram of at most 2^``BLOCK`` values, one
+    task a block), and exactly how many pairs agree on the whole group. Blocks
+    of one group are taken as independent of each other for the rest.
+    """
+    blocks = [(g, block) for g, group in enumerate(groups) for block in _blocks(group)]
+
+    def values(batches):
+        total = np.zeros((len(blocks), 1 << BLOCK), np.int64)
+        for b in batches:
+            bits = _bits(b.column(0).to_numpy())
+            for i, (_, block) in enumerate(blocks):
+                total[i] += np.bincount(bits[:, block] @ (1 << np.arange(len(block))), minlength=1 << BLOCK)
+        i, v = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(v, pa.int32()), pa.array(total[i, v])],
+                                         names=["i", "v", "n"])
+
+    def spread(table):
+        i = table.column("i")[0].as_py()
+        counts = np.zeros(1 << len(blocks[i][1]), np.int64)
+        counts[table.column("v").to_numpy()] = table.column("n").to_numpy()
+        return pa.table({"i": pa.array([i], pa.int32()), "apart": pa.array([pairs_by_distance(counts).tolist()], pa.list_(pa.float64()))})
+
+    found = prints.select("fp").mapInArrow(values, "i int, v int, n long").groupBy("i", "v").agg(F.sum("n").alias("n"))
+    apart = {r["i"]: np.maximum(r["apart"], 0.0) for r in found.groupBy("i").applyInArrow(spread, "i int, apart array<double>").collect()}
+    masks = [F.struct(F.lit(g).alias("g"), F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in group))).cast("long")).alias("v")) for g, group in enumerate(groups)]
+    same = (prints.select(F.explode(F.array(*masks)).alias("x")).groupBy("x.g", "x.v").agg(F.count("*").alias("n"))
+            .groupBy("g").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs")))
+    agree = {r["g"]: r["pairs"] for r in same.collect()}
+    out = []
+    for g, group in enumerate(groups):
+        of = [apart[i] for i, (owner, _) in enumerate(blocks) if owner == g] if apart else [np.zeros(len(group) + 1)]
+        n2 = max(of[0].sum(), 1.0)
+        shares = of[0] / n2
+        for other in of[1:]:
+            shares = np.convolve(shares, other / n2)
+        pairs = shares * n2
+        pairs[0] = agree.get(g, 0.0)
+        out.append(pairs)
+    return out
+
+
+def _signed(n: int) -> int:
+    """An unsigned 64-bit number as a signed one."""
+    return n - (1 << BITS) if n >> (BITS - 1) else n
+
+
+def allocate(n: int, grouped: list[list[list[int]]], apart: list[np.ndarray], distance: int) -> list[Part]:
+    """Partitions and thresholds for ``n`` fingerprints.
+
+    ``apart``: for all groups of ``grouped`` in order, the pairs that differ
+    in 0, 1, ... bits of the group. A pair that differs in e bits of a group
+    of w meets in C(w - e, t - e) of its C(w, t) probes.
+    """
     best: tuple[float, list[Part]] | None = None
-    for m in range(1, distance + 2):
-        groups = _grouped(together, m)
-        cost = [[0.0] + [n * comb(len(g), t) * ROW_COST + n * n / 2 * _within(differ[g], t) * PAIR_COST
-                         for t in range(distance + 1)] for g in groups]
+    known = iter(apart)
+    for groups in grouped:
+        cost = []
+        for g in groups:
+            pairs = next(known)
+            meet = [sum(pairs[e] * comb(len(g) - e, t - e) for e in range(t + 1)) - n * comb(len(g), t) for t in range(distance + 1)]
+            cost.append([0.0] + [n * comb(len(g), t) * ROW_COST + max(meet[t], 0.0) / 2 * PAIR_COST for t in range(distance + 1)])
         # least[s]: least cost of the groups so far whose (t + 1) sum to s, and their thresholds
         least = {0: (0.0, [])}
         for row in cost:
@@ -122,6 +194,13 @@ def allocate(n: int, both: np.ndarray, distance: int) -> list[Part]:
     return best[1]
 
 
+def plan_for(prints: DataFrame, distance: int) -> list[Part]:
+    """Partitions and thresholds for all fingerprints (distinct, column fp), from counts over all of them."""
+    n, both = cooccurrence(prints)
+    grouped = groupings(n, both, distance)
+    return allocate(n, grouped, near_counts(prints, [g for groups in grouped for g in groups]), distance)
+
+
 def cooccurrence(prints: DataFrame) -> tuple[int, np.ndarray]:
     """Number of fingerprints (column fp) and how many have bits i and j set, over all of them."""
     def run(batches):
@@ -155,14 +234,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def probes(fps: np.ndarray, plan: list[Part]) -> Iterator[np.ndarray]:
-    """For each masked value of each partition, the probe keys of all ``fps`` (equal values, equal keys)."""
+def probes(fps: np.ndarray, plan: list[Part]) -> Iterator[tuple[np.ndarray, int]]:
+    """For each masked value of each partition, the probe keys of all ``fps`` (equal values, equal keys) and the bits seen."""
     raw, tag = np.ascontiguousarray(fps, "<i8").view("<u8"), 0
     for part in plan:
         for masked in combinations(part.bits, part.threshold):
             tag += 1
             mask = sum(1 << b for b in part.bits if b not in masked)
-            yield _mix((raw & np.uint64(mask)) ^ _mix(np.array([tag], "<u8"))).view("<i8")
+            yield _mix((raw & np.uint64(mask)) ^ _mix(np.array([tag], "<u8"))).view("<i8"), mask
+
+
+def narrower(key: np.ndarray, fps: np.ndarray, seen: int, distance: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The pigeonhole again within buckets whose members agree on the bits ``seen``: new keys and the bits seen by them.
+
+    The other bits are dealt to ``distance`` + 1 groups; members within
+    ``distance`` bits agree on one of the groups at least.
+    """
+    raw, free = np.ascontiguousarray(fps, "<i8").view("<u8"), [b for b in range(BITS) if not seen >> b & 1]
+    for g in range(distance + 1):
+        mask = sum(1 << b for b in free[g::distance + 1])
+        own = _mix(np.ascontiguousarray(key, "<i8").view("<u8") ^ _mix(np.array([~g & (1 << BITS) - 1], "<u8")))
+        yield _mix((raw & np.uint64(mask)) ^ own).view("<i8"), seen | mask
 
 
 def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,12 +312,30 @@ def spanning(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(prints: DataFrame, plan: list[Part], distance: int) -> DataFrame:
-    """Edges (u, v) of fingerprints (distinct, column fp): enough links to join all that are within ``distance``."""
+    """Edges (u, v) of fingerprints (distinct, column fp): enough links to join all that are within ``distance``.
+
+    Probe keys are counted before they are dealt. Buckets of up to ``CROWD``
+    members are compared by one task each; the members of larger ones get
+    narrower keys, until no bucket is crowded (at the latest when the bits
+    not seen yet have no more than ``CROWD`` values).
+    """
     def probe(batches):
         for b in batches:
             fps = b.column(0).to_numpy()
-            for keys in probes(fps, plan):
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps)], names=["key", "fp"])
+            for keys, seen in probes(fps, plan):
+                yield rows(keys, fps, seen)
+
+    def rows(keys, fps, seen):
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps), pa.array(np.full(len(fps), _signed(seen), np.int64))],
+                                          names=["key", "fp", "seen"])
+
+    def narrow(batches):
+        for b in batches:
+            key, fp, seen = (c.to_numpy() for c in b.columns)
+            for mask in np.unique(seen):
+                of = seen == mask
+                for keys, bits in narrower(key[of], fp[of], int(mask) & (1 << BITS) - 1, distance):
+                    yield rows(keys, fp[of], bits)
 
     def verify(batches):
         key, fp = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -246,8 +356,18 @@ def links(prints: DataFrame, plan: list[Part], distance: int) -> DataFrame:
         if len(key):
             yield from edges(key, fp)
 
-    return (prints.select("fp").mapInArrow(probe, "key long, fp long").repartition("key")
-            .sortWithinPartitions("key").mapInArrow(verify, "u long, v long"))
+    def compared(frame):
+        return frame.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(verify, "u long, v long")
+
+    shape = "key long, fp long, seen long"
+    dealt, found = prints.select("fp").mapInArrow(probe, shape), []
+    while True:
+        crowded = written(dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"))
+        if crowded.isEmpty():
+            found.append(compared(dealt))
+            return reduce(DataFrame.unionAll, found)
+        found.append(compared(dealt.join(crowded, "key", "left_anti")))
+        dealt = written(dealt.join(crowded, "key", "left_semi").mapInArrow(narrow, shape))
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -271,8 +391,7 @@ def simhash_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFr
     """
     prints = written(fingerprints(docs, words))
     classes = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
-    n, both = cooccurrence(classes)
-    roots = components(links(classes, allocate(n, both, distance), distance))
+    roots = components(links(classes, plan_for(classes, distance), distance))
     members = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = members.groupBy("root").agg(F.min("first").alias("least"))
