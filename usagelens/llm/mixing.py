@@ -109,7 +109,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
     placed = sizes.join(small(spec_df, len(spec)), sizes["source"].eqNullSafe(spec_df["source"])).drop(spec_df["source"])
 
     own = F.coalesce("doc_id", "rid")
-    mixed = placed.withColumn("hash", F.xxhash64(F.lit(seed), own, "size")).withColumn("block", F.pmod("hash", "blocks"))
+    # rows of a repeated id also go by their place (a null adds nothing to a hash), so that they spread over the blocks
+    again = written(sizes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(
+        F.col("doc_id").alias("again")))
+    place_of = F.when(F.col("again").isNotNull(), F.col("rid"))
+    mixed = (placed.join(again, F.col("doc_id") == F.col("again"), "left")
+             .withColumn("hash", F.xxhash64(F.lit(seed), own, "size", place_of)).drop("again").withColumn("block", F.pmod("hash", "blocks")))
     # ---- blocks in permuted order, pass by pass; the pass after the whole ones is partial
     by_pass = Window.partitionBy("place", "pass").orderBy(F.xxhash64(F.lit(seed), "place", "pass", "block"), "block")
     blocks = (mixed.where("target > 0").groupBy("place", "block", "whole", "rest").agg(F.sum("size").alias("words"))
