@@ -117,3 +117,16 @@ def has_letter(text):
 
 def nfc(text):
     return unicodedata.normalize("NFC", text)
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    """Words per source: the one level at which weight x level, cut at cap x size, adds up to the share of all sizes."""
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    low, high = 0.0, cap * sum(sizes) + 1.0
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(a * level, cap * s) for a, s in zip(w, sizes)) < share * sum(sizes):
+            low = level
+        else:
+            high = level
+    return [min(a * high, cap * s) for a, s in zip(w, sizes)]

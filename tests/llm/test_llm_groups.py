@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from usagelens.llm import common, embeddings, exact, mixing, passages, simhash, trie_bpe
+from usagelens.llm import common, embeddings, exact, language, mixing, passages, simhash, token_counts, trie_bpe
 from usagelens.llm.queries import QUERIES, table, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -452,6 +452,7 @@ def test_targets_are_shared_under_the_caps():
     free = [i for i, s in enumerate(sizes) if t[i] < 2 * s]
     share = {t[i] / (5, 2, 1)[i % 3] for i in free}
     assert max(share) - min(share) < 1e-6
+    assert np.allclose(t, brute.targets(sizes))
     assert mixing.targets([]) == [] and mixing.targets([0]) == [0.0]
 
 
@@ -477,7 +478,7 @@ def test_mix_of_given_documents(spark):
         b[0] += size
         b[1] += r.taken
     order = sorted(by)
-    want = mixing.targets([by[s][0] for s in order])
+    want = brute.targets([by[s][0] for s in order])
     for s, t in zip(order, want):
         assert by[s][0] == by[s][3] and abs(by[s][2] - t) < 1e-6 and abs(by[s][1] - t) <= max(0.005 * t, 2), (s, by[s])
 
@@ -494,6 +495,23 @@ def test_mix_edges(spark):
     assert mixing.taken(*empty).count() == 0 and mixing.parts_of(empty[1], empty[0]) == (1, 1)
 
 
+def test_rows_of_one_id_spread_over_the_blocks(spark):
+    docs = spark.createDataFrame([(7, "a b c", "s")] * 400, "doc_id long, text string, source string")
+    sizes, plan = mixing.mix(docs)
+    assert plan.groupBy("copy").count().orderBy("copy").collect() == [(0, 400), (1, 200)]
+    assert plan.where("copy = 0").select("key").distinct().count() == 400
+
+
+def test_long_words_are_not_remembered():
+    counter = token_counts.PieceCounter(tokenizer("piece_bpe_32k.model"))
+    text = "ab" * 400 + " cd " + "ab" * 400
+    assert counter.count(text) == counter.count(text) and max(map(len, counter)) <= token_counts.LONGEST
+    bpe = trie_bpe.WordBpe(tokenizer("word_bpe_49k.json"))
+    assert bpe.encode(text) == bpe.encode(text) and max(map(len, bpe.cache)) <= trie_bpe.LONGEST
+    parser = language.Parser(language.Sample(("x",), (("abc", "cd"),)))
+    assert parser.predict(text) == parser.predict(text) and max(map(len, parser)) <= language.LONGEST
+
+
 def test_mix_equals_its_words_in_any_number_of_shards(spark, monkeypatch):
     """Taken words against a plain count of the written copies; shards and slices only deal them out."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")

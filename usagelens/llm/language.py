@@ -24,6 +24,8 @@ from usagelens.llm.common import chunks, per_worker, ship, text_or_empty
 
 UNDETERMINED = "und"
 REMEMBERED = 300_000
+#: Words of more characters are not remembered, which bounds the cache in bytes.
+LONGEST = 64
 CHUNK = 1 << 20
 EDGE = "\x00"
 #: Bits that one language's phrase count takes in a packed sum.
@@ -111,7 +113,7 @@ class Parser(dict):
         packed = 0
         for i, a in enumerate(self.automata):
             packed |= a.phrases(word) << BITS * i
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(word) <= LONGEST:
             self[word] = packed
         return packed
 

@@ -20,6 +20,8 @@ from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 SPACE = "▁"
 #: Stretches remembered per Python worker; later ones are counted anew each time.
 REMEMBERED = 400_000
+#: Stretches of more characters are not remembered, which bounds the cache in bytes.
+LONGEST = 64
 CHUNK = 1 << 20
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -75,7 +77,7 @@ class PieceCounter(dict):
 
     def __missing__(self, stretch: str) -> int:
         n = count_merged(stretch.replace(" ", SPACE), self.rank)
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(stretch) <= LONGEST:
             self[stretch] = n
         return n
 

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from usagelens.llm.common import chunks, per_row, per_worker, text_or_empty
 
 REMEMBERED = 300_000
+#: Pieces of more characters are not remembered, which bounds the cache in bytes.
+LONGEST = 64
 PAIRS_REMEMBERED = 300_000
 CHUNK = 1 << 19
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -166,7 +168,8 @@ class WordBpe:
         for p, found in new.items():
             if len(known) >= REMEMBERED:
                 break
-            known[p] = found
+            if len(p) <= LONGEST:
+                known[p] = found
         known.extra = new
         return list(map(known.__getitem__, pieces))
 
