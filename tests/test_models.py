@@ -11,6 +11,7 @@ from tests.conftest import SF_SMALL
 from usagelens.functions.prefix import prefix_sums, row_numbers
 from usagelens.operators import boosting, logit, ml
 from usagelens.plans.catalog import tables
+from usagelens.session import written
 
 NAMES = list("abcdef")
 
@@ -132,6 +133,49 @@ def test_boosting_equals_direct_search_on_any_layout(spark, monkeypatch):
     assert sum(forest.importances()) == pytest.approx(1) and boosting.Forest.of_record(forest.record()) == forest
 
 
+def test_boosting_deals_the_rows_of_one_file_to_all_cores(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(boosting, "written", lambda df: held.append(written(df)) or held[-1])
+    monkeypatch.setattr(boosting, "LIGHT", 50, raising=False)
+    boosting.boost(frame_of(spark, *some_rows()), NAMES, "y", "id", rounds=2, bins=20)
+    assert held and all(f.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1 for f in held)
+
+
+def test_boosting_of_binned_blocks_equals_the_trees_on_values(spark, monkeypatch):
+    x, y = some_rows()
+    x[::9, 3], x[5::50, 1], x[7::50, 1] = np.nan, np.inf, -np.inf
+    rows, forests = frame_of(spark, x, y), []
+    for block, light, heavy, most, bins in ((65_536, 8_192, 1 << 20, 64, 20), (17, 40, 100, 2, 20), (64, 50, 200, 64, 200)):
+        for name, value in (("ROWS", block), ("LIGHT", light), ("HEAVY", heavy), ("MOST", most), ("BLOCK", 3)):
+            monkeypatch.setattr(boosting, name, value)
+        forests.append(boosting.boost(rows, NAMES, "y", "id", rounds=5, bins=bins))
+        cuts = boosting.quantile_cuts(rows, NAMES, bins)
+        codes = np.array([np.where(np.isnan(v), -1, np.searchsorted(c, v, side="right")) for v, c in zip(x.T, cuts)])
+        assert all(np.isnan(c).sum() <= 1 and not np.isnan(c[:-1]).any() for c in cuts)
+        for tree in forests[-1].trees:  # a row takes the same way by its bins as by its values
+            assert (boosting._place(boosting._coded(tree, cuts), codes, 4) == boosting.leaf_of(tree, x)).all()
+    assert forests[0] == forests[1] and len(forests[2].trees) == 5
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_boosting_margins_stay_in_step_with_the_trees(spark):
+    x, y = some_rows()
+    rows = frame_of(spark, x, y)
+    cuts, forest = boosting.quantile_cuts(rows, NAMES, 20), boosting.boost(rows, NAMES, "y", "id", rounds=4, bins=20)
+    state = boosting._packed(rows, NAMES, cuts, "y", "id")
+    for r, tree in enumerate([None, *forest.trees]):
+        state = boosting._round(state, cuts, tree, r == 2, (42, r, 0.9))
+    blocks = state.select("key", "label", "margin", "added", "g", "h").collect()
+    key, label, *numbers = (np.concatenate([np.frombuffer(b[c], np.int64 if c == "key" else float) for b in blocks])
+                            for c in ("key", "label", "margin", "added", "g", "h"))
+    place = {r.k: r.id for r in rows.select("id", F.xxhash64("id").alias("k")).collect()}
+    margin = forest.margin(x)[[place[k] for k in key]]
+    p, keep = 1 / (1 + np.exp(-margin)), boosting.sampled(key, 42, 4, 0.9)
+    assert len(key) == len(x) and np.abs(numbers[0] + numbers[1] - margin).max() < 1e-12
+    for got, want in zip(numbers[2:], (p - label, p * (1 - p))):
+        assert (got[~keep] == 0).all() and np.abs(got[keep] - want[keep] * 2.0 ** boosting.UNIT).max() <= 0.6
+
+
 def test_sampling_share_and_seeds():
     keys = np.arange(100_000)
     marks = [boosting.sampled(keys, s, r, 0.9) for s, r in ((1, 0), (1, 1), (2, 0))]

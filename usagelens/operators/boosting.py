@@ -1,9 +1,10 @@
 """Second-order gradient boosting on histograms, and exact Shapley values of its trees.
 
-Features are cut at exact quantiles. Every tree level is one pass: each task
-adds up (gradient, hessian) per node, feature and bin for its rows, the tasks'
-histograms are added up, and the driver picks each node's split from at most
-``nodes x features x bins`` cells. Gradients are whole multiples of 2^-24, so
+Features are cut at exact quantiles; rows are kept as bins, in blocks, with
+their margins and each round's gradients. Every tree level is one pass: each
+task adds up (gradient, hessian) per node, feature and bin for its rows, the
+tasks' histograms are added up, and the driver picks each node's split from at
+most ``nodes x features x bins`` cells. Gradients are whole multiples of 2^-24, so
 sums do not depend on the order of addition and trees not on the layout.
 Rows and features are sampled by seeded hashes.
 """
@@ -26,8 +27,12 @@ from usagelens.session import ship, written
 UNIT = 24
 #: Histograms that come to the driver; more are added up in so many tasks before.
 MOST = 64
-#: Trees that are added to the stored margins at once; between, each pass evaluates them anew.
+#: Rounds after which the state is written; between, it is held in Spark's cache.
 BLOCK = 16
+#: Rows of a block at most, and of a task at least and at most.
+ROWS, LIGHT, HEAVY = 65_536, 8_192, 1_048_576
+#: Columns of the state, a row per block: gradients and hessians are those of the round.
+STATE = ["key", "label", "codes", "margin", "added", "g", "h"]
 
 
 @dataclass
@@ -106,42 +111,110 @@ def quantile_cuts(rows: DataFrame, features: Sequence[str], bins: int) -> list[n
     bin_ = F.when(F.col("values") <= bins, F.col("rank") - F.col("r0")).otherwise(
         F.floor((F.col("before") - F.col("b0")) * bins / F.col("n0")))
     found = near.groupBy("f", bin_.alias("bin")).agg(F.min("v").alias("v")).collect()
-    return [np.array(sorted(r["v"] for r in found if r["f"] == i)[1:]) for i in range(len(features))]
+    return [np.sort(np.array([r["v"] for r in found if r["f"] == i], float))[1:] for i in range(len(features))]  # NaN last
 
 
-def _matrix(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
-    return np.column_stack([batch.column(n).to_numpy(zero_copy_only=False).astype(float) for n in names])
+def _block(parts: Sequence[np.ndarray]) -> pa.RecordBatch:
+    """One row of state: the arrays of a block of rows as bytes."""
+    return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=STATE[:len(parts)])
 
 
-def _level(state: DataFrame, features, cuts, label, pending: list[Tree], tree: Tree, depth: int, used: Sequence[int],
-           sample, many: bool) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str], kinds: Sequence) -> Iterator[list[np.ndarray]]:
+    """The arrays ``names`` of every block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield [np.frombuffer(b.column(n)[i].as_buffer(), k) for n, k in zip(names, kinds)]
+
+
+def _packed(rows: DataFrame, features: Sequence[str], cuts: Sequence[np.ndarray], label: str, key: str) -> DataFrame:
+    """The rows in blocks (key hash, label, bin per feature, margin 0), dealt evenly to the cores: tasks of at least ``LIGHT`` and about ``HEAVY`` rows at most.
+
+    A value's bin is the number of cuts up to it: it is >= cut i where its bin is > i. Null and NaN get -1, as they are >= no cut.
+    """
+    count, most, kind = rows.count(), ROWS, _kind(cuts)
+    tasks = min(max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // HEAVY)), max(1, -(-count // LIGHT)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, most):
+                part = b.slice(at, most)
+                values = [part.column(f"f{i}").to_numpy(zero_copy_only=False).astype(float) for i in range(len(cuts))]
+                codes = [np.where(np.isnan(v), -1, np.searchsorted(c, v, side="right")).astype(kind) for v, c in zip(values, cuts)]
+                none = np.zeros(part.num_rows)
+                yield _block([part.column("key").to_numpy(), part.column("label").to_numpy(zero_copy_only=False).astype(float), np.stack(codes), none, none])
+
+    given = rows.select(F.xxhash64(key).alias("key"), F.col(label).cast("double").alias("label"),
+                        *[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)])
+    return given.repartition(tasks).mapInArrow(run, ", ".join(f"{n} binary" for n in STATE[:5]))
+
+
+def _kind(cuts: Sequence[np.ndarray]) -> np.dtype:
+    """The smallest whole numbers that hold every bin and -1."""
+    return np.min_scalar_type(-1 - max(len(c) for c in cuts))
+
+
+def _coded(tree: Tree, cuts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per node its feature and the place of its cut among the feature's cuts."""
+    return np.array(tree.feature), np.array([np.searchsorted(cuts[f], c) if f >= 0 else 0 for f, c in zip(tree.feature, tree.cut)])
+
+
+def _place(coded: tuple[np.ndarray, np.ndarray], codes: np.ndarray, levels: int) -> np.ndarray:
+    """Heap place that each row (a column of bins) reaches after so many levels; see :func:`leaf_of`."""
+    feature, at = coded
+    n, flat = codes.shape[1], codes.reshape(-1)
+    node, rows, begin = np.zeros(n, np.int64), np.arange(n), np.maximum(feature, 0) * n
+    for _ in range(levels):
+        right = flat[begin[node] + rows] > at[node]
+        node = np.where(feature[node] < 0, node, 2 * node + 1 + right)
+    return node
+
+
+def _round(state: DataFrame, cuts: Sequence[np.ndarray], tree: Tree | None, settle: bool, sample) -> DataFrame:
+    """The state with the last ``tree`` added, and the gradients and hessians of the next round, in whole units (0: not in its sample).
+
+    Trees since the last ``settle`` are added up apart from the margin before them.
+    """
+    kind, width = _kind(cuts), len(cuts)
+    coded = tree and _coded(tree, cuts)
+    value, depth = (np.array(tree.value), int(math.log2(len(tree.value) + 1)) - 1) if tree else (None, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, y, codes, margin, added in _blocks(batches, STATE[:5], (np.int64, float, kind, float, float)):
+            if coded:
+                added = added + value[_place(coded, codes.reshape(width, -1), depth)]
+            if settle:
+                margin, added = margin + added, np.zeros(len(key))
+            p = 1 / (1 + np.exp(-(margin + added)))
+            keep = sampled(key, *sample)
+            yield _block([key, y, codes, margin, added, *[np.where(keep, np.rint(v * 2.0 ** UNIT), 0.0) for v in (p - y, p * (1 - p))]])
+
+    return state.mapInArrow(run, ", ".join(f"{n} binary" for n in STATE))
+
+
+def _level(state: DataFrame, cuts: Sequence[np.ndarray], tree: Tree, depth: int, used: Sequence[int],
+           many: bool) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
     """{(node, feature): (gradients, hessians) per bin} of one tree level, in whole units.
 
     ``many``: there are more tasks than histograms may come to the driver.
     """
-    first, width = 2 ** depth - 1, max(len(c) for c in cuts) + 1
-    forest, shape = Forest(list(features), pending), (2, 2 ** depth, len(used), width)
+    first, width, kind = 2 ** depth - 1, max(len(c) for c in cuts) + 1, _kind(cuts)
+    shape, coded, last = (2, 2 ** depth, len(used), width), _coded(tree, cuts), [len(c) for c in cuts]
 
     def packed(sums: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(shape, np.int64)
-        for b in batches:
-            for at in range(0, b.num_rows, 65_536):
-                part = b.slice(at, 65_536)
-                keep = sampled(part.column("key").to_numpy(), *sample)
-                x = _matrix(part, features)[keep]
-                margin = part.column("margin").to_numpy()[keep] + forest.margin(x)
-                p = 1 / (1 + np.exp(-margin))
-                g = np.rint((p - part.column(label).to_numpy()[keep]) * 2.0 ** UNIT)
-                h = np.rint(p * (1 - p) * 2.0 ** UNIT)
-                node = leaf_of(tree, x) - first
-                live = node >= 0  # rows in leaves above this level are done
-                for k, f in enumerate(used):
-                    cell = node[live] * width + np.searchsorted(cuts[f], x[live, f], side="right")
-                    for s, of in zip(sums, (g, h)):  # whole numbers below 2^53: exact
-                        s[:, k] += np.bincount(cell, of[live], shape[1] * width).astype(np.int64).reshape(shape[1], width)
+        for codes, *of in _blocks(batches, ("codes", "g", "h"), (kind, float, float)):
+            codes = codes.reshape(len(last), -1)
+            node = _place(coded, codes, depth) - first
+            live = node >= 0  # rows in leaves above this level are done
+            if not live.all():
+                node, codes, of = node[live], codes[:, live], [v[live] for v in of]
+            for k, f in enumerate(used):
+                cell = node * width + np.where(codes[f] < 0, last[f], codes[f])
+                for s, v in zip(sums, of):  # whole numbers below 2^53: exact
+                    s[:, k] += np.bincount(cell, v, shape[1] * width).astype(np.int64).reshape(shape[1], width)
         yield packed(sums)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +224,7 @@ def _level(state: DataFrame, features, cuts, label, pending: list[Tree], tree: T
                 sums += np.frombuffer(blob, np.int64).reshape(shape)
         yield packed(sums)
 
-    partial = state.mapInArrow(run, "sums binary")
+    partial = state.select("codes", "g", "h").mapInArrow(run, "sums binary")
     if many:
         partial = partial.repartition(MOST).mapInArrow(add, "sums binary")
     sums = np.zeros(shape, np.int64)
@@ -218,40 +291,35 @@ def boost(rows: DataFrame, features: Sequence[str], label: str, key: str, rounds
     either side; leaves are regularised by ``lam``. Trees depend on rows,
     parameters and seed, not on the layout. Without rows the trees are empty.
 
-    Eager: one pass and aggregate per tree level; every ``BLOCK`` rounds the
-    margins are written, so a pass evaluates a bounded number of trees.
+    Eager: rows are packed once into blocks of bins, dealt evenly to the cores.
+    Every round adds one tree to the margins and holds the round's gradients
+    (Spark's cache, which spills to disk); every tree level is one pass over
+    bins and gradients. Every ``BLOCK`` rounds the state is written, so a lost
+    task repeats a bounded number of rounds.
     """
     ship(rows.sparkSession)
     features = list(features)
     cuts = quantile_cuts(rows, features, bins)
-    forest, pending = Forest(features), []
-    state = written(rows.select(F.xxhash64(key).alias("key"), *[F.col(c).cast("double").alias(c) for c in features],
-                                F.col(label).cast("double").alias(label), F.lit(0.0).alias("margin")))
-    many = state.rdd.getNumPartitions() > MOST
-    for r in range(rounds):
-        used = sorted(random.Random(f"{seed}:{r}").sample(range(len(features)), max(1, int(feature_share * len(features)))))
-        done = list(pending)
-        tree = grow(lambda t, d: _level(state, features, cuts, label, done, t, d, used, (seed, r, row_share), many),
-                    cuts, depth, step, lam, least, used)
-        forest.trees.append(tree)
-        pending.append(tree)
-        if len(pending) == BLOCK and r + 1 < rounds:
-            state, pending = written(_with_margins(state, features, pending)), []
-            many = state.rdd.getNumPartitions() > MOST
+    forest, many = Forest(features), False
+    state, held = _packed(rows, features, cuts, label, key), []
+    try:
+        for r in range(rounds):
+            used = sorted(random.Random(f"{seed}:{r}").sample(range(len(features)), max(1, int(feature_share * len(features)))))
+            settle = r % BLOCK == 0
+            state = _round(state, cuts, forest.trees[-1] if r else None, settle, (seed, r, row_share))
+            if settle:
+                state = written(state)
+                many = state.rdd.getNumPartitions() > MOST
+            held.append(state.persist())
+            forest.trees.append(grow(lambda t, d: _level(state, cuts, t, d, used, many), cuts, depth, step, lam, least, used))
+            while len(held) > 1:
+                held.pop(0).unpersist()
+    finally:
+        for one in held:
+            one.unpersist()
     return forest
 
 
-def _with_margins(state: DataFrame, features: list[str], trees: list[Tree]) -> DataFrame:
-    forest = Forest(features, trees)
-
-    def run(batches):
-        for b in batches:
-            margin = b.column("margin").to_numpy() + forest.margin(_matrix(b, features))
-            yield b.set_column(b.schema.get_field_index("margin"), "margin", pa.array(margin))
-
-    return state.mapInArrow(run, state.schema)
-
-
 # ---- Shapley values
 def _weights(size: int) -> list[float]:
     """Shapley's weight of a coalition of each size among ``size`` players, without the player itself."""
