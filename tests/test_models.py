@@ -144,7 +144,7 @@ def test_boosting_deals_the_rows_of_one_file_to_all_cores(spark, monkeypatch):
 def test_boosting_of_binned_blocks_equals_the_trees_on_values(spark, monkeypatch):
     x, y = some_rows()
     x[::9, 3], x[5::50, 1], x[7::50, 1] = np.nan, np.inf, -np.inf
-    rows, forests = frame_of(spark, x, y), []
+    rows, forests, held = frame_of(spark, x, y), [], set(spark.sparkContext._jsc.getPersistentRDDs())
     for block, light, heavy, most, bins in ((65_536, 8_192, 1 << 20, 64, 20), (17, 40, 100, 2, 20), (64, 50, 200, 64, 200)):
         for name, value in (("ROWS", block), ("LIGHT", light), ("HEAVY", heavy), ("MOST", most), ("BLOCK", 3)):
             monkeypatch.setattr(boosting, name, value)
@@ -155,7 +155,7 @@ def test_boosting_of_binned_blocks_equals_the_trees_on_values(spark, monkeypatch
         for tree in forests[-1].trees:  # a row takes the same way by its bins as by its values
             assert (boosting._place(boosting._coded(tree, cuts), codes, 4) == boosting.leaf_of(tree, x)).all()
     assert forests[0] == forests[1] and len(forests[2].trees) == 5
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= held  # nothing stays in the cache
 
 
 def test_boosting_margins_stay_in_step_with_the_trees(spark):
